@@ -17,7 +17,8 @@ _SHORT_AMOUNT = "decimal(24,12)"
 _SHORT_PRICE = "decimal(13,8)"
 _WHOLE = "decimal(19,0)"
 _PART = "decimal(18,18)"
-_TERM = "decimal(37,18)"
+_WIDE = "decimal(37,18)"
+_TERM = "decimal(35,18)"
 
 
 def to_decimal(value: Column) -> Column:
@@ -33,36 +34,27 @@ def usd_value(amount: Column, price: Column) -> Column:
     """``amount * price`` as DECIMAL(38,18), exact to the last stored digit.
 
     Values that fit 12 and 8 decimals (nearly all) take one multiplication. The
-    rest is split into whole and fractional parts: whole*whole, whole*part and
-    part*whole are exact, and part*part is rounded to 18 decimals. Results past
-    19 whole digits are NULL; ``price_overflow`` finds those rows.
+    rest is split into a whole number and a remainder each: every product with a
+    whole number is exact, and remainder * remainder is rounded to 18 decimals.
+    Results past 17 whole digits are NULL; ``price_overflow`` finds those rows.
     """
-    amount = amount.try_cast(AMOUNT)
-    price = price.try_cast(AMOUNT)
-    short_amount = amount.try_cast(_SHORT_AMOUNT)
-    short_price = price.try_cast(_SHORT_PRICE)
+    short_amount, short_price = amount.try_cast(_SHORT_AMOUNT), price.try_cast(_SHORT_PRICE)
     fits = (short_amount == amount) & (short_price == price)
-
-    amount_whole, amount_part = _split(amount)
-    price_whole, price_part = _split(price)
-    total = F.lit(0).cast(_TERM)
-    for left, right in (
-        (amount_whole, price_whole),
-        (amount_whole, price_part),
-        (amount_part, price_whole),
-        (amount_part, price_part),
-    ):
-        total = F.try_add(total, F.try_multiply(left, right).try_cast(_TERM)).try_cast(_TERM)
-    exact = (short_amount * short_price).try_cast(AMOUNT)
-    return F.when(fits, exact).otherwise(total.try_cast(AMOUNT))
+    amount_whole, amount_rest = _split(amount)
+    price_whole, price_rest = _split(price)
+    long = (
+        (amount_whole * price_whole).try_cast(_TERM)
+        + (amount_whole * price_rest).try_cast(_TERM)
+        + (amount_rest * price_whole).try_cast(_TERM)
+        + (amount_rest * price_rest).try_cast(_TERM)
+    )
+    return F.when(fits, (short_amount * short_price).cast(AMOUNT)).otherwise(long)
 
 
 def _split(value: Column) -> tuple[Column, Column]:
-    """Whole part (rounded towards zero) and signed remainder."""
-    value = value.try_cast(_TERM)
-    down = F.when(value < 0, F.ceil(value)).otherwise(F.floor(value))
-    whole = down.try_cast(_WHOLE)
-    return whole, (value - whole).try_cast(_PART)
+    """Nearest whole number and the signed remainder, which add up to the value."""
+    whole = value.try_cast(_WHOLE)
+    return whole, (value.try_cast(_WIDE) - whole).cast(_PART)
 
 
 def price_overflow(amount: Column, price: Column) -> Column:
@@ -82,6 +74,6 @@ def whole_coins(units: Column) -> Column:
     units = units.try_cast("decimal(38,0)")
     coin = F.lit(10**18).cast("decimal(19,0)")
     rest = units % coin
-    whole = ((units - rest) / coin).try_cast(_WHOLE).try_cast(_TERM)
-    part = (rest.cast(_WHOLE) * F.lit("0.000000000000000001").cast(_PART)).cast(_TERM)
-    return F.try_add(whole, part).try_cast(AMOUNT)
+    whole = ((units - rest) / coin).try_cast(_WHOLE).cast(_WIDE)
+    part = (rest.cast(_WHOLE) * F.lit("0.000000000000000001").cast(_PART)).cast(_WIDE)
+    return (whole + part).cast(AMOUNT)

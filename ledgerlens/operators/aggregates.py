@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ledgerlens.functions import field_list
+
 
 def sum_when(condition: Column, amount: Column) -> Column:
     return F.sum(F.when(condition, amount))
@@ -43,8 +45,6 @@ def first_distinct_values(
     A bounded row number drops the surplus on both sides of the shuffle before
     anything is collected.
     """
-    from pyspark.sql import Window
-
     pairs = df.where(F.col(value).isNotNull()).select(*keys, value).distinct()
     numbered = pairs.withColumn("_n", F.row_number().over(Window.partitionBy(*keys).orderBy(value)))
     return (
@@ -78,14 +78,16 @@ def legs_to_arrays(
     grouped = wanted.groupBy(*keys).agg(F.sort_array(F.collect_list(entry)).alias("_legs"))
     columns = []
     for prefix, value in kinds.items():
-        mine = F.filter(F.col("_legs"), lambda leg, value=value: leg["_kind"] == value)
+        mine = F.filter(F.col("_legs"), _is_kind(value))
         for i, suffix in enumerate(fields):
-            columns.append(
-                F.transform(mine, lambda leg, i=i: leg[f"_f{i}"]).alias(f"{prefix}_{suffix}")
-            )
+            columns.append(field_list(mine, f"_f{i}").alias(f"{prefix}_{suffix}"))
     return grouped.select(*keys, *columns)
 
 
+def _is_kind(value: str) -> Callable[[Column], Column]:
+    return lambda leg: leg["_kind"] == value
+
+
 def json_objects(df: DataFrame, keys: Sequence[str], fields: Mapping[str, Column], name: str) -> DataFrame:
     """Rows of each key as one JSON array text, ordered by the fields."""
     entry = F.struct(*[value.alias(field) for field, value in fields.items()])

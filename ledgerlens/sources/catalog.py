@@ -3,16 +3,33 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
 
+from ledgerlens.session import materialize
 from ledgerlens.sources.tables import FileTable, JdbcTable, read_optional
 
 Reader = Callable[[SparkSession], DataFrame]
 
 
+# Models kept as tables: small dimensions and results that several marts read.
+STORED = frozenset(
+    {
+        "chain",
+        "token",
+        "product_classic",
+        "product_clm",
+        "product_reward_pool",
+        "product_classic_boost",
+        "product",
+        "unified_hourly",
+        "product_stats",
+    }
+)
+
+
 @dataclass
 class Warehouse:
     """Raw tables by name plus everything that would otherwise be a wall-clock call.
@@ -28,7 +45,9 @@ class Warehouse:
     renames: Mapping[str, Mapping[str, str]] = field(default_factory=dict)
     buyback_symbol: str = "TKN"
     fee_leg: str = "protocol_fee"
-    _models: dict[str, DataFrame] = field(default_factory=dict, repr=False)
+    stored: frozenset[str] = STORED
+    _plans: dict[str, DataFrame] = field(default_factory=dict, repr=False)
+    _tables: dict[str, DataFrame] = field(default_factory=dict, repr=False)
 
     def table(self, name: str) -> DataFrame:
         found = self.raw[name]
@@ -45,12 +64,25 @@ class Warehouse:
         return None if found is None else self.table(name)
 
     def model(self, build: Callable[[Warehouse], DataFrame]) -> DataFrame:
-        """The model's plan, built once per warehouse so every user shares it."""
+        """The model, built once per warehouse so every user shares it.
+
+        Stored models are written to the shared folder on first use and read from
+        there afterwards; the others are plans that Catalyst inlines.
+        """
         key = f"{build.__module__}.{build.__qualname__}"
-        if key not in self._models:
-            self._models[key] = build(self)
-        return self._models[key]
+        if key in self._tables:
+            return self._tables[key]
+        if build.__name__ in self.stored:
+            self._tables[key] = materialize(build(self), build.__name__)
+            return self._tables[key]
+        if key not in self._plans:
+            self._plans[key] = build(self)
+        return self._plans[key]
+
+    def at(self, as_of: datetime) -> Warehouse:
+        """The same warehouse and stored tables seen from another reference time."""
+        return replace(self, as_of=as_of, _plans={})
 
     def pin(self, build: Callable[[Warehouse], DataFrame], stored: DataFrame) -> None:
         """Use a stored table in place of a model's plan from here on."""
-        self._models[f"{build.__module__}.{build.__qualname__}"] = stored
+        self._tables[f"{build.__module__}.{build.__qualname__}"] = stored

@@ -401,8 +401,19 @@ def duckdb_sql(name: str) -> str:
 
 
 def warehouse(spark: SparkSession, sf_dir: str, as_of: datetime = EVENTS_AS_OF) -> Warehouse:
+    """The warehouse over one driver folder.
+
+    Stored tables are built once per session and folder, as a scheduled run
+    would leave them for the models that follow.
+    """
     ensure_utc(spark)
-    raw = {
-        name: (lambda session, name=name: raw_table(session, sf_dir, name)) for name in RAW_SQL
-    }
-    return Warehouse(spark, as_of, raw)
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _WAREHOUSES:
+        raw = {
+            name: (lambda session, name=name: raw_table(session, sf_dir, name)) for name in RAW_SQL
+        }
+        _WAREHOUSES[key] = Warehouse(spark, as_of, raw)
+    return _WAREHOUSES[key].at(as_of)
+
+
+_WAREHOUSES: dict[tuple[str, str], Warehouse] = {}

@@ -22,6 +22,7 @@ from ledgerlens.functions.decimals import (
     price_overflow,
     scaled_integer,
     to_decimal,
+    usd_below,
     usd_value,
     whole_coins,
 )

@@ -7,6 +7,8 @@ product type is exact and adds the parts up.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -40,15 +42,31 @@ def usd_value(amount: Column, price: Column) -> Column:
     """
     short_amount, short_price = amount.try_cast(_SHORT_AMOUNT), price.try_cast(_SHORT_PRICE)
     fits = (short_amount == amount) & (short_price == price)
+    short = (short_amount * short_price).cast(AMOUNT)
+    return F.when(fits, short).otherwise(_bound(_long_product, amount, price))
+
+
+def _bound(rule: Callable[..., Column], *values: Column) -> Column:
+    """``rule`` over values that are evaluated once.
+
+    The rule mentions its arguments many times. Bound to lambda variables they
+    are not repeated in the plan, which keeps the generated code of the common
+    branch small enough to be compiled.
+    """
+    names = [f"v{i}" for i in range(len(values))]
+    packed = F.array(F.struct(*[v.alias(n) for v, n in zip(values, names, strict=True)]))
+    return F.get(F.transform(packed, lambda row: rule(*[row[n] for n in names])), F.lit(0))
+
+
+def _long_product(amount: Column, price: Column) -> Column:
     amount_whole, amount_rest = _split(amount)
     price_whole, price_rest = _split(price)
-    long = (
+    return (
         (amount_whole * price_whole).try_cast(_TERM)
         + (amount_whole * price_rest).try_cast(_TERM)
         + (amount_rest * price_whole).try_cast(_TERM)
         + (amount_rest * price_rest).try_cast(_TERM)
-    )
-    return F.when(fits, (short_amount * short_price).cast(AMOUNT)).otherwise(long)
+    ).cast(AMOUNT)
 
 
 def _split(value: Column) -> tuple[Column, Column]:
@@ -57,6 +75,11 @@ def _split(value: Column) -> tuple[Column, Column]:
     return whole, (value.try_cast(_WIDE) - whole).cast(_PART)
 
 
+def usd_below(amount: Column, price: Column, limit: int) -> Column:
+    """``amount * price < limit``, compared in millionths; a product too large to hold is not below."""
+    return F.coalesce(F.try_multiply(amount, price) < F.lit(limit), F.lit(False))
+
+
 def price_overflow(amount: Column, price: Column) -> Column:
     """True where both inputs are present but their USD value is not representable."""
     return amount.isNotNull() & price.isNotNull() & usd_value(amount, price).isNull()
@@ -71,8 +94,14 @@ def scaled_integer(value: Column, digits: int) -> Column:
 
 def whole_coins(units: Column) -> Column:
     """Integer amount in units of 1e-18 coin as whole coins, exact to the last unit."""
+    few = units.try_cast(_WHOLE)
+    unit = F.lit("0.000000000000000001").cast(_PART)
+    return F.when(few.isNotNull(), (few * unit).cast(AMOUNT)).otherwise(_bound(_many_units, units))
+
+
+def _many_units(units: Column) -> Column:
     units = units.try_cast("decimal(38,0)")
-    coin = F.lit(10**18).cast("decimal(19,0)")
+    coin = F.lit(10**18).cast(_WHOLE)
     rest = units % coin
     whole = ((units - rest) / coin).try_cast(_WHOLE).cast(_WIDE)
     part = (rest.cast(_WHOLE) * F.lit("0.000000000000000001").cast(_PART)).cast(_WIDE)

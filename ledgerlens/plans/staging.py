@@ -629,7 +629,7 @@ def db_harvests(w: Warehouse) -> DataFrame:
 
     Gas is recorded in the smallest coin unit and scaled to whole coins.
     """
-    usd = fn.usd_value(F.col("harvest_amount"), F.col("want_price"))
+    amount, price = F.col("harvest_amount"), F.col("want_price")
     key, start, end, above = MISPRICED
     rows = (
         staged(w, "db_harvests")
@@ -638,9 +638,15 @@ def db_harvests(w: Warehouse) -> DataFrame:
             F.col("txn_timestamp").isNotNull()
             & (F.col("harvest_amount") > 0)
             & (F.col("want_price") > 0)
-            & (usd < HARVEST_USD_CAP)
+            & fn.usd_below(amount, price, HARVEST_USD_CAP)
             & ~scoped_exclusion(
-                F.col("product_key"), key, F.col("txn_timestamp"), start, end, usd, above
+                F.col("product_key"),
+                key,
+                F.col("txn_timestamp"),
+                start,
+                end,
+                F.try_multiply(amount, price),
+                above,
             )
         )
     )

@@ -6,12 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerlens.workload import model_queries
+from ledgerlens.workload import model_queries, operator_queries
+
+_MODULES = (operator_queries, model_queries)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {**model_queries.queries()}
+    return {name: run for module in _MODULES for name, run in module.queries().items()}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {**model_queries.oracles()}
+    return {name: sql for module in _MODULES for name, sql in module.oracles().items()}

@@ -6,9 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerlens.workload import model_queries, operator_queries
-
-_MODULES = (operator_queries, model_queries)
+from ledgerlens.workload import (
+    function_queries,
+    io_queries,
+    model_queries,
+    operator_queries,
+)
+
+_MODULES = (io_queries, operator_queries, function_queries, model_queries)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

@@ -1,7 +1,7 @@
 """One presentation of results for both engines, so that values can be compared.
 
 A column is written ``name`` or ``name:kind``. Kinds: ``d`` number rounded to six
-decimals, ``t`` timestamp, ``s`` text list, ``n`` number list (``q`` with six decimals), ``i`` integer. Lists
+decimals, ``t`` timestamp, ``s`` text list, ``n`` number list (``q`` with six decimals), ``i`` integer, ``x`` text. Lists
 become comma-separated text and dates become midnight timestamps.
 """
 
@@ -31,6 +31,8 @@ def _spark(name: str, kind: str) -> Column:
         return F.coalesce(F.array_join(fixed, ","), F.lit(""))
     if kind == "i":
         return column.cast("bigint")
+    if kind == "x":
+        return column.cast("string")
     return column
 
 
@@ -47,6 +49,8 @@ def _duckdb(name: str, kind: str) -> str:
         )
     if kind == "i":
         return f"CAST({name} AS BIGINT)"
+    if kind == "x":
+        return f"CAST({name} AS VARCHAR)"
     return name
 
 

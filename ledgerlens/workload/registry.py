@@ -11,9 +11,10 @@ from ledgerlens.workload import (
     io_queries,
     model_queries,
     operator_queries,
+    staging_queries,
 )
 
-_MODULES = (io_queries, operator_queries, function_queries, model_queries)
+_MODULES = (io_queries, operator_queries, function_queries, staging_queries, model_queries)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

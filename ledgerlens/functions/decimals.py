@@ -1,26 +1,25 @@
 """Fixed-point money arithmetic inside Spark's 38 digits.
 
-Amounts and prices are stored as DECIMAL(38,18). A direct product of two such
-columns would lose scale, so ``usd_value`` multiplies narrower parts whose
-product type is exact and adds the parts up.
+Amounts and prices are stored as DECIMAL(38,18). The type of a product keeps
+18 decimals only if the factors have at most 19 whole digits between them, so
+``usd_value`` narrows the factors before multiplying.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 AMOUNT = T.DecimalType(38, 18)
 
-_SHORT_AMOUNT = "decimal(24,12)"
-_SHORT_PRICE = "decimal(13,8)"
-_WHOLE = "decimal(19,0)"
-_PART = "decimal(18,18)"
-_WIDE = "decimal(37,18)"
-_TERM = "decimal(35,18)"
+# Types of (amount, price) with 18 decimals each and 12+7, 17+2 and 7+12 whole
+# digits. Every product type is DECIMAL(38,18), rounded from the exact product.
+_FACTORS = (
+    ("decimal(30,18)", "decimal(25,18)"),
+    ("decimal(35,18)", "decimal(20,18)"),
+    ("decimal(25,18)", "decimal(30,18)"),
+)
 
 
 def to_decimal(value: Column) -> Column:
@@ -33,46 +32,14 @@ def decimal_or_zero(value: Column) -> Column:
 
 
 def usd_value(amount: Column, price: Column) -> Column:
-    """``amount * price`` as DECIMAL(38,18), exact to the last stored digit.
-
-    Values that fit 12 and 8 decimals (nearly all) take one multiplication. The
-    rest is split into a whole number and a remainder each: every product with a
-    whole number is exact, and remainder * remainder is rounded to 18 decimals.
-    Results past 17 whole digits are NULL; ``price_overflow`` finds those rows.
-    """
-    short_amount, short_price = amount.try_cast(_SHORT_AMOUNT), price.try_cast(_SHORT_PRICE)
-    fits = (short_amount == amount) & (short_price == price)
-    short = (short_amount * short_price).cast(AMOUNT)
-    return F.when(fits, short).otherwise(_bound(_long_product, amount, price))
-
-
-def _bound(rule: Callable[..., Column], *values: Column) -> Column:
-    """``rule`` over values that are evaluated once.
+    """``amount * price`` as DECIMAL(38,18): the exact product rounded to 18 decimals.
 
-    The rule mentions its arguments many times. Bound to lambda variables they
-    are not repeated in the plan, which keeps the generated code of the common
-    branch small enough to be compiled.
+    Factors with more whole digits than any of the three splits holds give NULL;
+    ``price_overflow`` finds those rows.
     """
-    names = [f"v{i}" for i in range(len(values))]
-    packed = F.array(F.struct(*[v.alias(n) for v, n in zip(values, names, strict=True)]))
-    return F.get(F.transform(packed, lambda row: rule(*[row[n] for n in names])), F.lit(0))
-
-
-def _long_product(amount: Column, price: Column) -> Column:
-    amount_whole, amount_rest = _split(amount)
-    price_whole, price_rest = _split(price)
-    return (
-        (amount_whole * price_whole).try_cast(_TERM)
-        + (amount_whole * price_rest).try_cast(_TERM)
-        + (amount_rest * price_whole).try_cast(_TERM)
-        + (amount_rest * price_rest).try_cast(_TERM)
-    ).cast(AMOUNT)
-
-
-def _split(value: Column) -> tuple[Column, Column]:
-    """Nearest whole number and the signed remainder, which add up to the value."""
-    whole = value.try_cast(_WHOLE)
-    return whole, (value.try_cast(_WIDE) - whole).cast(_PART)
+    return F.coalesce(
+        *[amount.try_cast(left) * price.try_cast(right) for left, right in _FACTORS]
+    )
 
 
 def usd_below(amount: Column, price: Column, limit: int) -> Column:
@@ -94,15 +61,11 @@ def scaled_integer(value: Column, digits: int) -> Column:
 
 def whole_coins(units: Column) -> Column:
     """Integer amount in units of 1e-18 coin as whole coins, exact to the last unit."""
-    few = units.try_cast(_WHOLE)
-    unit = F.lit("0.000000000000000001").cast(_PART)
-    return F.when(few.isNotNull(), (few * unit).cast(AMOUNT)).otherwise(_bound(_many_units, units))
-
-
-def _many_units(units: Column) -> Column:
-    units = units.try_cast("decimal(38,0)")
-    coin = F.lit(10**18).cast(_WHOLE)
-    rest = units % coin
-    whole = ((units - rest) / coin).try_cast(_WHOLE).cast(_WIDE)
-    part = (rest.cast(_WHOLE) * F.lit("0.000000000000000001").cast(_PART)).cast(_WIDE)
-    return (whole + part).cast(AMOUNT)
+    unit = F.lit("0.000000000000000001").cast("decimal(18,18)")
+    few = units.try_cast("decimal(19,0)") * unit
+    many = units.try_cast("decimal(38,0)")
+    coin = F.lit(10**18).cast("decimal(19,0)")
+    rest = many % coin
+    coins = ((many - rest) / coin).try_cast("decimal(37,18)")
+    exact = coins + (rest.cast("decimal(19,0)") * unit).cast("decimal(37,18)")
+    return F.coalesce(few, exact.cast(AMOUNT))

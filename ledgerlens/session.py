@@ -20,6 +20,9 @@ SETTINGS = {
 }
 
 
+ROWS_PER_FILE = 1_000_000
+
+
 def build_session(
     app_name: str = "ledgerlens",
     master: str | None = None,
@@ -71,5 +74,5 @@ def materialize(df: DataFrame, label: str = "stage") -> DataFrame:
     """
     spark = df.sparkSession
     path = scratch_path(spark, label)
-    df.write.mode("errorifexists").parquet(path)
+    df.write.option("maxRecordsPerFile", ROWS_PER_FILE).parquet(path)
     return spark.read.schema(df.schema).parquet(path)

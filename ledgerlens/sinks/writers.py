@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-ROWS_PER_FILE = 1_000_000
+from ledgerlens.session import ROWS_PER_FILE
 
 
 def write_view(df: DataFrame, name: str) -> None:

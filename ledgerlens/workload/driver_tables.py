@@ -386,6 +386,17 @@ RAW_SQL: dict[str, str] = {
 }
 
 
+LARGE = frozenset(
+    {
+        "db_harvests",
+        "db_zap_records",
+        "db_zap_parent_transactions",
+        "db_zap_token_transfers",
+        "idx_token_balance_change",
+    }
+)
+
+
 def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
@@ -412,7 +423,7 @@ def warehouse(spark: SparkSession, sf_dir: str, as_of: datetime = EVENTS_AS_OF)
         raw = {
             name: (lambda session, name=name: raw_table(session, sf_dir, name)) for name in RAW_SQL
         }
-        _WAREHOUSES[key] = Warehouse(spark, as_of, raw)
+        _WAREHOUSES[key] = Warehouse(spark, as_of, raw, land_raw=True, spread=LARGE)
     return _WAREHOUSES[key].at(as_of)
 
 

@@ -13,12 +13,14 @@ from pyspark.sql import types as T
 
 AMOUNT = T.DecimalType(38, 18)
 
-# Types of (amount, price) with 18 decimals each and 12+7, 17+2 and 7+12 whole
-# digits. Every product type is DECIMAL(38,18), rounded from the exact product.
+# Types of (amount, price) with 18 decimals each and 12+7, 14+5, 16+3 and 9+10
+# whole digits. Every product type is DECIMAL(38,18), rounded from the exact
+# product.
 _FACTORS = (
     ("decimal(30,18)", "decimal(25,18)"),
-    ("decimal(35,18)", "decimal(20,18)"),
-    ("decimal(25,18)", "decimal(30,18)"),
+    ("decimal(32,18)", "decimal(23,18)"),
+    ("decimal(34,18)", "decimal(21,18)"),
+    ("decimal(27,18)", "decimal(28,18)"),
 )
 
 
@@ -34,7 +36,7 @@ def decimal_or_zero(value: Column) -> Column:
 def usd_value(amount: Column, price: Column) -> Column:
     """``amount * price`` as DECIMAL(38,18): the exact product rounded to 18 decimals.
 
-    Factors with more whole digits than any of the three splits holds give NULL;
+    Factors with more whole digits than any of the four splits holds give NULL;
     ``price_overflow`` finds those rows.
     """
     return F.coalesce(

@@ -96,7 +96,9 @@ def rank_both_ways(
     known = long.groupBy("_label").agg(F.count("_value").alias("_known"))
     ordered = running_total(
         long, ["_label"], [F.col("_value").desc_nulls_last(), *[F.col(k).asc() for k in keys]]
-    ).join(known, "_label")
+    )
+    # One row per label named in the call; a shuffle by label would make few, huge partitions.
+    ordered = ordered.join(F.broadcast(known), "_label")
     gainer = (F.col("_before") + 1).cast("bigint")
     ranked = ordered.select(
         *keys,

@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerlens import functions as fn
-from ledgerlens.operators.aggregates import legs_to_arrays, most_frequent
+from ledgerlens.operators.aggregates import legs_to_arrays
 from ledgerlens.operators.joins import prefixed
 from ledgerlens.plans.dimensions import account, chain
 from ledgerlens.plans.staging import staging
@@ -75,20 +75,38 @@ def zap_transactions(w: Warehouse) -> DataFrame:
         .withColumnRenamed("network_id", "src_chain_id")
         .withColumnRenamed("txn_hash", "src_txn_hash")
     )
-    first = F.min(F.struct("block_number", "txn_idx", "event_idx", *_CARRIED[2:]))
-    context = single.groupBy(*TXN).agg(
-        first.alias("_first"),
+    # Per action first: the action counts give the mode without a second pass.
+    first = F.struct("block_number", "txn_idx", "event_idx", *_CARRIED[2:])
+    per_action = single.groupBy(*TXN, "action").agg(
+        F.count(F.lit(1)).alias("_n"),
+        F.min(first).alias("_first"),
+        F.sum("total_usd").alias("total_usd"),
+        F.sum("signed_usd").alias("signed_usd"),
+        F.collect_set("event_idx").alias("_events"),
+    )
+    known = F.col("action").isNotNull()
+    ranked = F.struct((-F.col("_n")).alias("_rank"), "action")
+    context = per_action.groupBy(*TXN).agg(
+        F.min("_first").alias("_first"),
+        F.min(F.when(known, ranked))["action"].alias("action"),
         F.sort_array(F.collect_set("action")).alias("actions"),
         F.sum("total_usd").alias("total_usd"),
         F.sum("signed_usd").alias("signed_usd"),
-        F.count_distinct("event_idx").alias("event_count"),
+        F.size(F.array_distinct(F.flatten(F.collect_list("_events")))).alias("event_count"),
+    )
+    return context.select(
+        *TXN,
+        *[F.col("_first")[c].alias(c) for c in _CARRIED],
+        "action",
+        "actions",
+        "total_usd",
+        "signed_usd",
+        "event_count",
     )
-    context = context.select(*TXN, *[F.col("_first")[c].alias(c) for c in _CARRIED], "actions", "total_usd", "signed_usd", "event_count")
-    return context.join(most_frequent(single, TXN, "action"), TXN, "left")
 
 
 def zap_legs(w: Warehouse) -> DataFrame:
-    """Token legs per transaction: parallel arrays and USD totals per leg kind."""
+    """Token legs per transaction: parallel arrays per leg kind, and their USD totals."""
     parent = [*_CALL, "event_idx"]
     events = w.model(zap_events).select(*parent, "txn_hash")
     symbols = staging(w, "db_price_oracles").select(
@@ -124,13 +142,14 @@ def zap_legs(w: Warehouse) -> DataFrame:
             "usd_values": "usd_value",
         },
     )
-    totals = legs.groupBy(*TXN).agg(
-        *[
-            F.sum(F.when(F.col("zap_type") == kind, F.col("usd_value"))).alias(f"{name}_usd")
-            for name, kind in kinds.items()
-        ]
+    return arrays.withColumns(
+        {f"{name}_usd": _array_total(F.col(f"{name}_usd_values")) for name in kinds}
     )
-    return totals.join(arrays, TXN, "left")
+
+
+def _array_total(values: Column) -> Column:
+    zero = F.lit(0).cast(fn.AMOUNT)
+    return F.aggregate(values, zero, lambda total, value: (total + value).cast(fn.AMOUNT))
 
 
 def zap_activity(w: Warehouse) -> DataFrame:

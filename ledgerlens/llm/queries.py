@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlens.llm import language_id, pieces, token_files
+from ledgerlens.llm import language_id, near_dup, pieces, token_files
 from ledgerlens.llm.share import share_package
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -39,6 +39,10 @@ def op3_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dup.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op5_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     store = token_files.token_store(docs, vocabulary_path("byte_bpe_50k.json"), end_id=2)
@@ -67,11 +71,39 @@ def op6_language(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op3_sentencepiece": op3_sentencepiece,
+    "op4_near_duplicates": op4_near_duplicates,
     "op5_token_files": op5_token_files,
     "op6_language": op6_language,
 }
 
-ORACLES: dict[str, str] = {}
+NEAR_DUPLICATES_SQL = r"""
+WITH RECURSIVE words AS (
+    SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w
+    FROM documents
+),
+shingles AS (
+    SELECT DISTINCT doc_id, hash(array_to_string(w[i:i + 4], ' ')) AS s
+    FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 3, 2))) AS i FROM words WHERE len(w) > 0)
+),
+sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
+links AS (
+    SELECT x.doc_id AS a, y.doc_id AS b
+    FROM shingles x JOIN shingles y ON x.s = y.s AND x.doc_id <> y.doc_id
+    JOIN sizes p ON p.doc_id = x.doc_id JOIN sizes q ON q.doc_id = y.doc_id
+    GROUP BY x.doc_id, y.doc_id, p.n, q.n
+    HAVING 100 * count(*) >= 75 * (p.n + q.n - count(*))
+),
+reach AS (
+    SELECT doc_id AS node, doc_id AS seen FROM documents
+    UNION
+    SELECT r.node, l.b FROM reach r JOIN links l ON l.a = r.seen
+)
+SELECT d.doc_id, coalesce(any_value(s.n), 0)::BIGINT AS n_shingles, min(r.seen) AS component_id, d.doc_id = min(r.seen) AS kept
+FROM documents d JOIN reach r ON r.node = d.doc_id LEFT JOIN sizes s ON s.doc_id = d.doc_id
+GROUP BY d.doc_id
+"""
+
+ORACLES: dict[str, str] = {"op4_near_duplicates": NEAR_DUPLICATES_SQL}
 
 
 def queries() -> dict[str, Query]:

@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlens.llm import language_id, near_dup, pieces, token_files
+from ledgerlens.llm import language_id, near_dup, pieces, repeated_spans, token_files
 from ledgerlens.llm.share import share_package
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -69,11 +69,17 @@ def op6_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.identify(docs, model, keep=["held_out"]).select("doc_id", "held_out", "lang_pred", "score")
 
 
+def op9_repeated_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    left = repeated_spans.remove_repeats(table(spark, sf_dir, "documents"))
+    return left.select("doc_id", "n_words", "n_removed", F.sha2("kept_words", 256).alias("kept_sha256"))
+
+
 QUERIES: dict[str, Query] = {
     "op3_sentencepiece": op3_sentencepiece,
     "op4_near_duplicates": op4_near_duplicates,
     "op5_token_files": op5_token_files,
     "op6_language": op6_language,
+    "op9_repeated_spans": op9_repeated_spans,
 }
 
 NEAR_DUPLICATES_SQL = r"""
@@ -103,7 +109,35 @@ FROM documents d JOIN reach r ON r.node = d.doc_id LEFT JOIN sizes s ON s.doc_id
 GROUP BY d.doc_id
 """
 
-ORACLES: dict[str, str] = {"op4_near_duplicates": NEAR_DUPLICATES_SQL}
+REPEATED_SPANS_SQL = r"""
+WITH words AS (
+    SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents
+),
+starts AS (
+    SELECT doc_id, i, array_to_string(w[i:i + 12], ' ') AS s
+    FROM (SELECT doc_id, w, unnest(range(1, len(w) - 11)) AS i FROM words WHERE len(w) >= 13)
+),
+lows AS (SELECT s, min(doc_id) AS low FROM starts GROUP BY s),
+gone AS (
+    SELECT DISTINCT doc_id, unnest(range(i, i + 13)) AS i
+    FROM starts JOIN lows USING (s) WHERE low < doc_id
+),
+listed AS (
+    SELECT doc_id, i, w[i] AS word FROM (SELECT doc_id, w, unnest(range(1, len(w) + 1)) AS i FROM words)
+),
+kept AS (
+    SELECT l.doc_id, count(*) AS n, string_agg(word, ' ' ORDER BY l.i) AS t
+    FROM listed l LEFT JOIN gone g ON g.doc_id = l.doc_id AND g.i = l.i WHERE g.i IS NULL GROUP BY l.doc_id
+)
+SELECT w.doc_id, len(w.w)::BIGINT AS n_words, (len(w.w) - coalesce(k.n, 0))::BIGINT AS n_removed,
+       sha256(coalesce(k.t, '')) AS kept_sha256
+FROM words w LEFT JOIN kept k ON k.doc_id = w.doc_id
+"""
+
+ORACLES: dict[str, str] = {
+    "op9_repeated_spans": REPEATED_SPANS_SQL,
+    "op4_near_duplicates": NEAR_DUPLICATES_SQL,
+}
 
 
 def queries() -> dict[str, Query]:

@@ -3,8 +3,9 @@
 The top four bits of a word select how many values it holds and how wide each
 is; values fill the word from its low end. Selector 15 is the escape: the word
 after it is one raw 64-bit value, for values of 2**60 and more. Selector 0 is
-not used. A stream is cut into blocks of ``BLOCK`` values whose first word is
-listed, so blocks are decoded independently and all at once.
+not used. A stream is cut into blocks of at most ``BLOCK`` values; the size and
+the first word of each are listed, so blocks are decoded independently and all
+at once, and streams are joined by joining their words and lists.
 """
 
 from __future__ import annotations
@@ -22,47 +23,58 @@ COUNTS = np.array([0, *[n for n, _ in PACKINGS], 1], dtype=np.int64)
 WIDTHS = np.array([0, *[w for _, w in PACKINGS], 64], dtype=np.int64)
 
 
-def _selectors(values: np.ndarray) -> np.ndarray:
+def block_sizes(lengths: np.ndarray) -> np.ndarray:
+    """Sizes of the blocks of several streams one after another; no block spans two."""
+    lengths = np.asarray(lengths, dtype=np.int64)
+    counts = -(-lengths // BLOCK)
+    sizes = np.full(int(counts.sum()), BLOCK, dtype=np.int64)
+    last = np.cumsum(counts)[counts > 0] - 1
+    sizes[last] = (lengths - (counts - 1) * BLOCK)[counts > 0]
+    return sizes
+
+
+def _selectors(values: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     """At each position the selector of the word that would start there.
 
     A word may reach past the end of its block: it is filled with zeros.
     """
-    size = len(values)
-    blocks = -(-size // BLOCK)
-    bits = np.zeros((blocks, BLOCK + PACKINGS[0][0]), dtype=np.uint8)
-    flat = np.zeros(blocks * BLOCK, dtype=np.uint8)
-    flat[:size] = np.frexp(values.astype(np.float64))[1]  # may be one too many from 2**53 on
-    bits[:, :BLOCK] = flat.reshape(blocks, BLOCK)
-    chosen = np.full((blocks, BLOCK), ESCAPE, dtype=np.uint8)
+    pad = PACKINGS[0][0]
+    place = np.arange(len(values)) + np.repeat(np.arange(len(sizes)) * pad, sizes)
+    bits = np.zeros(len(values) + (len(sizes) + 1) * pad, dtype=np.uint8)
+    bits[place] = np.frexp(values.astype(np.float64))[1]  # may be one too many from 2**53 on
+    chosen = np.full(len(bits), ESCAPE, dtype=np.uint8)
     window, reach = bits.copy(), 1
     for selector in range(len(PACKINGS), 0, -1):  # ever more and narrower values; the last that fits stays
         count, width = PACKINGS[selector - 1]
         while reach < count:
-            np.maximum(window[:, :-reach], bits[:, reach:], out=window[:, :-reach])
+            np.maximum(window[:-reach], bits[reach:], out=window[:-reach])
             reach += 1
-        chosen[window[:, :BLOCK] <= width] = selector
-    return chosen.reshape(-1)[:size]
+        chosen[window <= width] = selector
+    return chosen[place]
 
 
-def encode(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(words, index of each block's first word) of non-negative integers."""
+def encode(values: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(words, number of words of each block) of non-negative integers in blocks of ``sizes``."""
     values = np.asarray(values).astype(np.uint64)
-    size = len(values)
-    chosen = _selectors(values)
+    if not len(values):
+        return np.zeros(0, dtype=np.uint64), np.zeros(len(sizes), dtype=np.int64)
+    chosen = _selectors(values, sizes)
     step = COUNTS[chosen].tolist()
-    starts, firsts = [], []
-    for begin in range(0, size, BLOCK):
-        firsts.append(len(starts))
-        at, stop = begin, min(begin + BLOCK, size)
+    stops = np.cumsum(sizes)
+    starts, per_block, at = [], [], 0
+    for stop in stops.tolist():
+        before = len(starts)
         while at < stop:
             starts.append(at)
             at += step[at]
+        at = stop
+        per_block.append(len(starts) - before)
     starts = np.array(starts, dtype=np.int64)
     kinds = chosen[starts]
-    escapes = kinds == ESCAPE
-    place = np.arange(len(starts)) + np.concatenate(([0], np.cumsum(escapes)[:-1])) if len(starts) else starts
+    escapes = (kinds == ESCAPE).astype(np.int64)
+    place = np.arange(len(starts)) + np.cumsum(escapes) - escapes
     words = np.zeros(len(starts) + int(escapes.sum()), dtype=np.uint64)
-    ends = np.minimum((starts // BLOCK + 1) * BLOCK, size)
+    ends = np.repeat(stops, per_block)
     for kind in np.unique(kinds):
         mine = kinds == kind
         first, last = starts[mine], ends[mine]
@@ -73,38 +85,39 @@ def encode(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         word = np.full(len(first), int(kind) << 60, dtype=np.uint64)
         for k in range(COUNTS[kind]):
             there = first + k < last
-            value = np.where(there, values[np.minimum(first + k, size - 1)], np.uint64(0))
+            value = np.where(there, values[np.minimum(first + k, len(values) - 1)], np.uint64(0))
             word |= value << np.uint64(k * int(WIDTHS[kind]))
         words[place[mine]] = word
-    shift = np.concatenate(([0], np.cumsum(escapes))).astype(np.int64)
-    firsts = np.array(firsts, dtype=np.int64)
-    return words, firsts + shift[firsts] if len(firsts) else firsts
+    block = np.repeat(np.arange(len(sizes)), per_block)
+    return words, np.array(per_block) + np.bincount(block, escapes, len(sizes)).astype(np.int64)
 
 
-def decode(words: np.ndarray, firsts: np.ndarray, size: int) -> np.ndarray:
-    """The ``size`` values of a stream, all words of one kind at a time."""
+def decode(words: np.ndarray, counts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """The values of blocks with ``counts`` words and ``sizes`` values, all words of one kind at a time."""
     words = np.asarray(words, dtype=np.uint64)
     kinds = (words >> np.uint64(60)).astype(np.int64)
     raw = np.zeros(len(words), dtype=bool)
+    firsts = np.cumsum(counts) - counts
     if (kinds == ESCAPE).any():
         # A raw value may look like any word: walk the blocks that hold escapes.
-        bounds = [*np.asarray(firsts).tolist(), len(words)]
-        for at, stop in zip(bounds, bounds[1:], strict=False):
+        for at, count in zip(firsts.tolist(), np.asarray(counts).tolist(), strict=True):
+            stop = at + count
             if (kinds[at:stop] == ESCAPE).any():
                 while at < stop:
                     if kinds[at] == ESCAPE:
                         raw[at + 1] = True
                         at += 1
                     at += 1
+    block = np.repeat(np.arange(len(sizes)), counts)[~raw]
     heads = np.flatnonzero(~raw)
     kinds = kinds[heads]
-    counts = COUNTS[kinds]
-    block = np.searchsorted(firsts, heads, side="right") - 1
-    before = np.cumsum(counts) - counts
-    base = before[np.searchsorted(heads, firsts)] if len(firsts) else before
-    out_at = before - base[block] + block * BLOCK if len(heads) else before
-    limit = np.minimum((block + 1) * BLOCK, size)
-    out = np.zeros(size, dtype=np.uint64)
+    held = COUNTS[kinds]
+    before = np.cumsum(held) - held
+    first_head = np.searchsorted(heads, firsts)
+    begins = np.cumsum(sizes) - sizes
+    out_at = before - before[np.minimum(first_head, len(heads) - 1)][block] + begins[block]
+    limit = (begins + sizes)[block]
+    out = np.zeros(int(np.sum(sizes)), dtype=np.uint64)
     for kind in np.unique(kinds):
         mine = kinds == kind
         where, stop, head = out_at[mine], limit[mine], heads[mine]

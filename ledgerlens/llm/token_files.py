@@ -4,12 +4,12 @@ A store is a folder of Parquet files whose rows are self-contained segments in
 ascending document order: ``file`` and ``segment`` number them, ``first`` is the
 number of ids before the segment in its file, and ``payload`` is, little endian,
 
-    magic "S8B1", u32 documents, u32 blocks, u32 words, u64 ids,
-    documents x (i64 doc_id, u32 ids), blocks x u32 index of the first word, words x u64
+    magic "S8B1", u32 documents, u32 blocks, u32 words,
+    documents x (i64 doc_id, u32 ids), blocks x u32 words in the block, words x u64
 
-Spark writes them, so a lost task leaves no partial file. A second small table
-holds each file's number of ids; their running sums place every document in the
-whole corpus.
+A document's blocks follow from its number of ids. Ids are packed as soon as they
+are known: only packed words travel to the file that takes them. Spark writes the
+files, so a lost task leaves no partial one.
 
 Nulls: a null text has no ids but the end id; a row without a doc_id comes
 before all others, with id ``NO_ID`` inside the payload. Repeated doc_ids give a
@@ -36,10 +36,31 @@ from ledgerlens.llm.memo import WordMemo
 from ledgerlens.session import scratch_path
 
 NO_ID = -(2**63)
+HEAD = "<4sIII"
 SEGMENT_IDS = 65_536
-#: No pre-token reaches across these cuts as long as the text has no white space but these two.
-CUT = re.compile(r" ?[^ \n]+|[ \n]+(?![^ \n])|[ \n]")
-OTHER_SPACE = re.compile(r"[^\S \n]")
+#: White space other than single spaces and single line ends between other characters.
+ODD_SPACE = re.compile(r"[^\S \n]|[ \n]{2}|^[ \n]|[ \n]\Z")
+
+
+def _chunks(text: str) -> list[str]:
+    """Cuts a text at single spaces and line ends, where no pre-token reaches across.
+
+    A plain word stands for itself after a space; the first word has a tab in front,
+    a word at the start of another line keeps its line end.
+    """
+    lines = ("\t" + text).split("\n")
+    if len(lines) == 1:
+        return lines[0].split(" ")
+    out = lines[0].split(" ")
+    for line in lines[1:]:
+        words = line.split(" ")
+        words[0] = "\n" + words[0]
+        out += words
+    return out
+
+
+def _spelled(chunk: str) -> str:
+    return chunk[1:] if chunk[:1] == "\t" else chunk if chunk[:1] == "\n" else " " + chunk
 
 
 @lru_cache(maxsize=2)
@@ -54,46 +75,62 @@ def _tokenizer(path: str):
         found = tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return [array("I", e.ids).tobytes() for e in found]
 
-    return encode, WordMemo(encode, keep=600_000), special
+    return encode, WordMemo(lambda chunks: encode([*map(_spelled, chunks)]), keep=500_000), special
 
 
 def encode_ids(docs: DataFrame, tokenizer_path: str, end_id: int, id_col="doc_id", text_col="text") -> DataFrame:
-    """``doc_id long, ids binary`` (little-endian unsigned 32-bit), the end id last, as the tokenizer encodes whole texts."""
+    """``doc_id long, n_ids long, counts binary, words binary``: each document's packed ids, ``end_id`` last.
+
+    The ids are those the tokenizer gives for the whole text.
+    """
     tail = np.array([end_id], "<u4").tobytes()
 
     def run(batches):
         encode, memo, special = _tokenizer(tokenizer_path)
         for batch, texts in text_slices(batches, "text"):
             texts = [t or "" for t in texts]
-            whole = [bool(OTHER_SPACE.search(t)) or any(s in t for s in special) for t in texts]
-            data = memo.joined([[] if w else CUT.findall(t) for t, w in zip(texts, whole, strict=True)])
+            whole = [not t or bool(ODD_SPACE.search(t)) or any(s in t for s in special) for t in texts]
+            data = memo.joined([[] if w else _chunks(t) for t, w in zip(texts, whole, strict=True)])
             odd = iter(encode([t for t, w in zip(texts, whole, strict=True) if w]))
             data = [(next(odd) if w else d) + tail for d, w in zip(data, whole, strict=True)]
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(data, pa.binary())], ["doc_id", "ids"])
+            lengths = np.array([len(d) // 4 for d in data])
+            sizes = simple8b.block_sizes(lengths)
+            words, counts = simple8b.encode(np.frombuffer(b"".join(data), "<u4"), sizes)
+            blocks = np.cumsum(-(-lengths // simple8b.BLOCK))
+            ends = np.concatenate(([0], np.cumsum(counts)))[blocks]
+            first, start, packed, listed = 0, 0, [], []
+            for block, end in zip(blocks.tolist(), ends.tolist(), strict=True):
+                listed.append(counts[first:block].astype("<u4").tobytes())
+                packed.append(words[start:end].astype("<u8").tobytes())
+                first, start = block, end
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("doc_id"), pa.array(lengths, pa.int64()), pa.array(listed, pa.binary()), pa.array(packed, pa.binary())],
+                ["doc_id", "n_ids", "counts", "words"],
+            )
 
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    return rows.mapInArrow(run, "doc_id long, ids binary")
+    return rows.mapInArrow(run, "doc_id long, n_ids long, counts binary, words binary")
 
 
-def _pack(documents: list[tuple[int, bytes]]) -> bytes:
-    ids = np.frombuffer(b"".join(d for _, d in documents), "<u4")
-    words, firsts = simple8b.encode(ids)
-    table = np.array([(i, len(d) // 4) for i, d in documents], dtype=[("doc_id", "<i8"), ("n", "<u4")])
-    head = struct.pack("<4sIIIQ", b"S8B1", len(documents), len(firsts), len(words), len(ids))
-    return head + table.tobytes() + firsts.astype("<u4").tobytes() + words.astype("<u8").tobytes()
+def _pack(documents: list[tuple[int, int, bytes, bytes]]) -> bytes:
+    table = np.array([d[:2] for d in documents], dtype=[("doc_id", "<i8"), ("n", "<u4")])
+    counts, words = b"".join(d[2] for d in documents), b"".join(d[3] for d in documents)
+    head = struct.pack(HEAD, b"S8B1", len(documents), len(counts) // 4, len(words) // 8)
+    return head + table.tobytes() + counts + words
 
 
 def unpack(payload: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(doc_ids, number of ids of each, all ids) of a segment."""
-    magic, documents, blocks, n_words, size = struct.unpack_from("<4sIIIQ", payload)
+    magic, documents, blocks, n_words = struct.unpack_from(HEAD, payload)
     if magic != b"S8B1":
         raise ValueError("not a token segment")
-    at = struct.calcsize("<4sIIIQ")
+    at = struct.calcsize(HEAD)
     table = np.frombuffer(payload, [("doc_id", "<i8"), ("n", "<u4")], documents, at)
     at += table.nbytes
-    firsts = np.frombuffer(payload, "<u4", blocks, at).astype(np.int64)
+    counts = np.frombuffer(payload, "<u4", blocks, at).astype(np.int64)
     words = np.frombuffer(payload, "<u8", n_words, at + 4 * blocks)
-    return table["doc_id"], table["n"].astype(np.int64), simple8b.decode(words, firsts, size)
+    lengths = table["n"].astype(np.int64)
+    return table["doc_id"], lengths, simple8b.decode(words, counts, simple8b.block_sizes(lengths))
 
 
 def _bounds(docs: DataFrame, id_col: str, files: int) -> list[int]:
@@ -106,7 +143,7 @@ def _bounds(docs: DataFrame, id_col: str, files: int) -> list[int]:
 
 
 def write_tokens(encoded: DataFrame, path: str, bounds: list[int]) -> None:
-    """Writes ``doc_id, ids`` below ``path``. ``bounds`` cut the doc_ids into files.
+    """Writes the rows of ``encode_ids`` below ``path``. ``bounds`` cut the doc_ids into files.
 
     A file takes the rows between two bounds: repeated doc_ids stay together.
     """
@@ -116,7 +153,7 @@ def write_tokens(encoded: DataFrame, path: str, bounds: list[int]) -> None:
     cuts = F.array(*[F.lit(b).cast("long") for b in bounds]) if bounds else None
     number = F.lit(0) if cuts is None else F.size(F.filter(cuts, lambda b: b <= key))
     rows = encoded.withColumn("file", number.cast("int"))
-    rows = rows.repartitionById(len(bounds) + 1, "file").sortWithinPartitions(key, "ids")
+    rows = rows.repartitionById(len(bounds) + 1, "file").sortWithinPartitions(key, "words")
 
     def pack(batches):
         part, first, segment, held, size = 0, 0, 0, [], 0
@@ -133,21 +170,21 @@ def write_tokens(encoded: DataFrame, path: str, bounds: list[int]) -> None:
             return row
 
         for batch in batches:
-            for doc_id, ids in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+            for doc_id, n_ids, counts, words in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 doc_id = NO_ID if doc_id is None else doc_id
                 now = bisect_right(bounds, doc_id)
                 if held and now != part:
                     yield flush()
                     first = segment = 0
                 part = now
-                held.append((doc_id, ids))
-                size += len(ids) // 4
+                held.append((doc_id, n_ids, counts, words))
+                size += n_ids
                 if size >= SEGMENT_IDS:
                     yield flush()
         if held:
             yield flush()
 
-    rows.select("doc_id", "ids").mapInArrow(
+    rows.select("doc_id", "n_ids", "counts", "words").mapInArrow(
         pack, "file int, segment int, first long, n_ids long, payload binary"
     ).write.parquet(path)
 
@@ -157,7 +194,7 @@ def read_tokens(spark, path: str) -> DataFrame:
     segments = spark.read.parquet(path)
     ordered = Window.orderBy("file").rowsBetween(Window.unboundedPreceding, -1)
     files = segments.groupBy("file").agg(F.sum("n_ids").alias("n"))
-    # One row per file: the only rows that meet in one task.
+    # One row per file, and there are no more files than write_tokens was given bounds for.
     starts = files.select("file", F.coalesce(F.sum("n").over(ordered), F.lit(0)).alias("base"))
 
     def run(batches):
@@ -175,7 +212,7 @@ def read_tokens(spark, path: str) -> DataFrame:
                     ["doc_id", "start", "ids"],
                 )
 
-    placed = segments.join(starts, "file").select((F.col("base") + F.col("first")).alias("start"), "payload")
+    placed = segments.join(F.broadcast(starts), "file").select((F.col("base") + F.col("first")).alias("start"), "payload")
     return placed.mapInArrow(run, "doc_id long, start long, ids array<long>")
 
 

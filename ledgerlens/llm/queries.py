@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlens.llm import language_id, near_dup, pieces, repeated_spans, token_files
+from ledgerlens.llm import chat, language_id, near_dup, pieces, repeated_spans, token_files
 from ledgerlens.llm.share import share_package
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -74,12 +74,31 @@ def op9_repeated_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return left.select("doc_id", "n_words", "n_removed", F.sha2("kept_words", 256).alias("kept_sha256"))
 
 
+def op10_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    said = "</s>[INST] ok [/INST]"
+    extra = spark.sql(f"SELECT -7L AS conv_id, t AS turn, r AS role, '{said}' AS text FROM VALUES (0L, 'user'), (1L, 'assistant') AS v(t, r)")
+    done = chat.format_conversations(rows.unionByName(extra))
+    read = done.select("conv_id", "valid", "formatted", chat.read_turns(F.col("formatted")).alias("turns"), chat.loss_text(F.col("segments")).alias("loss"))
+    lines = F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n")))
+    return read.select(
+        "conv_id",
+        F.size("turns").cast("long").alias("n_turns"),
+        F.sha2(F.array_join(lines, ""), 256).alias("turns_sha256"),
+        F.length("loss").cast("long").alias("loss_chars"),
+        F.sha2("loss", 256).alias("loss_sha256"),
+        F.length("formatted").cast("long").alias("formatted_chars"),
+        "valid",
+    )
+
+
 QUERIES: dict[str, Query] = {
     "op3_sentencepiece": op3_sentencepiece,
     "op4_near_duplicates": op4_near_duplicates,
     "op5_token_files": op5_token_files,
     "op6_language": op6_language,
     "op9_repeated_spans": op9_repeated_spans,
+    "op10_chat": op10_chat,
 }
 
 NEAR_DUPLICATES_SQL = r"""
@@ -134,7 +153,35 @@ SELECT w.doc_id, len(w.w)::BIGINT AS n_words, (len(w.w) - coalesce(k.n, 0))::BIG
 FROM words w LEFT JOIN kept k ON k.doc_id = w.doc_id
 """
 
+CHAT_SQL = r"""
+WITH turns AS (
+    SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+    UNION ALL SELECT -7, 0, 'user', '</s>[INST] ok [/INST]'
+    UNION ALL SELECT -7, 1, 'assistant', '</s>[INST] ok [/INST]'
+),
+placed AS (
+    SELECT *, row_number() OVER w AS n, lag(role) OVER w AS before, lead(role) OVER w AS after
+    FROM turns WINDOW w AS (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text)
+),
+sized AS (
+    SELECT *, len('<|im_start|>') + len(role) + 1 + len('<|im_end|>') + 1 + len(text)
+        + len(text) - len(replace(text, '\', ''))
+        + list_sum([(len(text) - len(replace(text, m, ''))) // len(m) FOR m IN
+            ['<|im_start|>', '<|im_end|>', '<|endoftext|>', '<s>', '</s>', '[INST]', '[/INST]', '<<SYS>>', '<</SYS>>']]) AS size,
+        CASE WHEN before IS NULL THEN role IN ('system', 'user') WHEN before IN ('system', 'assistant') THEN role = 'user'
+             WHEN before = 'user' THEN role = 'assistant' ELSE false END
+        AND (after IS NOT NULL OR role = 'assistant') AS fits
+    FROM placed
+)
+SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY n)) AS turns_sha256,
+       coalesce(sum(len(text)) FILTER (role = 'assistant'), 0)::BIGINT AS loss_chars,
+       sha256(coalesce(string_agg(text, '' ORDER BY n) FILTER (role = 'assistant'), '')) AS loss_sha256,
+       sum(size)::BIGINT AS formatted_chars, bool_and(fits) AS valid
+FROM sized GROUP BY conv_id
+"""
+
 ORACLES: dict[str, str] = {
+    "op10_chat": CHAT_SQL,
     "op9_repeated_spans": REPEATED_SPANS_SQL,
     "op4_near_duplicates": NEAR_DUPLICATES_SQL,
 }

@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlens.llm import chat, language_id, near_dup, pieces, repeated_spans, token_files
+from ledgerlens.llm import chat, language_id, mixing, near_dup, pieces, repeated_spans, token_files
 from ledgerlens.llm.share import share_package
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -28,6 +28,22 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+#: Wanted shares of a training mix; only toxic documents may fall below their present tokens.
+TARGETS = {"good": 0.83, "plain": 0.165, "toxic": 0.005}
+FLOORS = ["good", "plain"]
+
+
+def domains_of(labels: DataFrame) -> DataFrame:
+    """``doc_id, domain`` of the labelled table."""
+    domain = F.when(F.col("toxic") == 1, "toxic").when(F.col("quality") == 1, "good").when(F.col("quality") == 0, "plain")
+    return labels.select("doc_id", domain.alias("domain"))
+
+
+def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    labels = domains_of(table(spark, sf_dir, "labels"))
+    return mixing.mix(table(spark, sf_dir, "documents"), labels, TARGETS, FLOORS)
+
+
 def op3_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = vocabulary_path("piece_bpe_32k.model")
     coded = pieces.decode_pieces(pieces.encode_pieces(table(spark, sf_dir, "documents"), model), model)
@@ -93,6 +109,7 @@ def op10_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op2_mixing": op2_mixing,
     "op3_sentencepiece": op3_sentencepiece,
     "op4_near_duplicates": op4_near_duplicates,
     "op5_token_files": op5_token_files,

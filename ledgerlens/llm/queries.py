@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlens.llm import chat, language_id, mixing, near_dup, pieces, repeated_spans, token_files
+from ledgerlens.llm import chat, html_text, language_id, mixing, near_dup, pieces, repeated_spans, token_files
 from ledgerlens.llm.share import share_package
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -28,6 +28,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.extract_text(table(spark, sf_dir, "pages"))
+
+
 #: Wanted shares of a training mix; only toxic documents may fall below their present tokens.
 TARGETS = {"good": 0.83, "plain": 0.165, "toxic": 0.005}
 FLOORS = ["good", "plain"]
@@ -109,6 +113,7 @@ def op10_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op1_html_text": op1_html_text,
     "op2_mixing": op2_mixing,
     "op3_sentencepiece": op3_sentencepiece,
     "op4_near_duplicates": op4_near_duplicates,

@@ -10,7 +10,18 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlens.llm import chat, html_text, language_id, mixing, near_dup, pieces, repeated_spans, token_files
+from ledgerlens.llm import (
+    chat,
+    hamming_index,
+    html_text,
+    language_id,
+    mixing,
+    near_dup,
+    pieces,
+    repeated_spans,
+    token_files,
+    top_products,
+)
 from ledgerlens.llm.share import share_package
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -89,6 +100,14 @@ def op6_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.identify(docs, model, keep=["held_out"]).select("doc_id", "held_out", "lang_pred", "score")
 
 
+def op7_top_products(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return top_products.top_products(table(spark, sf_dir, "embeddings"), F.col("id") % 100 == 0, 10)
+
+
+def op8_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hamming_index.nearest(table(spark, sf_dir, "embeddings"), F.col("id") % 50 == 0, 5)
+
+
 def op9_repeated_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
     left = repeated_spans.remove_repeats(table(spark, sf_dir, "documents"))
     return left.select("doc_id", "n_words", "n_removed", F.sha2("kept_words", 256).alias("kept_sha256"))
@@ -119,6 +138,8 @@ QUERIES: dict[str, Query] = {
     "op4_near_duplicates": op4_near_duplicates,
     "op5_token_files": op5_token_files,
     "op6_language": op6_language,
+    "op7_top_products": op7_top_products,
+    "op8_nearest": op8_nearest,
     "op9_repeated_spans": op9_repeated_spans,
     "op10_chat": op10_chat,
 }
@@ -202,7 +223,22 @@ SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text |
 FROM sized GROUP BY conv_id
 """
 
+TOP_PRODUCTS_SQL = """
+WITH vectors AS (
+    SELECT vec_id, [floor(1024 * x::DOUBLE)::BIGINT FOR x IN embedding] AS v FROM embeddings
+    WHERE len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+),
+scores AS (
+    SELECT q.vec_id AS query_id, c.vec_id, list_dot_product(q.v::DOUBLE[], c.v::DOUBLE[])::BIGINT AS score
+    FROM vectors q JOIN vectors c ON q.vec_id % 100 = 0 AND c.vec_id <> q.vec_id
+)
+SELECT query_id, rank::INTEGER AS rank, vec_id, score
+FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM scores)
+WHERE rank <= 10
+"""
+
 ORACLES: dict[str, str] = {
+    "op7_top_products": TOP_PRODUCTS_SQL,
     "op10_chat": CHAT_SQL,
     "op9_repeated_spans": REPEATED_SPANS_SQL,
     "op4_near_duplicates": NEAR_DUPLICATES_SQL,

@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlens.llm import language_id, pieces
-from ledgerlens.llm.queries import vocabulary_path
+from ledgerlens.llm import language_id, mixing, near_dup, pieces, repeated_spans
+from ledgerlens.llm.queries import FLOORS, TARGETS, domains_of, vocabulary_path
 from ledgerlens.llm.share import share_package
 from ledgerlens.session import materialize
 
@@ -26,6 +26,42 @@ def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     return kept.select(*docs.columns)
 
 
+def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The first document of each group of near duplicates.
+
+    Repeated rows of a kept document stay for the stages that follow; rows
+    without a doc_id stay too.
+    """
+    share_package(spark)
+    found = near_dup.near_duplicates(docs)
+    dropped = found.where(~F.col("kept")).select("doc_id")
+    return docs.join(dropped, "doc_id", "left_anti").select(*docs.columns)
+
+
+def without_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Texts without the passages of 13 words and more that an earlier document holds.
+
+    A document that loses no word keeps its text as it is; else the words left are
+    joined by single spaces. Documents that lose every word go.
+    """
+    share_package(spark)
+    left = repeated_spans.remove_repeats(docs, keep=("text", "lang", "source", "n_chars"))
+    left = left.where((F.col("n_removed") == 0) | (F.col("n_removed") < F.col("n_words")))
+    text = F.when(F.col("n_removed") == 0, F.col("text")).otherwise(F.col("kept_words"))
+    size = F.when(F.col("n_removed") == 0, F.col("n_chars")).otherwise(F.length("kept_words").cast("long"))
+    return left.select("doc_id", text.alias("text"), "lang", "source", size.alias("n_chars"))
+
+
+def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """As many rows of each document as its rate asks for; only rates below one leave documents out."""
+    labels = domains_of(spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    rated = mixing.mix(docs, labels, TARGETS, FLOORS).select(F.col("doc_id").alias("rated_id"), "copies")
+    # A bound on rows per document comes from its rate; the join may be split at a hot document.
+    joined = docs.join(rated, docs["doc_id"].eqNullSafe(rated["rated_id"])).where("copies > 0")
+    rows = joined.withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), "copies")))
+    return rows.select(*[docs[c] for c in docs.columns])
+
+
 def token_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The SentencePiece ids of each document, with the end id."""
     share_package(spark)
@@ -35,6 +71,9 @@ def token_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
     ("language", known_language),
+    ("near-duplicates", one_of_each),
+    ("repeated-passages", without_repeats),
+    ("mixing", mixed),
     ("sentencepiece", token_ids),
 ]
 

@@ -4,15 +4,17 @@ Sets of five-word shingles are sketched by fast similarity sketching, cut into
 bands, and documents that share a band are compared on their full sets.
 
 * Equal sets are one class, found by fingerprint; only its representative goes on.
-* Documents of a band bucket are compared with one of them, the pivot, never all
-  with all. Links make components. Buckets whose documents then lie in several
-  components get another pivot, until a round links nothing more.
-* What is left are pairs in one bucket but in different components. They are
-  compared on their sketches and, unless those rule the pair out, on full sets.
-
-A pair at similarity 0.75 shares no band with a chance of 2e-6 (``bands`` 48 of
-5 coordinates), less for closer pairs; a sketch rules out a pair only from six
-standard deviations below. Nothing is capped.
+* Each document is compared with one pivot, the smallest document of its band
+  buckets. Links make components; most buckets then hold one component and are
+  done.
+* The other buckets are cut into blocks. A task takes two blocks of a bucket and
+  compares documents of different components on larger sketches and, unless
+  those rule the pair out, on full sets, at the first band they share. It returns
+  only links that join components, no pairs.
+
+A pair at similarity 0.75 shares no band with a chance of 2e-6 (``BANDS`` of
+``ROWS`` coordinates), less for closer pairs; a sketch rules out a pair only from
+six standard deviations below. Nothing is capped.
 
 Nulls: a null text, or one without words, has an empty set and is linked with
 nothing. Rows without a doc_id get a row each with a null component and are kept.
@@ -37,39 +39,36 @@ from ledgerlens.session import materialize
 
 THRESHOLD = (75, 100)
 SHINGLE, BANDS, ROWS = 5, 48, 5
-_COORDINATES = BANDS * ROWS
+#: Documents in a block of a bucket, and coordinates of the sketches compared there.
+BLOCK, COMPARED = 256, 1_024
 
 
 def _sketches(docs: DataFrame) -> DataFrame:
-    """``doc, n, print, keys, coords`` of ``doc, text``. ``coords`` holds one byte per coordinate."""
+    """``doc, n, print, keys`` of ``doc, text``."""
 
     def run(batches):
         for batch, texts in text_slices(batches, "text", rows=512):
-            sizes, prints, keys, coords = [], [], [], []
+            sizes, prints, keys = [], [], []
             for text in texts:
                 members = shingle_set(text, SHINGLE)
                 sizes.append(len(members))
                 if len(members):
                     prints.append(xxhash.xxh3_128_digest(members.tobytes()))
-                    found = sketch(members, _COORDINATES)
-                    keys.append(band_keys(found, BANDS, ROWS).view(np.int64))
-                    coords.append((found & np.uint64(255)).astype(np.uint8).tobytes())
+                    keys.append(band_keys(sketch(members, BANDS * ROWS), BANDS, ROWS).view(np.int64))
                 else:
                     prints.append(None)
                     keys.append(np.zeros(0, dtype=np.int64))
-                    coords.append(None)
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column("doc"),
                     pa.array(sizes, pa.int64()),
                     pa.array(prints, pa.binary()),
                     list_array(keys, pa.int64()),
-                    pa.array(coords, pa.binary()),
                 ],
-                ["doc", "n", "print", "keys", "coords"],
+                ["doc", "n", "print", "keys"],
             )
 
-    return docs.mapInArrow(run, "doc long, n long, print binary, keys array<long>, coords binary")
+    return docs.mapInArrow(run, "doc long, n long, print binary, keys array<long>")
 
 
 def _sets(docs: DataFrame) -> DataFrame:
@@ -90,32 +89,6 @@ def _fits(n: str, m: str):
     return F.least(n, m) * den >= F.greatest(n, m) * num
 
 
-def _ends(pairs: DataFrame, values: DataFrame, value: str) -> DataFrame:
-    """``a, b`` with the value of both ends; either join may be split at a hot document."""
-    left = values.select(F.col("doc").alias("a"), F.col(value).alias("va"))
-    right = values.select(F.col("doc").alias("b"), F.col(value).alias("vb"))
-    return pairs.join(right, "b").join(left, "a")
-
-
-def _likely(pairs: DataFrame, coords: DataFrame) -> DataFrame:
-    """Pairs whose sketches do not rule out a link."""
-    share = THRESHOLD[0] / THRESHOLD[1]
-    least = (share - 6 * math.sqrt(share * (1 - share) / _COORDINATES)) * _COORDINATES
-
-    def run(batches):
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            left, right = (
-                np.frombuffer(b"".join(batch.column(c).to_pylist()), dtype=np.uint8).reshape(-1, _COORDINATES)
-                for c in ("va", "vb")
-            )
-            keep = pa.array((left == right).sum(axis=1) >= least)
-            yield pa.RecordBatch.from_arrays([batch.column("a").filter(keep), batch.column("b").filter(keep)], ["a", "b"])
-
-    return _ends(pairs, coords, "coords").select("a", "b", "va", "vb").mapInArrow(run, "a long, b long")
-
-
 def _linked(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     """Pairs whose full sets reach the threshold."""
     num, den = THRESHOLD
@@ -130,12 +103,75 @@ def _linked(pairs: DataFrame, sets: DataFrame) -> DataFrame:
             keep = pa.array(keep, pa.bool_())
             yield pa.RecordBatch.from_arrays([batch.column("a").filter(keep), batch.column("b").filter(keep)], ["a", "b"])
 
-    return _ends(pairs, sets, "members").select("a", "b", "va", "vb").mapInArrow(run, "a long, b long")
+    left, right = (sets.select(F.col("doc").alias(c), F.col("members").alias(f"v{c}")) for c in "ab")
+    # Either join may be split at a hot document.
+    return pairs.join(right, "b").join(left, "a").select("a", "b", "va", "vb").mapInArrow(run, "a long, b long")
 
 
-def _with_components(members: DataFrame, components: DataFrame) -> DataFrame:
-    named = components.select(F.col("node").alias("doc"), "component")
-    return members.join(named, "doc", "left").withColumn("component", F.coalesce("component", "doc"))
+def _joins(left, right, same: bool, band: int) -> list[tuple[int, int]]:
+    """Component pairs that links between two blocks of a bucket join, as few as will do."""
+    num, den = THRESHOLD
+    share = num / den
+    least = (share - 6 * math.sqrt(share * (1 - share) / COMPARED)) * COMPARED
+    # A few pairs are verified at once; sketches pay where there are many.
+    sketched = len(left) * len(right) > 8 * (len(left) + len(right))
+
+    def side(block):
+        n, component = (block.field(c).to_numpy() for c in ("n", "component"))
+        keys = block.field("keys").flatten().to_numpy().reshape(len(n), BANDS)
+        sets = [np.frombuffer(m, dtype=np.uint64) for m in block.field("members").to_pylist()]
+        coords = np.stack([(sketch(m, COMPARED) & np.uint64(255)).astype(np.uint8) for m in sets]) if sketched else None
+        return n, component, keys, sets, coords
+
+    first = side(left)
+    (n, own, keys, sets, coords), (m, far, other_keys, other_sets, other) = first, first if same else side(right)
+    parent: dict[int, int] = {}
+
+    def root(x: int) -> int:
+        while parent.get(x, x) != x:
+            x = parent[x]
+        return x
+
+    made = []
+    for i in range(len(n)):
+        fits = (far != own[i]) & (den * np.minimum(m, n[i]) >= num * np.maximum(m, n[i]))
+        if same:
+            fits[: i + 1] = False
+        at = np.flatnonzero(fits)
+        if sketched:
+            at = at[(other[at] == coords[i]).sum(axis=1) >= least]
+        at = at[~(other_keys[at, :band] == keys[i, :band]).any(axis=1)]
+        for j in at.tolist():
+            a, b = root(int(own[i])), root(int(far[j]))
+            if a == b:
+                continue
+            common = len(np.intersect1d(sets[i], other_sets[j], assume_unique=True))
+            if den * common >= num * (len(sets[i]) + len(other_sets[j]) - common):
+                parent[max(a, b)] = min(a, b)
+                made.append((a, b))
+    return made
+
+
+def _joined_components(open_: DataFrame, payload: DataFrame) -> DataFrame:
+    """``a, b``: components that some bucket of ``open_`` (``key, band, doc, n, component``) links."""
+    parts = open_.groupBy("key").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("parts"))
+    dealt = open_.join(parts, "key").withColumn("part", F.pmod(F.xxhash64("doc"), F.col("parts")))
+    item = F.struct("doc", "n", "component", "keys", "members")
+    blocks = dealt.join(payload, "doc").groupBy("key", "band", "part").agg(F.collect_list(item).alias("items"))
+    blocks = materialize(blocks, "blocks")
+    other = blocks.select("key", F.col("part").alias("part2"), F.col("items").alias("items2"))
+    both = blocks.join(other, "key").where(F.col("part") <= F.col("part2"))
+
+    def run(batches):
+        for batch in batches:
+            for i in range(batch.num_rows):
+                part = batch.slice(i, 1)
+                left, right = part.column("items").flatten(), part.column("items2").flatten()
+                made = _joins(left, right, part.column("same")[0].as_py(), part.column("band")[0].as_py())
+                yield pa.RecordBatch.from_arrays([pa.array([x[k] for x in made], pa.int64()) for k in (0, 1)], ["a", "b"])
+
+    same = (F.col("part") == F.col("part2")).alias("same")
+    return both.select("band", same, "items", "items2").mapInArrow(run, "a long, b long")
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -149,45 +185,32 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     slim, classes = materialize(slim, "documents"), materialize(classes, "classes")
 
     key = [F.col("doc") == F.col("rep"), found["print"] == classes["print"]]
-    reps = found.join(classes, key).select("doc", "n", "keys", "coords").dropDuplicates(["doc"])
-    bands = reps.select("doc", "n", F.explode("keys").alias("key"))
+    reps = found.join(classes, key).select("doc", "n", "keys").dropDuplicates(["doc"])
+    bands = reps.select("doc", "n", F.posexplode("keys").alias("band", "key"))
     crowded = bands.groupBy("key").agg(F.count("*").alias("size")).where("size > 1").select("key")
     members = materialize(bands.join(crowded, "key"), "members")
 
     wanted = members.select("doc").distinct()
     chosen = wanted.join(classes, F.col("doc") == F.col("rep")).select("doc", "print")
-    coords = materialize(found.select("doc", "print", "coords").join(chosen, ["doc", "print"]).dropDuplicates(["doc"]), "coords")
     texts = rows.join(chosen.select("doc"), "doc", "left_semi")
     sets = materialize(_sets(texts).join(chosen, ["doc", "print"]).dropDuplicates(["doc"]), "sets")
 
     first = members.groupBy("key").agg(F.min(F.struct("doc", "n")).alias("p"))
     met = members.join(first, "key").where((F.col("doc") > F.col("p.doc")) & _fits("n", "p.n"))
-    # One pivot per document to begin with: most copies need no other comparison.
     pairs = met.groupBy(F.col("doc").alias("b")).agg(F.min("p.doc").alias("a"))
-    links = materialize(_linked(pairs, sets), "links")
-    components = connected(links)
-    tried, round_ = pairs, 0
-    while True:
-        placed = _with_components(members, components)
-        mixed = placed.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high"))
-        open_ = materialize(placed.join(mixed.where("low < high").select("key"), "key"), "open")
-        order = F.xxhash64("doc", "key", F.lit(round_))
-        pivots = open_.groupBy("key").agg(F.min(F.struct(order.alias("o"), "doc", "n", "component")).alias("p"))
-        met = open_.join(pivots, "key").where((F.col("component") != F.col("p.component")) & _fits("n", "p.n"))
-        pairs = met.select(F.least("doc", "p.doc").alias("a"), F.greatest("doc", "p.doc").alias("b")).distinct()
-        new = materialize(_linked(_likely(pairs, coords), sets), "links")
-        if new.isEmpty():
-            break
-        links = links.union(new)
-        components = connected(links)
-        round_ += 1
-    # No pivot links any more: the pairs of one bucket that still lie apart.
-    other = open_.select("key", F.col("doc").alias("b"), F.col("n").alias("m"), F.col("component").alias("far"))
-    apart = open_.join(other, "key").where((F.col("component") < F.col("far")) & _fits("n", "m"))
-    apart = apart.select(F.col("doc").alias("a"), "b").distinct()
-    new = materialize(_linked(_likely(apart, coords), sets), "links")
-    if not new.isEmpty():
-        components = connected(links.union(new))
+    components = connected(_linked(pairs, sets))
+
+    named = components.select(F.col("node").alias("doc"), "component")
+    placed = members.join(named, "doc", "left").withColumn("component", F.coalesce("component", "doc"))
+    placed = materialize(placed, "placed")
+    mixed = placed.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high"))
+    open_ = placed.join(mixed.where("low < high").select("key"), "key")
+    keys = found.join(chosen, ["doc", "print"]).select("doc", "keys").dropDuplicates(["doc"])
+    payload = sets.select("doc", "members").join(keys, "doc")
+    joined = connected(_joined_components(open_, payload))
+    over = joined.select(F.col("node").alias("component"), F.col("component").alias("final"))
+    rep_component = placed.select("doc", "component").distinct().join(over, "component", "left")
+    components = rep_component.select(F.col("doc").alias("node"), F.coalesce("final", "component").alias("component"))
 
     reached = components.select(F.col("node").alias("rep"), "component")
     named = classes.join(reached, "rep", "left").select("print", F.coalesce("component", "rep").alias("component"))

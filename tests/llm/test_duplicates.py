@@ -74,6 +74,19 @@ def test_near_duplicates_equal_brute_force(spark):
     assert all(r.kept == (r.doc_id == r.component_id) for r in got)
 
 
+def test_buckets_of_several_blocks(spark, monkeypatch):
+    monkeypatch.setattr(near_dup, "BLOCK", 4)
+    rng = np.random.default_rng(9)
+    base, rows = prose(1, 120), []
+    for k in range(60):
+        words = list(base)
+        for at in rng.integers(0, 120, int(rng.integers(0, 16))):
+            words[at] = f"y{rng.integers(0, 10**9)}"
+        rows.append((k, " ".join(words)))
+    got = near_dup.near_duplicates(documents(spark, rows)).collect()
+    assert {r.doc_id: r.component_id for r in got} == components_by_hand(shingle_sets(rows))
+
+
 def test_near_duplicates_of_few_rows(spark):
     assert near_dup.near_duplicates(documents(spark, [])).count() == 0
     got = near_dup.near_duplicates(documents(spark, [(None, "a b c d e f"), (None, None), (4, "a b c d e f")])).collect()

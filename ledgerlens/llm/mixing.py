@@ -4,7 +4,9 @@ A classifier fitted on a labelled table gives each document a probability for
 every domain (soft membership). A document's rate says how often it should be
 read; the expected tokens of a domain are the sum of rate * tokens * probability.
 Projected gradient steps over the whole corpus fit nonnegative rates whose
-domain totals match the targets in least squares, starting from one each.
+domain totals match the targets in least squares. They start from the mean, over
+a document's domains, of wanted to present tokens, so that a document of one
+domain starts at that domain's own factor.
 
 All work on rows is DataFrame expressions; the driver sees only sums per domain
 and solves systems of that size.
@@ -122,7 +124,9 @@ def fit_rates(
         held = [k for k in (floors or range(count)) if shares[k] > 0]
         budget = max((headroom * now[k] / shares[k] for k in held), default=0.0)
     wanted = shares * budget
-    rated, rate = members, F.lit(1.0)
+    factors = [float(w / n) if n > 0 else 0.0 for w, n in zip(wanted, now, strict=True)]
+    rated, rate = members, sum((F.col(f"p{k}") * factors[k] for k in range(1, count)), F.col("p0") * factors[0])
+    now = np.array(rated.agg(*_mass(rate, count)).first(), dtype=float)
     for step in range(1, rounds + 1):
         if np.abs(now - wanted).max() <= tolerance * max(budget, 1.0):
             break

@@ -29,10 +29,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerlens.llm.batches import list_array, text_slices
+from ledgerlens.llm.scratch import discard
 from ledgerlens.llm.shingles import windows, word_hashes
 from ledgerlens.session import materialize
 
-WINDOW, ANCHOR = 13, 5
+WINDOW, ANCHOR = 13, 7
 
 
 def _words(text: str | None) -> list[bytes]:
@@ -126,6 +127,7 @@ def repeated_windows(docs: DataFrame, id_col="doc_id", text_col="text", window=W
     found = runs.join(many, "run").groupBy("doc").agg(F.collect_set("run").alias("found"))
     placed = _candidates(_packed(rows).join(found, "doc").select("doc", "packed", "found"), window, anchor)
     placed = materialize(placed, "windows")
+    discard(outline)  # the stored windows and copies have all that is still needed of it
     lows = placed.groupBy("hash").agg(F.min("doc").alias("low"), F.count("*").alias("n")).where("n > 1")
     return placed.join(lows.drop("n"), "hash").select("doc", "at", "hash", "low"), copies
 

@@ -38,8 +38,15 @@ from ledgerlens.session import scratch_path
 NO_ID = -(2**63)
 HEAD = "<4sIII"
 SEGMENT_IDS = 65_536
-#: White space other than single spaces and single line ends between other characters.
-ODD_SPACE = re.compile(r"[^\S \n]|[ \n]{2}|^[ \n]|[ \n]\Z")
+#: White space other than the plain space and the line end (and some look-alikes: they only cost time).
+OTHER_SPACE = re.compile("[\t\r\x0b\x0c\x1c-\x1f\x85\xa0\u1680\u180e\u2000-\u200b\u2028\u2029\u202f\u205f\u3000\ufeff]")
+
+
+def _plain(text: str) -> bool:
+    """Whether all white space is single spaces and single line ends between other characters."""
+    ends = text[0] in " \n" or text[-1] in " \n"
+    doubled = "  " in text or "\n\n" in text or " \n" in text or "\n " in text
+    return not (ends or doubled or OTHER_SPACE.search(text))
 
 
 def _chunks(text: str) -> list[str]:
@@ -89,7 +96,7 @@ def encode_ids(docs: DataFrame, tokenizer_path: str, end_id: int, id_col="doc_id
         encode, memo, special = _tokenizer(tokenizer_path)
         for batch, texts in text_slices(batches, "text"):
             texts = [t or "" for t in texts]
-            whole = [not t or bool(ODD_SPACE.search(t)) or any(s in t for s in special) for t in texts]
+            whole = [not t or not _plain(t) or any(s in t for s in special) for t in texts]
             data = memo.joined([[] if w else _chunks(t) for t, w in zip(texts, whole, strict=True)])
             odd = iter(encode([t for t, w in zip(texts, whole, strict=True) if w]))
             data = [(next(odd) if w else d) + tail for d, w in zip(data, whole, strict=True)]

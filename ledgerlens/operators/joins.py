@@ -8,38 +8,18 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# A side is only broadcast after counting it against this bound.
-BROADCAST_ROWS = 10_000
 
-
-def fits_broadcast(df: DataFrame, rows: int = BROADCAST_ROWS) -> bool:
-    """Counts at most ``rows + 1`` rows to learn whether ``df`` is small."""
-    return df.limit(rows + 1).count() <= rows
-
-
-def join_every_match(
-    facts: DataFrame,
-    matches: DataFrame,
-    spread_by: Sequence[str],
-    *,
-    broadcast_rows: int = BROADCAST_ROWS,
-    salts: int = 64,
-) -> DataFrame:
+def join_every_match(facts: DataFrame, matches: DataFrame, spread_by: Sequence[str]) -> DataFrame:
     """Every fact row paired with every row of ``matches`` (a constant-filtered dimension).
 
-    A counted-small match set is broadcast. A larger one is copied once per
-    salt and shuffled to facts spread over the salts by ``spread_by``, so no
-    task holds all facts and nothing large is broadcast.
+    Facts are spread over as many salts as the session has shuffle partitions, by
+    ``spread_by``, and the matches are copied once per salt: no task holds all
+    facts. Adaptive execution broadcasts the copies where they are small.
     """
-    if fits_broadcast(matches, broadcast_rows):
-        return facts.withColumn("_salt", F.lit(0)).join(
-            F.broadcast(matches.withColumn("_salt", F.lit(0))), "_salt"
-        ).drop("_salt")
+    salts = int(facts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     salted = facts.withColumn("_salt", F.pmod(F.xxhash64(*spread_by), F.lit(salts)))
-    copies = matches.withColumn(
-        "_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1)))
-    ).withColumn("_salt", F.col("_salt").cast("bigint"))
-    return salted.join(copies.hint("shuffle_hash"), "_salt").drop("_salt")
+    each = F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(salts - 1).cast("bigint")))
+    return salted.join(matches.select("*", each.alias("_salt")), "_salt").drop("_salt")
 
 
 def join_either_key(

@@ -124,38 +124,16 @@ def exact_quantiles(
     columns: Sequence[str],
     probabilities: Sequence[float] = (0.0, 0.25, 0.5, 0.75, 1.0),
     *,
-    group_limit: int = 1_000_000,
     suffix: str = "_quantiles",
 ) -> DataFrame:
     """Exact interpolated quantiles per group as arrays, NULL values excluded.
 
-    The built-in ``percentile`` keeps a group's values in the memory of one
-    task. It serves the groups of at most ``group_limit`` rows; larger groups
-    are selected by position over a distributed ordering. Both are exact.
+    Values are selected by position over a distributed ordering of distinct
+    values, so a group of any size spreads over many tasks and every group is
+    computed in the same way. (Where groups are known to be small, the built-in
+    ``percentile`` can share a ``groupBy`` with other aggregates.)
     """
     groups = list(groups)
-    sizes = df.groupBy(*groups).agg(F.count(F.lit(1)).alias("_rows"))
-    large = sizes.where(F.col("_rows") > group_limit).select(*groups)
-    builtin = [
-        F.percentile(c, F.array(*[F.lit(float(p)) for p in probabilities])).alias(c + suffix)
-        for c in columns
-    ]
-    if large.isEmpty():
-        return df.groupBy(*groups).agg(*builtin)
-    small = df.join(large, groups, "left_anti").groupBy(*groups).agg(*builtin)
-    ordered = _quantiles_by_position(
-        df.join(large, groups, "left_semi"), groups, columns, probabilities, suffix
-    )
-    return small.unionByName(ordered)
-
-
-def _quantiles_by_position(
-    df: DataFrame,
-    groups: list[str],
-    columns: Sequence[str],
-    probabilities: Sequence[float],
-    suffix: str,
-) -> DataFrame:
     pairs = F.array(
         *[F.struct(F.lit(c).alias("name"), F.col(c).cast("double").alias("value")) for c in columns]
     )

@@ -11,7 +11,7 @@ from ledgerlens import functions as fn
 from ledgerlens.operators.filters import after_epoch, since, within_bounds
 from ledgerlens.operators.lookback import point_lookback
 from ledgerlens.operators.merge import coalesce_merge
-from ledgerlens.operators.positions import exact_quantiles, rank_both_ways
+from ledgerlens.operators.positions import rank_both_ways
 from ledgerlens.operators.rollup import hourly_last, latest_per_entity
 from ledgerlens.operators.setops import union_padded
 from ledgerlens.plans.dimensions import chain, product
@@ -272,6 +272,8 @@ def chain_stats(w: Warehouse) -> DataFrame:
         return F.sum(F.when(F.col("product_type") == kind, tvl).otherwise(F.lit(0).cast("decimal(28,8)")))
 
     keys = ["chain_id", "date_hour"]
+    shares = F.array(*[F.lit(p) for p in (0.0, 0.25, 0.5, 0.75, 1.0)])
+    # A group is one hour of one chain: one row per product at most.
     totals = stats.groupBy(*keys).agg(
         F.sum(tvl).alias("tvl_usd"),
         tvl_of("classic_vault").alias("vault_tvl_usd"),
@@ -279,10 +281,10 @@ def chain_stats(w: Warehouse) -> DataFrame:
         *[F.avg(c).alias(f"avg_{c}") for c in CHAIN_AVERAGES],
         *[F.sum(c).alias(c) for c in CHAIN_SUMS],
         F.avg("avg_native_price").alias("avg_native_price"),
+        *[F.percentile(c, shares).alias(f"{c}_quantiles") for c in CHAIN_AVERAGES],
     )
-    quantiles = exact_quantiles(stats, keys, CHAIN_AVERAGES)
     chains = w.model(chain).select("chain_id", "chain_name", "chain_key", "is_enabled")
-    return totals.join(quantiles, keys).join(chains, "chain_id")
+    return totals.join(chains, "chain_id")
 
 
 def chain_stats_latest(w: Warehouse) -> DataFrame:

@@ -53,6 +53,9 @@ def shared_folder(spark: SparkSession) -> str:
     configured = spark.conf.get("spark.checkpoint.dir", None) or context.getConf().get(
         "spark.checkpoint.dir"
     )
+    if not configured:
+        folder = context._jsc.sc().getCheckpointDir()
+        configured = folder.get() if folder.isDefined() else None
     if not configured:
         if not context.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")

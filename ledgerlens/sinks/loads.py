@@ -4,10 +4,12 @@ from __future__ import annotations
 
 from datetime import datetime
 
-from pyspark.sql import DataFrame, SparkSession
+from uuid import uuid4
+
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlens.sinks.writers import append_table
+from ledgerlens.session import ROWS_PER_FILE
 
 LOADS_SCHEMA = (
     "load_id string, schema_name string, status int, inserted_at timestamp_ntz, "
@@ -24,9 +26,25 @@ def schema_hash(df: DataFrame) -> str:
 def append_load(
     df: DataFrame, path: str, loads_path: str, load_id: str, schema_name: str, at: datetime
 ) -> None:
-    """Appends rows stamped with the load id, then logs the load once the rows are stored."""
+    """Stores rows stamped with the load id, then logs the load.
+
+    A load id owns a folder of ``path`` and one of ``loads_path``, so repeating a
+    load replaces its rows and its log entry. Rows are counted while they are
+    written; a load without an entry in the log did not finish.
+    """
     spark: SparkSession = df.sparkSession
-    append_table(df.withColumn("_load_id", F.lit(load_id)), path)
-    stored = spark.read.parquet(path).where(F.col("_load_id") == load_id).count()
-    entry = [(load_id, schema_name, 0, at, stored, schema_hash(df))]
-    append_table(spark.createDataFrame(entry, LOADS_SCHEMA), loads_path)
+    seen = Observation(f"load-{uuid4().hex}")
+    stamped = df.observe(seen, F.count(F.lit(1)).alias("rows"))
+    stamped.write.mode("overwrite").option("maxRecordsPerFile", ROWS_PER_FILE).parquet(f"{path}/_load_id={load_id}")
+    entry = [(load_id, schema_name, 0, at, seen.get["rows"], schema_hash(df))]
+    logged = spark.createDataFrame(entry, LOADS_SCHEMA).drop("load_id").coalesce(1)
+    logged.write.mode("overwrite").parquet(f"{loads_path}/load_id={load_id}")
+
+
+def read_loads(spark: SparkSession, path: str, rows: str) -> DataFrame:
+    """The rows of all loads with their ``_load_id`` as text; ``rows`` is their schema."""
+    return spark.read.schema(f"{rows}, _load_id string").parquet(path)
+
+
+def read_load_log(spark: SparkSession, loads_path: str) -> DataFrame:
+    return spark.read.schema(LOADS_SCHEMA).parquet(loads_path)

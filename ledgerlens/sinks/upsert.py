@@ -1,18 +1,16 @@
-"""Keyed upsert into a parquet table: delete rows whose key is in the batch, insert the batch."""
+"""Keyed upsert: delete rows whose key is in the batch, insert the batch."""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ledgerlens.operators.merge import dedup_latest
 from ledgerlens.session import materialize
-from ledgerlens.sinks.writers import ROWS_PER_FILE, evolve
-
-# Partitions named in a literal filter; wider batches join against their partition list.
-PRUNE_LITERALS = 4_000
+from ledgerlens.sinks.versions import current_version, part_key, publish, read_folders
+from ledgerlens.sinks.writers import evolve
 
 
 def merged_rows(target: DataFrame, batch: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -25,67 +23,50 @@ def merged_rows(target: DataFrame, batch: DataFrame, keys: Sequence[str]) -> Dat
     return target.join(incoming, condition, "left_anti").unionByName(batch)
 
 
-def read_target(spark: SparkSession, path: str) -> DataFrame | None:
-    try:
-        return spark.read.parquet(path)
-    except AnalysisException as error:
-        if error.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
-            return None
-        raise
-
-
 def upsert(
     batch: DataFrame,
     path: str,
     keys: Sequence[str],
     *,
     partition_by: str | None = None,
+    version: Sequence[str] | None = None,
     on_schema_change: str = "fail",
 ) -> None:
-    """Upserts ``batch`` into the parquet table at ``path``.
+    """Upserts ``batch`` into the versioned table at ``path``.
 
     With ``partition_by`` (a column that is a function of the key, such as the
-    day of a key timestamp) only the partitions present in the batch are read,
-    merged and replaced; other partitions are not touched. Without it the whole
-    table is merged. The merged rows are stored in the shared folder before the
-    target is overwritten, so the files being replaced are never being read and a
-    failed or repeated run gives the same table.
+    day of a key timestamp) only the partitions present in the batch are read and
+    written again; the new version takes over the folders of the others. Without
+    it the whole table is merged.
+
+    ``version`` names columns by which the newest row of a key wins, in the batch
+    and in the table: a row older than the stored one changes nothing.
+
+    The table is never overwritten: a failed run leaves the version before, and a
+    repeated run gives the same table.
     """
     spark = batch.sparkSession
-    target = read_target(spark, path)
-    if target is None:
-        _replace(batch, path, partition_by)
+    if version:
+        batch = dedup_latest(batch, keys, version)
+    stored = current_version(spark, path)
+    if stored is None:
+        publish(batch, path, partition_by=partition_by)
         return
-    # The batch feeds both the pruning and the merge; compute it once.
+    if partition_by != stored.partition_by:
+        raise ValueError(f"{path} is partitioned by {stored.partition_by}, not {partition_by}")
+    # The batch tells its partitions and feeds the merge; compute it once.
     batch = materialize(batch, "batch")
-    columns_before = set(target.columns)
-    target, batch = evolve(target, batch, on_schema_change)
-    whole_table = partition_by is None or set(target.columns) != columns_before
-    if not whole_table:
-        target = _touched(target, batch, partition_by)
-    result = materialize(merged_rows(target, batch, keys), "merged")
-    _replace(result, path, partition_by, only_touched=not whole_table)
-
-
-def _touched(target: DataFrame, batch: DataFrame, partition_by: str) -> DataFrame:
-    touched = batch.select(partition_by).distinct()
-    values = [row[0] for row in touched.limit(PRUNE_LITERALS + 1).collect()]
-    if len(values) > PRUNE_LITERALS:
-        return target.join(touched, partition_by, "left_semi")
-    known = [v for v in values if v is not None]
-    wanted = F.col(partition_by).isin(*known) if known else F.lit(False)
-    if len(known) < len(values):
-        wanted = wanted | F.col(partition_by).isNull()
-    return target.where(wanted)
-
-
-def _replace(df: DataFrame, path: str, partition_by: str | None, only_touched: bool = False) -> None:
-    writer = df.write.mode("overwrite").option("maxRecordsPerFile", ROWS_PER_FILE)
-    if partition_by:
-        writer = writer.partitionBy(partition_by).option(
-            "partitionOverwriteMode", "dynamic" if only_touched else "static"
-        )
-    writer.parquet(path)
+    touched = None
+    if partition_by and set(batch.columns) == set(stored.schema.names):
+        # One short name per partition, as many as the manifest itself may hold.
+        touched = {r[0] for r in batch.select(part_key(partition_by)).distinct().collect()}
+    target, batch = evolve(read_folders(spark, stored, touched), batch, on_schema_change)
+    if version:
+        result = dedup_latest(target.unionByName(batch), keys, version)
+    else:
+        result = merged_rows(target, batch, keys)
+    kept = {p: f for p, f in stored.folders.items() if touched is not None and p not in touched}
+    publish(result, path, partition_by=partition_by, kept=kept, based_on=stored)
 
 
 def merge_into(batch: DataFrame, table: str, keys: Sequence[str]) -> None:

@@ -5,10 +5,11 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerlens.session import ROWS_PER_FILE
+from ledgerlens.sinks.versions import current_version, publish, read_version
 
 
 def write_view(df: DataFrame, name: str) -> None:
@@ -19,25 +20,28 @@ def write_table(
     df: DataFrame,
     path: str,
     *,
-    mode: str = "overwrite",
-    partition_by: Sequence[str] = (),
+    partition_by: str | None = None,
     sort_by: Sequence[str] = (),
 ) -> None:
-    """Parquet table, clustered by ``sort_by`` so row-group statistics can skip data.
+    """Publishes ``df`` as the whole content of the versioned table at ``path``.
 
-    Clustering range-partitions on the full sort key, which also splits a hot
-    leading value over several files.
+    Clustered by ``sort_by`` so row-group statistics can skip data: that
+    range-partitions on the full sort key, which also splits a hot leading value
+    over several files.
     """
     if sort_by:
-        df = df.repartitionByRange(*sort_by).sortWithinPartitions(*partition_by, *sort_by)
-    writer = df.write.mode(mode).option("maxRecordsPerFile", ROWS_PER_FILE)
-    if partition_by:
-        writer = writer.partitionBy(*partition_by)
-    writer.parquet(path)
+        df = df.repartitionByRange(*sort_by).sortWithinPartitions(*sort_by)
+    publish(df, path, partition_by=partition_by, based_on=current_version(df.sparkSession, path))
 
 
-def append_table(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
-    write_table(df, path, mode="append", partition_by=partition_by)
+def read_table(spark: SparkSession, path: str) -> DataFrame:
+    """The newest published version of a table."""
+    return read_version(spark, path)
+
+
+def append_table(df: DataFrame, path: str) -> None:
+    """Adds files to a plain Parquet folder; Spark commits all of them or none."""
+    df.write.mode("append").option("maxRecordsPerFile", ROWS_PER_FILE).parquet(path)
 
 
 class SchemaChanged(ValueError):

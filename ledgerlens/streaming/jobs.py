@@ -13,8 +13,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from ledgerlens.functions import hour_of
-from ledgerlens.operators.merge import dedup_latest
 from ledgerlens.sinks.upsert import upsert
 
 
@@ -73,12 +71,12 @@ def run_upsert(
 ) -> StreamingQuery:
     """Merges each micro-batch into the table at ``path``; rerunning a batch changes nothing.
 
-    ``version`` first reduces the batch to its newest row per key.
+    With ``version`` the newest row per key wins over batch and table together,
+    so an older row that arrives later changes nothing.
     """
 
     def merge(batch: DataFrame, _batch_id: int) -> None:
-        rows = dedup_latest(batch, keys, version) if version else batch
-        upsert(rows, path, keys, partition_by=partition_by)
+        upsert(batch, path, keys, partition_by=partition_by, version=version)
 
     return (
         stream.writeStream.outputMode(output_mode)
@@ -104,7 +102,3 @@ def run_append(stream: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
 def with_day(df: DataFrame, ts: str, name: str = "day") -> DataFrame:
     """Partition column for upserts keyed by a time in that day."""
     return df.withColumn(name, F.to_date(ts))
-
-
-def hourly_cursor(df: DataFrame, ts: str) -> DataFrame:
-    return df.withColumn("date_hour", hour_of(F.col(ts)))

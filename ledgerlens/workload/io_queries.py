@@ -9,7 +9,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from datetime import datetime, timedelta
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerlens import functions as fn
@@ -67,15 +67,15 @@ def _(spark, t):
 )
 def _(spark, t):
     spark, path = _stored(t("orders").withColumn("o_totalprice", F.lit(0.0)), "replace")
-    writers.write_table(t("orders"), path, mode="overwrite")
-    return spark.read.parquet(path)
+    writers.write_table(t("orders"), path)
+    return writers.read_table(spark, path)
 
 
 def _merged_customers(t: Tables) -> DataFrame:
     old = t("customer").where("c_mktsegment <> 'BUILDING'").withColumn("c_acctbal", F.lit(0.0))
     spark, path = _stored(old, "merge")
     upsert.upsert(t("customer").where("c_acctbal > 0"), path, ["c_custkey"])
-    return spark.read.parquet(path)
+    return writers.read_table(spark, path)
 
 
 MERGED_SQL = "SELECT c_custkey, CASE WHEN c_acctbal > 0 THEN c_acctbal ELSE 0 END AS c_acctbal FROM customer WHERE c_acctbal > 0 OR c_mktsegment <> 'BUILDING'"
@@ -104,9 +104,10 @@ def _(spark, t):
     "SELECT l_orderkey, l_partkey AS part, l_quantity AS quantity FROM lineitem",
 )
 def _(spark, t):
-    item = F.struct(F.col("l_partkey").alias("part"), F.col("l_quantity").alias("quantity"))
-    landed = t("lineitem").groupBy("l_orderkey").agg(F.to_json(F.collect_list(item)).alias("payload"))
-    return payloads.explode_list(landed, "payload", "part bigint, quantity double", ["l_orderkey"])
+    path = scratch_path(spark, "payloads")
+    item = t("lineitem").select("l_orderkey", F.col("l_partkey").alias("part"), F.col("l_quantity").alias("quantity"))
+    item.write.json(path)
+    return payloads.read_json_list(spark, path, "l_orderkey bigint, part bigint, quantity double")
 
 
 def _event_payloads(t: Tables, *levels, value) -> DataFrame:
@@ -256,11 +257,13 @@ def _(spark, t):
     path = scratch_path(spark, "backfill")
 
     def one_window(start: datetime) -> int:
+        seen = Observation()
         rows = tables.read_window(t("orders"), "o_orderdate", start, 600)
-        writers.append_table(rows, path)
-        return 1
+        writers.append_table(rows.observe(seen, F.count(F.lit(1)).alias("n")), path)
+        return seen.get["n"]
 
-    cursors.backfill(one_window, datetime(1994, 12, 31), datetime(2001, 8, 2), 600)
+    newest = t("orders").agg(F.max("o_orderdate")).first()[0]
+    cursors.backfill(one_window, datetime(1994, 12, 31), newest + timedelta(days=1), 600)
     return spark.read.parquet(path)
 
 
@@ -270,7 +273,8 @@ def _(spark, t):
     "SELECT l_orderkey, l_linenumber, l_quantity FROM lineitem",
 )
 def _(spark, t):
-    spark, path = _stored(t("lineitem"), "staged")
+    path = scratch_path(spark, "staged")
+    writers.append_table(t("lineitem"), path)
     return tables.FileTable(path).read(spark)
 
 
@@ -285,19 +289,21 @@ def _(spark, t):
     early = F.col("ts") < _at("2024-01-16")
     for i, part in enumerate((t("events").where(early), t("events").where(~early)), start=1):
         at = EVENTS_AS_OF + timedelta(hours=i)
-        loads.append_load(part, rows_path, loads_path, f"load-{i}", "events", at)
-    seen = spark.read.parquet(rows_path).groupBy(F.col("_load_id").alias("load_id")).agg(
+        for _ in range(2):  # a repeated load replaces itself
+            loads.append_load(part, rows_path, loads_path, f"load-{i}", "events", at)
+    rows = loads.read_loads(spark, rows_path, "ts timestamp_ntz")
+    seen = rows.groupBy(F.col("_load_id").alias("load_id")).agg(
         F.count(F.lit(1)).alias("rows_seen"), F.max("ts").alias("newest")
     )
-    return spark.read.parquet(loads_path).join(seen, "load_id")
+    return loads.read_load_log(spark, loads_path).join(seen, "load_id")
 
 
 # Sinks ------------------------------------------------------------------------
 
 
-@io("sink_view", "n_nationkey:i n_name", "SELECT n_nationkey, n_name FROM nation WHERE n_regionkey = 1")
+@io("sink_view", "n_nationkey:i n_name", "SELECT n_nationkey, n_name FROM nation")
 def _(spark, t):
-    writers.write_view(t("nation").where("n_regionkey = 1"), "ledgerlens_view")
+    writers.write_view(t("nation"), "ledgerlens_view")
     return spark.table("ledgerlens_view")
 
 
@@ -308,8 +314,8 @@ def _(spark, t):
 )
 def _(spark, t):
     by_year = t("orders").withColumn("year", F.year("o_orderdate"))
-    spark, path = _stored(by_year, "table", partition_by=["year"])
-    return spark.read.parquet(path)
+    spark, path = _stored(by_year, "table", partition_by="year")
+    return writers.read_table(spark, path)
 
 
 @io(
@@ -328,7 +334,7 @@ def _(spark, t):
 def _(spark, t):
     spark, path = _stored(t("part").withColumn("p_name", F.lit("old")), "replaced")
     writers.write_table(t("part"), path)
-    return spark.read.parquet(path)
+    return writers.read_table(spark, path)
 
 
 @io("sink_merge", "c_custkey:i c_acctbal:d", MERGED_SQL)
@@ -348,12 +354,12 @@ def _incremental_hours(t: Tables) -> DataFrame:
     """History to 20 January, then one run with a day of look-back, applied twice."""
     events = t("events")
     first = _hourly(events.where(F.col("ts") < _at("2024-01-20 10:30:00")))
-    spark, path = _stored(first, "hours", partition_by=["day"])
+    spark, path = _stored(first, "hours", partition_by="day")
     for _ in range(2):
-        start = cursors.lookback_start(spark.read.parquet(path), "date_hour")
+        start = cursors.lookback_start(writers.read_table(spark, path), "date_hour")
         fresh = _hourly(cursors.new_rows(events, "ts", start, EVENTS_AS_OF))
         upsert.upsert(fresh, path, ["user_id", "date_hour"], partition_by="day")
-    return spark.read.parquet(path)
+    return writers.read_table(spark, path)
 
 
 @io("sink_incremental", "user_id:i date_hour:t value:d", HOURLY_SQL)
@@ -368,7 +374,7 @@ def _(spark, t):
 )
 def _(spark, t):
     spark, path = _stored(t("orders"), "sorted", sort_by=["o_orderdate", "o_custkey", "o_orderkey"])
-    return spark.read.parquet(path)
+    return writers.read_table(spark, path)
 
 
 @io(
@@ -382,7 +388,7 @@ def _(spark, t):
         "c_custkey", "c_name", F.col("c_mktsegment").alias("segment")
     )
     upsert.upsert(batch, path, ["c_custkey"], on_schema_change="append_new_columns")
-    return spark.read.parquet(path)
+    return writers.read_table(spark, path)
 
 
 @io(
@@ -393,13 +399,13 @@ def _(spark, t):
 def _(spark, t):
     orders = t("orders").withColumn("year", F.year("o_orderdate"))
     spark, path = _stored(
-        orders.withColumn("o_totalprice", F.lit(0.0)), "upsert", partition_by=["year"]
+        orders.withColumn("o_totalprice", F.lit(0.0)), "upsert", partition_by="year"
     )
     for _ in range(2):
         upsert.upsert(
             orders.where("o_orderstatus = 'F'"), path, ["o_orderkey", "o_orderdate"], partition_by="year"
         )
-    return spark.read.parquet(path)
+    return writers.read_table(spark, path)
 
 
 # Incremental runs ----------------------------------------------------------------
@@ -413,14 +419,14 @@ def _(spark, t):
 @io(
     "inc_threshold_per_source",
     "event_id:i event_type ts:t",
-    "SELECT event_id, event_type, ts FROM events WHERE event_type IN ('click', 'view', 'purchase')",
+    "SELECT event_id, event_type, ts FROM events",
 )
 def _(spark, t):
-    wanted = ["click", "view", "purchase"]
-    rows = t("events").select("event_id", "event_type", "ts").where(F.col("event_type").isin(*wanted))
+    wanted = ["click", "view", "purchase", "signup", "error"]
+    rows = t("events").select("event_id", "event_type", "ts")
     kind = F.col("event_type")
     cut = F.when(kind == "click", _at("2024-01-10")).when(kind == "view", _at("2024-01-20"))
-    # Purchases have no history yet, so their start is the beginning.
+    # The other types have no history yet, so their start is the beginning.
     history = rows.where(F.col("ts") < cut)
     starts = cursors.lookback_starts(history, "event_type", "ts", wanted)
     fresh = cursors.new_rows_per_source(rows, "event_type", "ts", starts, EVENTS_AS_OF)
@@ -457,9 +463,9 @@ def _(spark, t):
 @io("inc_full_refresh", "user_id:i date_hour:t value:d", HOURLY_SQL)
 def _(spark, t):
     stale = _hourly(t("events").withColumn("value", F.lit(-1.0)))
-    spark, path = _stored(stale, "refresh", partition_by=["day"])
-    writers.write_table(_hourly(t("events")), path, partition_by=["day"])
-    return spark.read.parquet(path)
+    spark, path = _stored(stale, "refresh", partition_by="day")
+    writers.write_table(_hourly(t("events")), path, partition_by="day")
+    return writers.read_table(spark, path)
 
 
 # Streams ----------------------------------------------------------------------------
@@ -496,7 +502,7 @@ def _(spark, events):
     path, state = scratch_path(spark, "hours"), scratch_path(spark, "state")
     keys = ["user_id", "date_hour"]
     _finish(jobs.run_upsert(hours, path, state, keys, partition_by="day", output_mode="update"))
-    return spark.read.parquet(path)
+    return writers.read_table(spark, path)
 
 
 @stream("stream_dedup", "event_id:i event_type value:d", "SELECT event_id, event_type, value FROM events")
@@ -514,7 +520,7 @@ LATEST_SQL = "SELECT user_id, event_type, arg_max(event_id, ts) AS event_id, max
 def _(spark, events):
     path, state = scratch_path(spark, "latest"), scratch_path(spark, "state")
     _finish(jobs.run_upsert(events, path, state, ["user_id", "event_type"], version=["ts"]))
-    return spark.read.parquet(path)
+    return writers.read_table(spark, path)
 
 
 @io("stream_availablenow", "event_id:i ts:t", "SELECT event_id, ts FROM events")
@@ -537,9 +543,9 @@ def _(spark, t):
 def _(spark, t):
     cutoff = datetime(2024, 1, 20)
     cold = _hourly(t("events").where(F.col("ts") < _at("2024-01-24")))
-    spark, path = _stored(cold, "cold", partition_by=["day"])
+    spark, path = _stored(cold, "cold", partition_by="day")
     hot = _hourly(t("events").where(F.col("ts") >= _at("2024-01-16")))
-    return setops.union_at_cutover(spark.read.parquet(path), hot, "date_hour", cutoff)
+    return setops.union_at_cutover(writers.read_table(spark, path), hot, "date_hour", cutoff)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

@@ -670,8 +670,7 @@ def _(spark, t):
 )
 def _(spark, t):
     rows = t("events").withColumn("value", F.when(F.col("event_id") % 7 != 0, F.col("value")))
-    # A low limit sends these groups through the distributed ordering.
-    return positions.exact_quantiles(rows, ["event_type"], ["value"], group_limit=100)
+    return positions.exact_quantiles(rows, ["event_type"], ["value"])
 
 
 @operator(
@@ -941,7 +940,7 @@ def _(spark, t):
     return setops.union_padded(parts, "kind")
 
 
-_KINDS = ["click", "view", "purchase"]
+_KINDS = ["click", "view", "purchase", "signup", "error"]
 
 
 def _sparse_hours(t: Tables) -> DataFrame:
@@ -954,7 +953,7 @@ def _sparse_hours(t: Tables) -> DataFrame:
 
 @operator(
     "set_union_all_padded",
-    "user_id:i date_hour:t source click_value:d view_value:d purchase_value:d",
+    "user_id:i date_hour:t source click_value:d view_value:d purchase_value:d signup_value:d error_value:d",
     " UNION ALL ".join(
         "SELECT user_id, CAST(date_trunc('hour', ts) AS TIMESTAMP) AS date_hour, '" + kind + "' AS source, "
         + ", ".join(
@@ -999,10 +998,11 @@ def _(spark, t):
 @operator(
     "set_inline_values",
     "o_orderkey:i label",
-    """SELECT o_orderkey, label FROM orders JOIN (SELECT 'F' AS s, 'finished' AS label UNION ALL SELECT 'O', 'open') v ON o_orderstatus = s""",
+    """SELECT o_orderkey, label FROM orders JOIN (SELECT 'F' AS s, 'finished' AS label UNION ALL SELECT 'O', 'open' UNION ALL SELECT 'P', 'partial') v ON o_orderstatus = s""",
 )
 def _(spark, t):
-    labels = spark.createDataFrame([("F", "finished"), ("O", "open")], "o_orderstatus string, label string")
+    names = [("F", "finished"), ("O", "open"), ("P", "partial")]
+    labels = spark.createDataFrame(names, "o_orderstatus string, label string")
     return t("orders").join(F.broadcast(labels), "o_orderstatus")
 
 
@@ -1042,10 +1042,10 @@ def _(spark, t):
 
 @operator(
     "coalesce_merge",
-    "user_id:i date_hour:t click_value:d view_value:d purchase_value:d",
+    "user_id:i date_hour:t click_value:d view_value:d purchase_value:d signup_value:d error_value:d",
     "SELECT user_id, CAST(date_trunc('hour', ts) AS TIMESTAMP) AS date_hour, "
     + ", ".join(f"arg_max(value, ts) FILTER (WHERE event_type = '{k}') AS {k}_value" for k in _KINDS)
-    + " FROM events WHERE event_type IN ('click', 'view', 'purchase') GROUP BY 1, 2",
+    + " FROM events GROUP BY 1, 2",
 )
 def _(spark, t):
     return merge.coalesce_merge(

@@ -3,11 +3,12 @@ from __future__ import annotations
 from datetime import datetime, timedelta
 
 import pytest
+from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from ledgerlens.operators import rollup
 from ledgerlens.quality import checks, suite
-from ledgerlens.sinks import loads, upsert, writers
+from ledgerlens.sinks import loads, upsert, versions, writers
 from ledgerlens.sources.tables import FileTable, read_optional
 from ledgerlens.streaming import cursors, jobs
 
@@ -15,7 +16,7 @@ ROWS = "k int, day string, v string"
 
 
 def rows_of(spark, path):
-    return sorted(tuple(r) for r in spark.read.parquet(path).select("k", "day", "v").collect())
+    return sorted(tuple(r) for r in writers.read_table(spark, path).select("k", "day", "v").collect())
 
 
 def test_upsert_new_changed_repeated_and_empty(spark, tmp_path):
@@ -25,11 +26,52 @@ def test_upsert_new_changed_repeated_and_empty(spark, tmp_path):
     batch = spark.createDataFrame([(2, "d2", "B"), (3, "d3", "c"), (None, "d2", "N")], ROWS)
     for _ in range(2):
         upsert.upsert(batch, path, ["k", "day"], partition_by="day")
-        stored = spark.read.parquet(path)
+        stored = writers.read_table(spark, path)
         got = sorted((r.k or 0, r.day, r.v) for r in stored.collect())
         assert got == [(0, "d2", "N"), (1, "d1", "a"), (2, "d2", "B"), (3, "d3", "c")]
     upsert.upsert(batch.where("false"), path, ["k", "day"], partition_by="day")
-    assert spark.read.parquet(path).count() == 4
+    assert writers.read_table(spark, path).count() == 4
+
+
+def test_a_failed_write_leaves_the_version_before(spark, tmp_path):
+    path = str(tmp_path / "t")
+    rows = spark.range(100).select(F.col("id").cast("int").alias("k"), F.lit("2024").alias("day"), F.lit("a").alias("v"))
+    upsert.upsert(rows, path, ["k"], partition_by="day")
+    broken = rows.withColumn("v", F.when(F.col("k") == 57, F.raise_error(F.lit("lost"))).otherwise(F.lit("b")))
+    for write in (lambda: writers.write_table(broken, path, partition_by="day"), lambda: upsert.upsert(broken, path, ["k"], partition_by="day")):
+        with pytest.raises(Exception, match="lost"):
+            write()
+        assert {r.v for r in writers.read_table(spark, path).collect()} == {"a"}
+    # A partition value that looks like a number stays text.
+    upsert.upsert(rows.limit(1).withColumn("v", F.lit("c")), path, ["k"], partition_by="day")
+    stored = writers.read_table(spark, path)
+    assert stored.count() == 100 and dict(stored.dtypes)["day"] == "string"
+
+
+def test_a_folder_without_a_version_is_no_new_table(spark, tmp_path):
+    path = str(tmp_path / "t")
+    rows = spark.createDataFrame([(1, "d", "a")], ROWS)
+    rows.write.parquet(path)
+    with pytest.raises(versions.TableBroken):
+        upsert.upsert(rows, path, ["k"])
+
+
+def test_two_writers_from_one_version(spark, tmp_path):
+    path = str(tmp_path / "t")
+    rows = spark.createDataFrame([(1, "d", "a")], ROWS)
+    writers.write_table(rows, path)
+    seen = versions.current_version(spark, path)
+    versions.publish(rows.withColumn("v", F.lit("b")), path, based_on=seen)
+    with pytest.raises(AnalysisException):
+        versions.publish(rows.withColumn("v", F.lit("c")), path, based_on=seen)
+    assert writers.read_table(spark, path).first().v == "b"
+
+
+def test_an_older_row_that_comes_later_changes_nothing(spark, tmp_path):
+    path = str(tmp_path / "t")
+    for k, at, v in [(1, "2", "new"), (1, "1", "old"), (2, "1", "x"), (2, "3", "y")]:
+        upsert.upsert(spark.createDataFrame([(k, at, v)], ROWS), path, ["k"], version=["day"])
+    assert rows_of(spark, path) == [(1, "2", "new"), (2, "3", "y")]
 
 
 def test_schema_policies(spark, tmp_path):
@@ -39,21 +81,25 @@ def test_schema_policies(spark, tmp_path):
     with pytest.raises(writers.SchemaChanged):
         upsert.upsert(wider, path, ["k"])
     upsert.upsert(wider, path, ["k"], on_schema_change="append_new_columns")
-    assert spark.read.parquet(path).orderBy("k").collect()[0].asDict() == {
+    assert writers.read_table(spark, path).orderBy("k").collect()[0].asDict() == {
         "k": 1,
         "v": "a",
         "old": 5,
         "extra": None,
     }
     upsert.upsert(wider, path, ["k"], on_schema_change="sync_all_columns")
-    assert spark.read.parquet(path).columns == ["k", "v", "extra"]
+    assert writers.read_table(spark, path).columns == ["k", "v", "extra"]
 
 
 def test_load_log_and_optional_table(spark, tmp_path):
     df = spark.createDataFrame([(1,), (2,)], "k int")
     table, log = str(tmp_path / "t"), str(tmp_path / "log")
-    loads.append_load(df, table, log, "L1", "s", datetime(2024, 1, 1))
-    assert spark.read.parquet(log).first().row_count == 2
+    for _ in range(2):  # repeating a load changes nothing
+        loads.append_load(df, table, log, "L1", "s", datetime(2024, 1, 1))
+    loads.append_load(df.limit(0), table, log, "L2", "s", datetime(2024, 1, 2))
+    logged = {r.load_id: r.row_count for r in loads.read_load_log(spark, log).collect()}
+    assert logged == {"L1": 2, "L2": 0}
+    assert loads.read_loads(spark, table, "k int").count() == 2
     assert read_optional(spark, FileTable(str(tmp_path / "nothing"))) is None
 
 
@@ -91,10 +137,10 @@ def test_late_rows_within_the_lookback_are_kept(spark, tmp_path):
         return out.withColumn("day", F.to_date("date_hour"))
 
     upsert.upsert(hours(spark.createDataFrame(seen, schema)), path, ["k", "date_hour"], partition_by="day")
-    start = cursors.lookback_start(spark.read.parquet(path), "date_hour")
+    start = cursors.lookback_start(writers.read_table(spark, path), "date_hour")
     fresh = cursors.new_rows(spark.createDataFrame(seen + late, schema), "ts", start, base + timedelta(days=3))
     upsert.upsert(hours(fresh), path, ["k", "date_hour"], partition_by="day")
-    assert sorted(r.v for r in spark.read.parquet(path).collect()) == [1.0, 2.0, 5.0]
+    assert sorted(r.v for r in writers.read_table(spark, path).collect()) == [1.0, 2.0, 5.0]
 
 
 def test_stream_equals_batch_over_several_files_and_runs(spark, tmp_path):
@@ -116,7 +162,7 @@ def test_stream_equals_batch_over_several_files_and_runs(spark, tmp_path):
         )
         query.awaitTermination()
     batch = rollup.hourly_last(everything, ["k"], "ts", {"v": "v"}).select("k", "date_hour", "v")
-    stored = spark.read.parquet(out).select("k", "date_hour", "v")
+    stored = writers.read_table(spark, out).select("k", "date_hour", "v")
     assert sorted(map(tuple, stored.collect())) == sorted(map(tuple, batch.collect()))
 
 

@@ -5,12 +5,11 @@ bands, and documents that share a band are compared on their full sets.
 
 * Equal sets are one class, found by fingerprint; only its representative goes on.
 * Each document is compared with one pivot, the smallest document of its band
-  buckets. Links make components; most buckets then hold one component and are
-  done.
+  buckets, and then, in buckets that hold several components, with a pivot drawn
+  for each bucket. Links make components; most buckets then hold one and are done.
 * The other buckets are cut into blocks. A task takes two blocks of a bucket and
-  compares documents of different components on larger sketches and, unless
-  those rule the pair out, on full sets, at the first band they share. It returns
-  only links that join components, no pairs.
+  compares sketches of documents in different components, each pair at the first
+  band it shares. Pairs that sketches do not rule out are verified on full sets.
 
 A pair at similarity 0.75 shares no band with a chance of 2e-6 (``BANDS`` of
 ``ROWS`` coordinates), less for closer pairs; a sketch rules out a pair only from
@@ -39,8 +38,8 @@ from ledgerlens.session import materialize
 
 THRESHOLD = (75, 100)
 SHINGLE, BANDS, ROWS = 5, 48, 5
-#: Documents in a block of a bucket, and coordinates of the sketches compared there.
-BLOCK, COMPARED = 256, 1_024
+#: Documents in a block of a bucket, and bits of the sketches that are compared.
+BLOCK, COMPARED = 256, 4_096
 
 
 def _sketches(docs: DataFrame) -> DataFrame:
@@ -72,15 +71,23 @@ def _sketches(docs: DataFrame) -> DataFrame:
 
 
 def _sets(docs: DataFrame) -> DataFrame:
-    """``doc, print, members`` (sorted hashes, 8 bytes each)."""
+    """``doc, print, members, bits``: sorted hashes of 8 bytes, and one bit for each of ``COMPARED`` coordinates."""
 
     def run(batches):
         for batch, texts in text_slices(batches, "text", rows=512):
-            sets = [shingle_set(t, SHINGLE).tobytes() for t in texts]
-            prints = pa.array([xxhash.xxh3_128_digest(s) for s in sets], pa.binary())
-            yield pa.RecordBatch.from_arrays([batch.column("doc"), prints, pa.array(sets, pa.binary())], ["doc", "print", "members"])
+            sets = [shingle_set(t, SHINGLE) for t in texts]
+            prints = pa.array([xxhash.xxh3_128_digest(s.tobytes()) for s in sets], pa.binary())
+            coords = [(sketch(s, COMPARED) & np.uint64(1)).astype(np.uint8) if len(s) else np.zeros(COMPARED, np.uint8) for s in sets]
+            bits = pa.array([np.packbits(c).tobytes() for c in coords], pa.binary())
+            members = pa.array([s.tobytes() for s in sets], pa.binary())
+            yield pa.RecordBatch.from_arrays([batch.column("doc"), prints, members, bits], ["doc", "print", "members", "bits"])
 
-    return docs.mapInArrow(run, "doc long, print binary, members binary")
+    return docs.mapInArrow(run, "doc long, print binary, members binary, bits binary")
+
+
+def _short(keys):
+    """Four bytes of each band key, end to end."""
+    return F.unhex(F.array_join(F.transform(keys, lambda k: F.lpad(F.hex(k.bitwiseAND(0xFFFFFFFF)), 8, "0")), ""))
 
 
 def _fits(n: str, m: str):
@@ -89,6 +96,32 @@ def _fits(n: str, m: str):
     return F.least(n, m) * den >= F.greatest(n, m) * num
 
 
+def _least_agreement() -> float:
+    """Fewest equal bits that do not rule out a link: six standard deviations below the mean at the threshold."""
+    equal = (1 + THRESHOLD[0] / THRESHOLD[1]) / 2
+    return COMPARED * equal - 6 * math.sqrt(COMPARED * equal * (1 - equal))
+
+
+def _ends(pairs: DataFrame, sets: DataFrame, value: str) -> DataFrame:
+    """``a, b`` with a value of both; either join may be split at a hot document."""
+    left, right = (sets.select(F.col("doc").alias(c), F.col(value).alias(f"v{c}")) for c in "ab")
+    return pairs.join(right, "b").join(left, "a").select("a", "b", "va", "vb")
+
+
+def _likely(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """Pairs whose sketches do not rule out a link."""
+    least = _least_agreement()
+
+    def run(batches):
+        for batch in batches:
+            if batch.num_rows:
+                x, y = (np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint64).reshape(-1, COMPARED // 64) for c in ("va", "vb"))
+                keep = pa.array(COMPARED - np.bitwise_count(x ^ y).sum(axis=1, dtype=np.int64) >= least)
+                yield pa.RecordBatch.from_arrays([batch.column(c).filter(keep) for c in ("a", "b")], ["a", "b"])
+
+    return _ends(pairs, sets, "bits").mapInArrow(run, "a long, b long")
+
+
 def _linked(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     """Pairs whose full sets reach the threshold."""
     num, den = THRESHOLD
@@ -101,77 +134,74 @@ def _linked(pairs: DataFrame, sets: DataFrame) -> DataFrame:
                 common = len(np.intersect1d(x, y, assume_unique=True))
                 keep.append(den * common >= num * (len(x) + len(y) - common))
             keep = pa.array(keep, pa.bool_())
-            yield pa.RecordBatch.from_arrays([batch.column("a").filter(keep), batch.column("b").filter(keep)], ["a", "b"])
+            yield pa.RecordBatch.from_arrays([batch.column(c).filter(keep) for c in ("a", "b")], ["a", "b"])
 
-    left, right = (sets.select(F.col("doc").alias(c), F.col("members").alias(f"v{c}")) for c in "ab")
-    # Either join may be split at a hot document.
-    return pairs.join(right, "b").join(left, "a").select("a", "b", "va", "vb").mapInArrow(run, "a long, b long")
+    return _ends(pairs, sets, "members").mapInArrow(run, "a long, b long")
 
 
-def _joins(left, right, same: bool, band: int) -> list[tuple[int, int]]:
-    """Component pairs that links between two blocks of a bucket join, as few as will do."""
+def _survivors(left, right, same: bool, band: int) -> list[np.ndarray]:
+    """(doc of left, doc of right) of pairs between two blocks of a bucket that may be links."""
     num, den = THRESHOLD
-    share = num / den
-    least = (share - 6 * math.sqrt(share * (1 - share) / COMPARED)) * COMPARED
-    # A few pairs are verified at once; sketches pay where there are many.
-    sketched = len(left) * len(right) > 8 * (len(left) + len(right))
+    least = _least_agreement()
 
     def side(block):
-        n, component = (block.field(c).to_numpy() for c in ("n", "component"))
-        keys = block.field("keys").flatten().to_numpy().reshape(len(n), BANDS)
-        sets = [np.frombuffer(m, dtype=np.uint64) for m in block.field("members").to_pylist()]
-        coords = np.stack([(sketch(m, COMPARED) & np.uint64(255)).astype(np.uint8) for m in sets]) if sketched else None
-        return n, component, keys, sets, coords
-
-    first = side(left)
-    (n, own, keys, sets, coords), (m, far, other_keys, other_sets, other) = first, first if same else side(right)
-    parent: dict[int, int] = {}
-
-    def root(x: int) -> int:
-        while parent.get(x, x) != x:
-            x = parent[x]
-        return x
-
-    made = []
+        doc, n, component = (block.field(c).to_numpy() for c in ("doc", "n", "component"))
+        bits = np.frombuffer(b"".join(block.field("bits").to_pylist()), np.uint64).reshape(len(n), -1)
+        keys = np.frombuffer(b"".join(block.field("short").to_pylist()), np.uint32).reshape(len(n), BANDS)
+        return doc, n, component, bits, keys
+
+    doc, n, own, bits, keys = side(left)
+    other, m, far, other_bits, other_keys = (doc, n, own, bits, keys) if same else side(right)
+    found = []
     for i in range(len(n)):
         fits = (far != own[i]) & (den * np.minimum(m, n[i]) >= num * np.maximum(m, n[i]))
         if same:
             fits[: i + 1] = False
         at = np.flatnonzero(fits)
-        if sketched:
-            at = at[(other[at] == coords[i]).sum(axis=1) >= least]
+        at = at[COMPARED - np.bitwise_count(other_bits[at] ^ bits[i]).sum(axis=1, dtype=np.int64) >= least]
         at = at[~(other_keys[at, :band] == keys[i, :band]).any(axis=1)]
-        for j in at.tolist():
-            a, b = root(int(own[i])), root(int(far[j]))
-            if a == b:
-                continue
-            common = len(np.intersect1d(sets[i], other_sets[j], assume_unique=True))
-            if den * common >= num * (len(sets[i]) + len(other_sets[j]) - common):
-                parent[max(a, b)] = min(a, b)
-                made.append((a, b))
-    return made
-
-
-def _joined_components(open_: DataFrame, payload: DataFrame) -> DataFrame:
-    """``a, b``: components that some bucket of ``open_`` (``key, band, doc, n, component``) links."""
+        if len(at):
+            found.append(np.stack((np.full(len(at), doc[i]), other[at])))
+    return list(np.concatenate(found, axis=1)) if found else [np.zeros(0, np.int64)] * 2
+
+
+def _apart(open_: DataFrame, payload: DataFrame) -> DataFrame:
+    """``a, b``: pairs in one bucket of ``open_`` (``key, band, doc, n, component``) but in two components that may be links."""
     parts = open_.groupBy("key").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("parts"))
     dealt = open_.join(parts, "key").withColumn("part", F.pmod(F.xxhash64("doc"), F.col("parts")))
-    item = F.struct("doc", "n", "component", "keys", "members")
-    blocks = dealt.join(payload, "doc").groupBy("key", "band", "part").agg(F.collect_list(item).alias("items"))
+    item = F.struct("doc", "n", "component", "bits", "short")
+    blocks = dealt.join(payload, "doc").groupBy("key", "band", "parts", "part").agg(F.collect_list(item).alias("items"))
     blocks = materialize(blocks, "blocks")
-    other = blocks.select("key", F.col("part").alias("part2"), F.col("items").alias("items2"))
-    both = blocks.join(other, "key").where(F.col("part") <= F.col("part2"))
+    many = blocks.where("parts > 1")
+    other = many.select("key", F.col("part").alias("part2"), F.col("items").alias("items2"))
+    both = many.join(other, "key").where(F.col("part") < F.col("part2")).select("band", "items", "items2")
 
     def run(batches):
         for batch in batches:
             for i in range(batch.num_rows):
                 part = batch.slice(i, 1)
-                left, right = part.column("items").flatten(), part.column("items2").flatten()
-                made = _joins(left, right, part.column("same")[0].as_py(), part.column("band")[0].as_py())
-                yield pa.RecordBatch.from_arrays([pa.array([x[k] for x in made], pa.int64()) for k in (0, 1)], ["a", "b"])
+                left = part.column("items").flatten()
+                right = part.column("items2").flatten() if "items2" in batch.schema.names else None
+                found = _survivors(left, right, right is None, part.column("band")[0].as_py())
+                yield pa.RecordBatch.from_arrays([pa.array(f, pa.int64()) for f in found], ["a", "b"])
+
+    return blocks.select("band", "items").mapInArrow(run, "a long, b long").union(both.mapInArrow(run, "a long, b long"))
 
-    same = (F.col("part") == F.col("part2")).alias("same")
-    return both.select("band", same, "items", "items2").mapInArrow(run, "a long, b long")
+
+def _merged(placed: DataFrame, links: DataFrame) -> DataFrame:
+    """``key, band, doc, n, component`` after further links between documents."""
+    own = placed.select("doc", "component").distinct()
+    ends = links.join(own.select(F.col("doc").alias("a"), F.col("component").alias("x")), "a")
+    ends = ends.join(own.select(F.col("doc").alias("b"), F.col("component").alias("y")), "b")
+    over = connected(ends.select(F.col("x").alias("a"), F.col("y").alias("b")))
+    over = over.select(F.col("node").alias("component"), F.col("component").alias("final"))
+    return placed.join(over, "component", "left").select("key", "band", "doc", "n", F.coalesce("final", "component").alias("component"))
+
+
+def _open(placed: DataFrame) -> DataFrame:
+    """The rows of buckets that hold several components."""
+    mixed = placed.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high"))
+    return placed.join(mixed.where("low < high").select("key"), "key")
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -202,15 +232,19 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
     named = components.select(F.col("node").alias("doc"), "component")
     placed = members.join(named, "doc", "left").withColumn("component", F.coalesce("component", "doc"))
-    placed = materialize(placed, "placed")
-    mixed = placed.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high"))
-    open_ = placed.join(mixed.where("low < high").select("key"), "key")
-    keys = found.join(chosen, ["doc", "print"]).select("doc", "keys").dropDuplicates(["doc"])
-    payload = sets.select("doc", "members").join(keys, "doc")
-    joined = connected(_joined_components(open_, payload))
-    over = joined.select(F.col("node").alias("component"), F.col("component").alias("final"))
-    rep_component = placed.select("doc", "component").distinct().join(over, "component", "left")
-    components = rep_component.select(F.col("doc").alias("node"), F.coalesce("final", "component").alias("component"))
+    placed = materialize(placed.select("key", "band", "doc", "n", "component"), "placed")
+
+    open_ = materialize(_open(placed), "open")
+    draw = F.struct(F.xxhash64("doc", "key").alias("o"), "doc", "n", "component")
+    pivots = open_.groupBy("key").agg(F.min(draw).alias("p"))
+    met = open_.join(pivots, "key").where((F.col("component") != F.col("p.component")) & _fits("n", "p.n"))
+    pairs = met.select(F.least("doc", "p.doc").alias("a"), F.greatest("doc", "p.doc").alias("b")).distinct()
+    placed = materialize(_merged(placed, _linked(_likely(pairs, sets), sets)), "placed")
+
+    keys = found.join(chosen, ["doc", "print"]).dropDuplicates(["doc"]).select("doc", _short(F.col("keys")).alias("short"))
+    payload = sets.select("doc", "bits").join(keys, "doc")
+    placed = _merged(placed, _linked(_apart(_open(placed), payload), sets))
+    components = placed.select(F.col("doc").alias("node"), "component").distinct()
 
     reached = components.select(F.col("node").alias("rep"), "component")
     named = classes.join(reached, "rep", "left").select("print", F.coalesce("component", "rep").alias("component"))

@@ -111,20 +111,22 @@ def repeated_windows(docs: DataFrame, id_col="doc_id", text_col="text", window=W
     """(windows, copies) of the documents.
 
     windows: ``doc, at, hash, low`` for windows in more than one place; ``low`` is
-    the smallest doc_id that holds the window. copies: ``doc`` of documents equal
-    to one with a smaller id, which are left out of the windows.
+    the smallest doc_id that holds the window. copies: ``doc`` of documents all of
+    whose rows equal one with a smaller id, which are left out of the windows.
     """
     rows = docs.select(F.col(f"`{id_col}`").cast("long").alias("doc"), F.col(f"`{text_col}`").alias("text"))
     rows = rows.where("doc is not null")
     outline = materialize(_outline(rows, window, anchor), "outline")
     firsts = outline.where("whole is not null").groupBy("whole").agg(F.min("doc").alias("low"))
-    equal = outline.select("doc", "whole").join(firsts, "whole").where("low < doc").select("doc", "whole")
-    copies = materialize(equal, "copies")
-    # A doc_id may have rows with other words too: only its equal row leaves.
-    left = outline.join(copies.distinct(), ["doc", "whole"], "left_anti")
-    runs = left.select("doc", F.explode("anchors").alias("run"))
-    many = runs.groupBy("run").agg(F.count("*").alias("n")).where("n > 1").select("run")
-    found = runs.join(many, "run").groupBy("doc").agg(F.collect_set("run").alias("found"))
+    seen = outline.select("doc", "whole").join(firsts, "whole", "left")
+    copied = F.coalesce(F.col("low") < F.col("doc"), F.lit(False))
+    copies = seen.groupBy("doc").agg(F.every(copied).alias("copied")).where("copied").select("doc")
+    copies = materialize(copies, "copies")
+    # Runs that only copies of one document share lead nowhere.
+    runs = outline.select("doc", F.xxhash64("whole").alias("content"), F.explode("anchors").alias("run"))
+    many = runs.groupBy("run").agg(F.min("content").alias("x"), F.max("content").alias("y")).where("x <> y").select("run")
+    found = runs.select("doc", "run").join(many, "run").groupBy("doc").agg(F.collect_set("run").alias("found"))
+    found = found.join(copies, "doc", "left_anti")
     placed = _candidates(_packed(rows).join(found, "doc").select("doc", "packed", "found"), window, anchor)
     placed = materialize(placed, "windows")
     discard(outline)  # the stored windows and copies have all that is still needed of it
@@ -164,8 +166,7 @@ def remove_repeats(docs: DataFrame, id_col="doc_id", text_col="text", window=WIN
     """
     found, copies = repeated_windows(docs, id_col, text_col, window)
     spans = found.where("low < doc").groupBy("doc").agg(F.collect_set("at").alias("starts"))
-    gone = copies.select("doc", F.hex("whole").alias("equal")).groupBy("doc").agg(F.collect_set("equal").alias("equal"))
-    marks = spans.join(gone, "doc", "full_outer")
+    marks = spans.join(copies.withColumn("equal", F.lit(True)), "doc", "full_outer")
     extra = [F.col(f"`{c}`").alias(f"k{i}") for i, c in enumerate(keep)]
     rows = docs.select(F.col(f"`{id_col}`").cast("long").alias("doc"), F.col(f"`{text_col}`").alias("text"), *extra)
     names = [f"k{i}" for i in range(len(keep))]
@@ -187,7 +188,7 @@ def remove_repeats(docs: DataFrame, id_col="doc_id", text_col="text", window=WIN
                 for packed, starts, equal in zip(*columns, strict=True):
                     words = _words(_unpacked(packed))
                     mask = np.zeros(len(words) + 1, dtype=np.int64)
-                    if equal and len(words) >= window and xxhash.xxh3_128_hexdigest(b" ".join(words)).upper() in equal:
+                    if equal:
                         starts = range(len(words) - window + 1)
                     elif starts:
                         starts = [s for s in starts if s + window <= len(words)]

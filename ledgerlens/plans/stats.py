@@ -129,59 +129,61 @@ def int_yield(w: Warehouse, start: datetime | None = None) -> DataFrame:
     )
 
 
-def _incremental(w: Warehouse, rows: DataFrame, start: datetime | None) -> DataFrame:
+def _incremental(w: Warehouse, rows: DataFrame, start: datetime | None, ts: str = "date_time") -> DataFrame:
+    """Rows from ``start`` on, bounded before any rollup so that the bound reaches the scan."""
     if start is None:
         return rows
     # Whole hours are recomputed, so the bound starts at an hour.
-    return new_rows(rows, "date_time", start.replace(minute=0, second=0, microsecond=0), w.as_of)
+    return new_rows(rows, ts, start.replace(minute=0, second=0, microsecond=0), w.as_of)
 
 
 def tvl_hourly(w: Warehouse, start: datetime | None = None) -> DataFrame:
     rows = _incremental(w, _series(w, "db_tvls"), start)
     rows = rows.where(within_bounds({"tvl_usd": (0.0, 1e9)}))
-    return hourly_last(rows, ENTITY, "date_time", {"tvl_usd": "tvl_usd"}, unique_ts=True)
+    return hourly_last(rows, ENTITY, "date_time", {"tvl_usd": "tvl_usd"})
 
 
 def apy_hourly(w: Warehouse, start: datetime | None = None) -> DataFrame:
     rows = _incremental(w, _series(w, "db_apys"), start)
     rows = rows.where(within_bounds({"apy": (0.0, float(MAX_RATE))}))
-    return hourly_last(rows, ENTITY, "date_time", {"apy": "apy"}, unique_ts=True)
+    return hourly_last(rows, ENTITY, "date_time", {"apy": "apy"})
 
 
-def apy_breakdown_hourly(w: Warehouse) -> DataFrame:
+def apy_breakdown_hourly(w: Warehouse, start: datetime | None = None) -> DataFrame:
     bounds = {c: (0, MAX_FEE) for c in FEES} | {c: (0, MAX_RATE) for c in RATES}
-    rows = staging(w, "api_apy_breakdown").where(within_bounds(bounds))
+    rows = _incremental(w, staging(w, "api_apy_breakdown"), start).where(within_bounds(bounds))
     return hourly_last(_by_key(w, rows, "vault_id"), ENTITY, "date_time", {c: c for c in BREAKDOWN})
 
 
-def lps_breakdown_hourly(w: Warehouse) -> DataFrame:
+def lps_breakdown_hourly(w: Warehouse, start: datetime | None = None) -> DataFrame:
     bounds = {
         "price": (0, MAX_PRICE),
         "total_supply": (0, MAX_AMOUNT),
         "underlying_liquidity": (0, MAX_AMOUNT),
         "underlying_price": (0, MAX_PRICE),
     }
-    rows = staging(w, "api_lps_breakdown").where(within_bounds(bounds))
+    rows = _incremental(w, staging(w, "api_lps_breakdown"), start).where(within_bounds(bounds))
     named = {"lp_price": "price", "breakdown_tokens": "tokens", "breakdown_balances": "balances"}
     named |= {c: c for c in LP_COLUMNS if c not in named}
     return hourly_last(_by_key(w, rows, "vault_id"), ENTITY, "date_time", named)
 
 
-def yield_hourly(w: Warehouse) -> DataFrame:
+def yield_hourly(w: Warehouse, start: datetime | None = None) -> DataFrame:
     amount, price, usd = YIELD_COLUMNS
     bounds = {amount: (0, MAX_AMOUNT), price: (0, MAX_PRICE), usd: (0, MAX_AMOUNT)}
-    rows = w.model(int_yield).where(within_bounds(bounds))
+    rows = _incremental(w, w.model(int_yield), start, "txn_timestamp").where(within_bounds(bounds))
     order = ["block_number", "txn_idx", "event_idx"]
     return hourly_last(rows, ENTITY, "txn_timestamp", {c: c for c in YIELD_COLUMNS}, tie_break=order)
 
 
-def harvest_hourly(w: Warehouse) -> DataFrame:
+def harvest_hourly(w: Warehouse, start: datetime | None = None) -> DataFrame:
     native = F.col("native_price")
 
     def total(amount: str) -> Column:
         return F.sum(fn.usd_value(F.col(amount), native))
 
     rows = w.model(product_harvests).where(after_epoch(F.col("txn_timestamp")))
+    rows = _incremental(w, rows, start, "txn_timestamp")
     return rows.groupBy(*ENTITY, fn.hour_of(F.col("txn_timestamp")).alias("date_hour")).agg(
         F.sum("call_fee").alias("harvest_call_fee"),
         total("call_fee").alias("harvest_call_fee_usd"),
@@ -215,12 +217,10 @@ def unified_hourly(w: Warehouse, starts: dict[str, datetime] | None = None) -> D
     ``starts`` gives each source its own incremental start, since sources
     advance independently.
     """
-    branches = {}
-    for name, build in HOURLY_SOURCES.items():
-        rows = w.model(build)
-        if starts is not None:
-            rows = new_rows(rows, "date_hour", starts[name], w.as_of)
-        branches[name] = rows
+    branches = {
+        name: w.model(build) if starts is None else build(w, starts[name])
+        for name, build in HOURLY_SOURCES.items()
+    }
     return union_padded(branches).select(*ENTITY, "date_hour", "source", *METRICS)
 
 

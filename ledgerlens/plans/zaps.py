@@ -149,7 +149,7 @@ def zap_legs(w: Warehouse) -> DataFrame:
 
 def _array_total(values: Column) -> Column:
     zero = F.lit(0).cast(fn.AMOUNT)
-    return F.aggregate(values, zero, lambda total, value: (total + value).cast(fn.AMOUNT))
+    return F.aggregate(values, zero, lambda total, value: (total + F.coalesce(value, zero)).cast(fn.AMOUNT))
 
 
 def zap_activity(w: Warehouse) -> DataFrame:

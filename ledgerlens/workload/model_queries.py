@@ -9,6 +9,8 @@ from datetime import datetime
 from pyspark.sql import DataFrame, SparkSession
 
 from ledgerlens.plans import coverage, dimensions, investor, prices, revenue, stats, zaps
+from ledgerlens.plans.incremental import INCREMENTAL, run_until
+from ledgerlens.session import scratch_path
 from ledgerlens.sources.catalog import Warehouse
 from ledgerlens.workload.driver_tables import EVENTS_AS_OF, SHIP_AS_OF, warehouse
 from ledgerlens.workload.oracle_models import with_models
@@ -77,11 +79,6 @@ _YIELD = (
 _LEGS = ("input", "output", "zap_fee", "refund")
 
 
-def _of(build: Build) -> Build:
-    # The queried model itself is always computed, from its stored upstream tables.
-    return build
-
-
 def _history(w: Warehouse) -> DataFrame:
     return investor.investor_timeline_historical(w, datetime(2023, 12, 31))
 
@@ -92,21 +89,21 @@ def _timeline(w: Warehouse) -> DataFrame:
 
 MODELS: dict[str, Model] = {
     "chain": Model(
-        _of(dimensions.chain),
+        dimensions.chain,
         _words(
             "chain_id:i network_id:i chain_name chain_key is_enabled public_rpc_urls:s explorer_url "
             "multicall3_address ui_lens_address gas_type eol_date_time:t"
         ),
     ),
     "platform": Model(
-        _of(dimensions.platform), _words("platform_id platform_name website platform_type risks:s")
+        dimensions.platform, _words("platform_id platform_name website platform_type risks:s")
     ),
     "token": Model(
-        _of(dimensions.token),
+        dimensions.token,
         _words("chain_id:i representation_address erc20_address is_native symbol name decimals:i"),
     ),
     "product_classic": Model(
-        _of(dimensions.product_classic),
+        dimensions.product_classic,
         (
             *_LISTED,
             *_words(
@@ -116,7 +113,7 @@ MODELS: dict[str, Model] = {
         ),
     ),
     "product_clm": Model(
-        _of(dimensions.product_clm),
+        dimensions.product_clm,
         (
             *_LISTED,
             *_words(
@@ -126,7 +123,7 @@ MODELS: dict[str, Model] = {
         ),
     ),
     "product_reward_pool": Model(
-        _of(dimensions.product_reward_pool),
+        dimensions.product_reward_pool,
         (
             *_LISTED,
             *_words(
@@ -136,7 +133,7 @@ MODELS: dict[str, Model] = {
         ),
     ),
     "product_classic_boost": Model(
-        _of(dimensions.product_classic_boost),
+        dimensions.product_classic_boost,
         (
             *_LISTED,
             *_words(
@@ -145,47 +142,47 @@ MODELS: dict[str, Model] = {
         ),
     ),
     "product": Model(
-        _of(dimensions.product), (*_LISTED, *_words("product_type product_address platform_id"))
+        dimensions.product, (*_LISTED, *_words("product_type product_address platform_id"))
     ),
     "product_bundle": Model(
-        _of(dimensions.product_bundle),
+        dimensions.product_bundle,
         _words(
             "chain_id:i bundle_root_product_address bundle_type is_active product_key display_name "
             "platform_id creation_block:i creation_datetime:t reward_pool_addresses:s classic_boost_addresses:s"
         ),
     ),
     "account": Model(
-        _of(dimensions.account),
+        dimensions.account,
         _words(
             "address labels:s is_contract active_chain_ids:s first_activity_timestamp:t "
             "last_activity_timestamp:t total_balance_changes:i unique_transactions:i unique_tokens:i"
         ),
     ),
-    "indexed_chains": Model(_of(coverage.indexed_chains), _words("network_id:i chain_id:i")),
-    "int_price": Model(_of(prices.int_price), _words("oracle_key date_time:t price:d")),
+    "indexed_chains": Model(coverage.indexed_chains, _words("network_id:i chain_id:i")),
+    "int_price": Model(prices.int_price, _words("oracle_key date_time:t price:d")),
     "int_product_price": Model(
-        _of(prices.int_product_price), _words("chain_id:i token_address date_time:t price:d")
+        prices.int_product_price, _words("chain_id:i token_address date_time:t price:d")
     ),
-    "int_tvl": Model(_of(stats.int_tvl), _words("chain_id:i product_address date_time:t tvl:d")),
-    "int_yield": Model(_of(stats.int_yield), _YIELD, SHIP_AS_OF),
-    "tvl_hourly": Model(_of(stats.tvl_hourly), (*_ENTITY_HOUR, "tvl_usd:d")),
-    "apy_hourly": Model(_of(stats.apy_hourly), (*_ENTITY_HOUR, "apy:d")),
+    "int_tvl": Model(stats.int_tvl, _words("chain_id:i product_address date_time:t tvl:d")),
+    "int_yield": Model(stats.int_yield, _YIELD, SHIP_AS_OF),
+    "tvl_hourly": Model(stats.tvl_hourly, (*_ENTITY_HOUR, "tvl_usd:d")),
+    "apy_hourly": Model(stats.apy_hourly, (*_ENTITY_HOUR, "apy:d")),
     "apy_breakdown_hourly": Model(
-        _of(stats.apy_breakdown_hourly), (*_ENTITY_HOUR, *_numbers(*stats.BREAKDOWN))
+        stats.apy_breakdown_hourly, (*_ENTITY_HOUR, *_numbers(*stats.BREAKDOWN))
     ),
     "lps_breakdown_hourly": Model(
-        _of(stats.lps_breakdown_hourly),
+        stats.lps_breakdown_hourly,
         (*_ENTITY_HOUR, *[m for m in _METRICS if m.split(":")[0] in stats.LP_COLUMNS]),
     ),
     "yield_hourly": Model(
-        _of(stats.yield_hourly), (*_ENTITY_HOUR, *_numbers(*stats.YIELD_COLUMNS)), SHIP_AS_OF
+        stats.yield_hourly, (*_ENTITY_HOUR, *_numbers(*stats.YIELD_COLUMNS)), SHIP_AS_OF
     ),
     "harvest_hourly": Model(
-        _of(stats.harvest_hourly), (*_ENTITY_HOUR, *_numbers(*stats.HARVEST_COLUMNS)), SHIP_AS_OF
+        stats.harvest_hourly, (*_ENTITY_HOUR, *_numbers(*stats.HARVEST_COLUMNS)), SHIP_AS_OF
     ),
-    "unified_hourly": Model(_of(stats.unified_hourly), (*_ENTITY_HOUR, "source", *_METRICS)),
+    "unified_hourly": Model(stats.unified_hourly, (*_ENTITY_HOUR, "source", *_METRICS)),
     "product_stats": Model(
-        _of(stats.product_stats),
+        stats.product_stats,
         (
             *_ENTITY_HOUR,
             *_words("chain_name product_type product_key display_name is_active platform_id"),
@@ -193,12 +190,12 @@ MODELS: dict[str, Model] = {
         ),
     ),
     "product_stats_latest": Model(
-        _of(stats.product_stats_latest), (*_ENTITY_HOUR, *stats.LATEST_LABELS, *_LATEST_METRICS)
+        stats.product_stats_latest, (*_ENTITY_HOUR, *stats.LATEST_LABELS, *_LATEST_METRICS)
     ),
-    "chain_stats": Model(_of(stats.chain_stats), _CHAIN),
-    "chain_stats_latest": Model(_of(stats.chain_stats_latest), _CHAIN),
+    "chain_stats": Model(stats.chain_stats, _CHAIN),
+    "chain_stats_latest": Model(stats.chain_stats_latest, _CHAIN),
     "product_tvl_diff": Model(
-        _of(stats.product_tvl_diff),
+        stats.product_tvl_diff,
         (
             *_words("chain_id:i product_address product_type product_key display_name is_active"),
             *_words("platform_id ref_hour:t tvl_usd_current:d"),
@@ -208,7 +205,7 @@ MODELS: dict[str, Model] = {
         ),
     ),
     "harvests": Model(
-        _of(revenue.harvests),
+        revenue.harvests,
         (
             *_words("txn_timestamp:t chain_id:i product_address product_key product_type display_name"),
             *_words("block_number:i txn_idx:i event_idx:i txn_hash"),
@@ -217,10 +214,10 @@ MODELS: dict[str, Model] = {
         SHIP_AS_OF,
     ),
     "yield_harvest_events": Model(
-        _of(revenue.yield_harvest_events), (*_YIELD, "chain_name"), SHIP_AS_OF
+        revenue.yield_harvest_events, (*_YIELD, "chain_name"), SHIP_AS_OF
     ),
     "revenue_buyback_events": Model(
-        _of(revenue.revenue_buyback_events),
+        revenue.revenue_buyback_events,
         _words(
             "id txn_timestamp:t block_number:i event_idx:i txn_hash chain_id:i token_representation_address "
             "token_erc20_address token_is_native token_symbol token_name token_decimals:i token_price_usd:d "
@@ -229,25 +226,25 @@ MODELS: dict[str, Model] = {
         SHIP_AS_OF,
     ),
     "daily_revenue_summary": Model(
-        _of(revenue.daily_revenue_summary),
+        revenue.daily_revenue_summary,
         _words("date_day:t yield_usd:d revenue_usd:d buyback_usd:d"),
         SHIP_AS_OF,
     ),
     "monthly_revenue": Model(
-        _of(revenue.monthly_revenue),
+        revenue.monthly_revenue,
         _words("month:t yield_usd:d revenue_usd:d buyback_usd:d"),
         SHIP_AS_OF,
     ),
     "api_revenue_summary": Model(
-        _of(revenue.api_revenue_summary),
+        revenue.api_revenue_summary,
         _words("revenue_usd_30d:d yield_usd_7d:d buyback_usd_7d:d"),
         SHIP_AS_OF,
     ),
     "investor_timeline_historical": Model(_history, _TIMELINE),
-    "investor_timeline_recent": Model(_of(investor.investor_timeline_recent), _TIMELINE),
+    "investor_timeline_recent": Model(investor.investor_timeline_recent, _TIMELINE),
     "investor_timeline": Model(_timeline, _TIMELINE),
     "zap_activity": Model(
-        _of(zaps.zap_activity),
+        zaps.zap_activity,
         (
             *_words("src_chain_id:i src_chain_name src_chain_key src_chain_is_enabled src_txn_hash"),
             *_words("src_block_number:i src_txn_idx:i src_txn_timestamp:t src_txn_date:t dst_chain_id:i"),
@@ -261,7 +258,7 @@ MODELS: dict[str, Model] = {
         ),
     ),
     "missing_products_in_index": Model(
-        _of(coverage.missing_products_in_index),
+        coverage.missing_products_in_index,
         _words(
             "chain_id:i chain_name product_address product_key display_name is_active "
             "declared_creation_date:t missing_in_model"
@@ -270,11 +267,30 @@ MODELS: dict[str, Model] = {
 }
 
 
+#: Reference times of the runs that load a model: two early ones, then the last one twice. Each run goes a day back.
+RUNS: dict[str, list[datetime]] = {
+    "int_yield": [datetime(1996, 1, 1), datetime(1999, 1, 1), datetime(2100, 1, 1), datetime(2100, 1, 1)],
+    "tvl_hourly": [datetime(2024, 1, 9), datetime(2024, 1, 20), datetime(2100, 1, 1), datetime(2100, 1, 1)],
+    "apy_hourly": [datetime(2024, 1, 9), datetime(2024, 1, 20), datetime(2100, 1, 1), datetime(2100, 1, 1)],
+}
+
+
+def _in_runs(name: str) -> Callable[[SparkSession, str], DataFrame]:
+    """The model as a table that scheduled runs have loaded piece by piece."""
+
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        path = scratch_path(spark, f"incremental-{name}")
+        rows = run_until(warehouse(spark, sf_dir), INCREMENTAL[name], path, RUNS[name])
+        return present(rows, MODELS[name].columns)
+
+    return run
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f"model_{name}": model.run for name, model in MODELS.items()}
+    found = {f"model_{name}": model.run for name, model in MODELS.items()}
+    return found | {f"inc_model_{name}": _in_runs(name) for name in RUNS}
 
 
 def oracles() -> dict[str, str]:
-    return {
-        f"model_{name}": with_models(select_sql(name, model.columns)) for name, model in MODELS.items()
-    }
+    answers = {name: with_models(select_sql(name, model.columns)) for name, model in MODELS.items()}
+    return {f"model_{name}": sql for name, sql in answers.items()} | {f"inc_model_{name}": answers[name] for name in RUNS}

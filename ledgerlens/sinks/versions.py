@@ -115,7 +115,11 @@ def publish(
     spark = df.sparkSession
     number = (based_on.number if based_on else 0) + 1
     target = f"data/v{number}-{uuid4().hex[:12]}"
-    writer = df.withColumn(PART, part_key(partition_by) if partition_by else F.lit(WHOLE)).write
+    rows = df.withColumn(PART, part_key(partition_by) if partition_by else F.lit(WHOLE))
+    if partition_by:
+        # Few files for a small partition, several tasks for a large one.
+        rows = rows.hint("rebalance", PART)
+    writer = rows.write
     writer.option("maxRecordsPerFile", ROWS_PER_FILE).partitionBy(PART).parquet(f"{path}/{target}")
     written = [n.removeprefix(f"{PART}=") for n in _names(spark, f"{path}/{target}") if n.startswith(f"{PART}=")]
     folders = {p: f.removeprefix(f"{path}/") for p, f in (kept or {}).items()}

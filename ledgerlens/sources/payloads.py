@@ -36,12 +36,13 @@ def stamp_snapshot(
     )
 
 
-def read_json_list(spark: SparkSession, path: str, schema: str) -> DataFrame:
-    """Files holding a JSON array, one row per item; fields outside the schema are dropped.
+def read_json_list(spark: SparkSession, path: str, schema: str, lines: bool = False) -> DataFrame:
+    """Files holding a JSON array (with ``lines`` one array per line), one row per item.
 
-    Declaring large integers as text keeps all their digits.
+    Fields outside the schema are dropped. Declaring large integers as text keeps
+    all their digits.
     """
-    return spark.read.schema(schema).option("multiLine", "true").json(path)
+    return spark.read.schema(schema).option("multiLine", str(not lines).lower()).json(path)
 
 
 def explode_list(df: DataFrame, payload: str, item_schema: str, keep: Sequence[str] = ()) -> DataFrame:

@@ -105,9 +105,10 @@ def _(spark, t):
 )
 def _(spark, t):
     path = scratch_path(spark, "payloads")
-    item = t("lineitem").select("l_orderkey", F.col("l_partkey").alias("part"), F.col("l_quantity").alias("quantity"))
-    item.write.json(path)
-    return payloads.read_json_list(spark, path, "l_orderkey bigint, part bigint, quantity double")
+    item = F.struct("l_orderkey", F.col("l_partkey").alias("part"), F.col("l_quantity").alias("quantity"))
+    landed = t("lineitem").groupBy("l_orderkey").agg(F.to_json(F.collect_list(item)).alias("value"))
+    landed.select("value").write.text(path)
+    return payloads.read_json_list(spark, path, "l_orderkey bigint, part bigint, quantity double", lines=True)
 
 
 def _event_payloads(t: Tables, *levels, value) -> DataFrame:

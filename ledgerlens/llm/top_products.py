@@ -108,9 +108,9 @@ def top_products(rows: DataFrame, is_query, count: int, scale: int = 1024, id_co
 
     # One block, of the longest vectors: at most a few thousand rows.
     top = held.agg(F.max(F.struct("bucket", "part")).alias("m")).select(F.col("m.bucket"), F.col("m.part"))
-    first = held.join(F.broadcast(top), ["bucket", "part"], "left_semi").select(F.lit(1).alias("one"), "items")
+    first = held.join(F.broadcast(top), ["bucket", "part"], "left_semi")
     unbound = query_blocks(asked.withColumn("bound", F.lit(None).cast("double")), ["rep", "v", "bound"])
-    seen = search(unbound.withColumn("one", F.lit(1)).join(F.broadcast(first), "one"), run, "double")
+    seen = search(paired(unbound, first), run, "double")
     bounds = seen.groupBy("rep").agg(F.when(F.count("*") >= count + 1, F.min("score")).alias("bound"))
     bound = query_blocks(asked.join(bounds, "rep", "left"), ["rep", "v", "bound"])
     scores = search(paired(bound, held), run, "double").withColumn("score", F.col("score").cast("long"))

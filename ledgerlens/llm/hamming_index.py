@@ -167,4 +167,4 @@ def nearest(rows: DataFrame, is_query, count: int, id_col="vec_id", vector_col="
     def run(asked, items):
         return _nearest(asked, items, codes, count + 1)
 
-    return ranked(search(paired(asked, blocks(found, F.lit(0))), run, "double"), queries, count)
+    return ranked(search(paired(asked, blocks(found, F.size("v"))), run, "double"), queries, count)

@@ -103,11 +103,13 @@ def fit_rates(
 
     ``weights`` are the target shares. ``budget`` is the wanted total of tokens;
     without one it is the least that lets every domain in ``floors`` (all, if
-    empty) keep ``headroom`` times its present tokens.
+    empty) keep ``headroom`` times its present tokens. A document that more likely
+    than not belongs to a domain in ``floors`` is read at least once: its rate is
+    projected to one or more, other rates to zero or more.
 
     A step moves every rate against the gradient in the metric of tokens, scaled
-    by the inverse of the domains' second moments, and cuts it at zero. That is
-    exact in one step while no rate meets zero.
+    by the inverse of the domains' second moments, and cuts it at its bound. That is
+    exact in one step while no rate meets its bound.
     """
     count = len(weights)
     members = materialize(members, "members")
@@ -124,14 +126,21 @@ def fit_rates(
         held = [k for k in (floors or range(count)) if shares[k] > 0]
         budget = max((headroom * now[k] / shares[k] for k in held), default=0.0)
     wanted = shares * budget
+    clean = sum((F.col(f"p{k}") for k in floors), F.lit(0.0))
+    bound = F.when(clean >= 0.5, F.lit(1.0)).otherwise(F.lit(0.0))
     factors = [float(w / n) if n > 0 else 0.0 for w, n in zip(wanted, now, strict=True)]
     rated, rate = members, sum((F.col(f"p{k}") * factors[k] for k in range(1, count)), F.col("p0") * factors[0])
+    rate = F.greatest(bound, rate)
     now = np.array(rated.agg(*_mass(rate, count)).first(), dtype=float)
+    last = math.inf
     for step in range(1, rounds + 1):
-        if np.abs(now - wanted).max() <= tolerance * max(budget, 1.0):
+        error = float(np.abs(now - wanted).max())
+        # Done, or as near as bounds on the rates allow.
+        if error <= tolerance * max(budget, 1.0) or abs(last - error) <= 1e-3 * tolerance * budget:
             break
+        last = error
         move = scale @ (now - wanted)
-        rate = F.greatest(F.lit(0.0), rate - sum((F.col(f"p{k}") * float(move[k]) for k in range(1, count)), F.col("p0") * float(move[0])))
+        rate = F.greatest(bound, rate - sum((F.col(f"p{k}") * float(move[k]) for k in range(1, count)), F.col("p0") * float(move[0])))
         if step % stored_every == 0:
             rated = materialize(rated.withColumn("next", rate).drop("rate").withColumnRenamed("next", "rate"), "rates")
             rate = F.col("rate")

@@ -25,10 +25,17 @@ from pyspark.sql import functions as F
 
 from ledgerlens.llm.batches import text_slices
 
+# Attributes as in the standard's tokenizer: a quote opens a value only directly after "=", elsewhere it is a character.
+BLANK = r"[ \t\n\r\f]"
+NAME = r"=[^ \t\n\r\f/>=]*+|[^ \t\n\r\f/>=]++"
+VALUE = r"\"[^\"]*+\"|'[^']*+'|[^ \t\n\r\f>\"'][^ \t\n\r\f>]*+|(?=>|\Z)"
+IS = rf"{BLANK}*+={BLANK}*+"
 TOKEN = re.compile(
-    r"<!--.*?(?:-->|\Z)|<(/?)([A-Za-z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*+)>|<[!?/][^>]*>?|[^<]+|<", re.DOTALL
+    r"<!--.*?(?:-->|\Z)|<(/?)([A-Za-z][^ \t\n\r\f/>]*+)"
+    rf"((?:{BLANK}++|/|(?:{NAME})(?:{IS}(?:{VALUE})|(?!{IS})))*+)>|<[!?/][^>]*>?|[^<]+|<",
+    re.DOTALL,
 )
-ATTRIBUTE = re.compile(r"([^\s=/\"'>]+)(?:\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s\"'>]+))?")
+ATTRIBUTE = re.compile(rf"({NAME})(?:{IS}({VALUE}))?")
 SPACE = re.compile(r"[ \t\n\r\f\v]+")
 HIDDEN_STYLE = re.compile(r"display\s*:\s*none|visibility\s*:\s*(?:hidden|collapse)", re.IGNORECASE)
 

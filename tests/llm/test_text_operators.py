@@ -191,3 +191,11 @@ def test_odd_pages(spark):
     assert texts[0] is None and texts[1] == "" and texts[2] == "plain" and texts[5] == "a < b"
     assert texts[6] == "deep" and texts[8] == "in" and texts[9] == "\xa0&&bogus;"
     assert html_text.extract_text(rows.limit(0)).count() == 0
+
+
+def test_quotes_elsewhere_in_a_tag_are_characters():
+    assert html_text.page_text("<a title=don't>Hello</a> <p>more</p>")[1] == "Hello\n\nmore"
+    assert html_text.page_text("<a title=don't>Hello</a> <p title=it's>more</p>")[1] == "Hello\n\nmore"
+    assert html_text.page_text("<a 'b\" =c d=e\"f>Hello</a\"> more")[1] == "Hello more"
+    assert html_text.page_text("<a x='1>2'y = \"3>'4\" z=>Hello")[1] == "Hello"
+    assert html_text.page_text("<p x='1'hidden>no</p><p title=a'b hidden>no</p>yes")[1] == "yes"

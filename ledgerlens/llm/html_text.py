@@ -4,9 +4,13 @@ A tree builder with the implied tags of HTML (list items, paragraphs, table
 parts, options) feeds a renderer: blocks start on lines of their own, paragraphs
 and the like are set apart by a blank line, list items get bullets or numbers and
 are indented by depth, preformatted text keeps its spaces, and the cells of a
-table are aligned in columns. Invisible are comments, scripts, styles, templates,
-heads (but for the title), and elements that are hidden by attribute or inline
-style. All other text is emitted, whether it is an article or navigation.
+table are aligned in columns. Content that stands in a table but in no cell comes
+before the table, as in browsers. Invisible are comments, scripts, styles,
+templates, heads (but for the title), what stands in for something that is not
+loaded (``noscript``, ``iframe``, ``object``, ``canvas``, ``audio``, ``video`` and
+the like), choices offered while typing, the definitions and descriptions of
+drawings, the annotations of formulas, and elements that are hidden by attribute
+or inline style. All other text is emitted, whether it is an article or navigation.
 
 Nulls: a null page has null text and title; an empty one has empty text. Broken
 markup never fails: unknown end tags are passed over, open elements end with
@@ -43,14 +47,16 @@ HIDDEN_STYLE = re.compile(r"display\s*:\s*none|visibility\s*:\s*(?:hidden|collap
 VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "source", "track", "wbr"}
 RAW = {"script", "style", "textarea", "title", "xmp", "iframe", "noembed", "noframes"}
 UNSEEN = {
-    "script", "style", "template", "head", "noscript", "iframe", "noembed", "noframes", "object", "svg", "math",
-    "canvas", "audio", "video", "datalist", "param", "map",
+    "script", "style", "template", "head", "noscript", "iframe", "noembed", "noframes", "object", "canvas",
+    "audio", "video", "datalist", "param",
+    "desc", "metadata", "defs", "symbol", "clippath", "mask", "marker", "pattern",  # in svg
+    "annotation", "annotation-xml",  # in math
 }
 BLOCKS = {
     "address", "article", "aside", "blockquote", "body", "center", "dd", "details", "dialog", "dir", "div", "dl", "dt",
     "fieldset", "figcaption", "figure", "footer", "form", "h1", "h2", "h3", "h4", "h5", "h6", "header", "hgroup", "hr",
     "html", "legend", "li", "main", "menu", "nav", "ol", "optgroup", "option", "p", "pre", "search", "section",
-    "summary", "table", "ul", "caption", "tr", "xmp",
+    "summary", "table", "text", "ul", "caption", "tr", "xmp",
 }
 SPACED = {"blockquote", "dl", "figure", "h1", "h2", "h3", "h4", "h5", "h6", "hr", "ol", "p", "pre", "table", "ul", "xmp"}
 LISTS = {"ul", "ol", "menu", "dir"}
@@ -69,9 +75,14 @@ IMPLIED_END = {
     "thead": ({"caption", "colgroup", "thead", "tbody", "tfoot", "tr", "td", "th"}, {"table"}),
     "tbody": ({"caption", "colgroup", "thead", "tbody", "tfoot", "tr", "td", "th"}, {"table"}),
     "tfoot": ({"caption", "colgroup", "thead", "tbody", "tfoot", "tr", "td", "th"}, {"table"}),
+    "caption": ({"caption", "colgroup", "thead", "tbody", "tfoot", "tr", "td", "th"}, {"table"}),
+    "colgroup": ({"caption", "colgroup", "thead", "tbody", "tfoot", "tr", "td", "th"}, {"table"}),
     "body": ({"head"}, set()),
 }
-CLOSE_P = BLOCKS - {"body", "html", "option", "optgroup", "caption", "tr"}
+CLOSE_P = BLOCKS - {"body", "html", "option", "optgroup", "caption", "tr", "text"}
+#: Directly in these only parts of tables may stand.
+TABLE_ONLY = {"table", "thead", "tbody", "tfoot", "tr", "colgroup"}
+TABLE_PARTS = {"caption", "colgroup", "col", "thead", "tbody", "tfoot", "tr", "td", "th"}
 SCOPE = {"table", "td", "th", "caption", "html", "object", "template"}
 
 
@@ -116,6 +127,27 @@ def parse(page: str) -> Node:
         if found is not None:
             cut(found)
 
+    def holder() -> int:
+        # Depth of the nearest open part of a table, if only parts of tables may stand in it, else 0.
+        if open_["table"] > 0:
+            for depth in range(len(stack) - 1, 0, -1):
+                if stack[depth].name in TABLE_ONLY:
+                    return depth
+                if stack[depth].name in SCOPE:
+                    break
+        return 0
+
+    def place(child: Node | str) -> None:
+        # Into the innermost open element; what may not stand there in a table goes before the table.
+        if stack[-1].name in TABLE_ONLY and open_["table"] > 0:
+            depth = len(stack) - 1
+            while stack[depth].name != "table":
+                depth -= 1
+            beside = stack[depth - 1].children  # the open table is the last of them
+            beside.insert(len(beside) - 1, child)
+        else:
+            stack[-1].children.append(child)
+
     while at < size:
         token = TOKEN.match(page, at)
         at = token.end()
@@ -127,24 +159,16 @@ def parse(page: str) -> Node:
             if text[0] != "<" or text == "<":
                 if "&" in text:
                     text = html.unescape(text)
-                top = stack[-1].name
-                if top in ("table", "tbody", "thead", "tfoot", "tr") and text.strip():
-                    cell = Node("td", {})
-                    parent = stack[-1]
-                    if top != "tr":
-                        row = Node("tr", {})
-                        parent.children.append(row)
-                        parent = row
-                    parent.children.append(cell)
-                    cell.children.append(text)
-                else:
+                if text.isspace():
                     stack[-1].children.append(text)
+                else:
+                    place(text)
             continue
         name = name.lower()
         if token.group(1):
             if open_[name] <= 0:
                 if name == "p":
-                    stack[-1].children.append(Node("p", {}))
+                    place(Node("p", {}))
                 continue
             for depth in range(len(stack) - 1, 0, -1):
                 if stack[depth].name == name:
@@ -157,6 +181,12 @@ def parse(page: str) -> Node:
             close({"p"}, SCOPE)
         if name in IMPLIED_END:
             close(*IMPLIED_END[name])
+        if name in TABLE_PARTS and (depth := holder()):
+            cut(depth + 1)
+        elif name == "table" and (depth := holder()):  # ends the table around it
+            while stack[depth].name != "table":
+                depth -= 1
+            cut(depth)
         if name in ("td", "th") and stack[-1].name in ("table", "tbody", "thead", "tfoot"):
             row = Node("tr", {})
             stack[-1].children.append(row)
@@ -164,8 +194,15 @@ def parse(page: str) -> Node:
             open_["tr"] += 1
         source = token.group(3)
         node = Node(name, _attributes(source) if source.strip(" /") else {})
-        stack[-1].children.append(node)
-        if name in VOID or source.endswith("/") and name in ("svg", "path"):
+        if name in TABLE_PARTS:
+            stack[-1].children.append(node)
+        else:
+            alone = name == "form" and stack[-1].name in TABLE_ONLY and open_["table"] > 0  # holds nothing there
+            place(node)
+            if alone:
+                continue
+        foreign = name in ("svg", "math") or open_["svg"] + open_["math"] > open_["foreignobject"]
+        if name in VOID or source.endswith("/") and foreign:
             continue
         if name in RAW:
             end = re.compile(rf"</{re.escape(name)}\b[^>]*>", re.IGNORECASE).search(page, at)

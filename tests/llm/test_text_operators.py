@@ -199,3 +199,37 @@ def test_quotes_elsewhere_in_a_tag_are_characters():
     assert html_text.page_text("<a 'b\" =c d=e\"f>Hello</a\"> more")[1] == "Hello more"
     assert html_text.page_text("<a x='1>2'y = \"3>'4\" z=>Hello")[1] == "Hello"
     assert html_text.page_text("<p x='1'hidden>no</p><p title=a'b hidden>no</p>yes")[1] == "yes"
+
+
+TABLES = {
+    "<table><tbody><form><tr><td>x1<td>x2</form></table>x3": "x1  x2\n\nx3",
+    "<table><tr><form><td>x1</td></form></table>": "x1",
+    "<table><tr><a href=u><td>x1</a></table>": "x1",
+    "<table><tr><div>x1</div><td>x2</table>": "x1\n\nx2",
+    "<table><tbody><div>x1</div><tr><td>x2</table>": "x1\n\nx2",
+    "<table><tr><td>x1</td>x2<b>x3</b><td>x4</table>x5": "x2x3\n\nx1  x4\n\nx5",
+    "<table><tbody><caption>x1</caption><tr><td>x2</table>": "x1\nx2",
+    "<table><tr><td>x1<tr><table><tr><td>x2</table>x3": "x1\n\nx2\n\nx3",
+    "<table><tr><td><table><tbody><span>x1</span><tr><td>x2</table></table>": "x1\nx2",
+    "<table><colgroup><i>x1</i><tr><td>x2</table>": "x1\n\nx2",
+}
+
+
+@pytest.mark.parametrize("page", TABLES)
+def test_content_of_a_table_outside_its_cells(page):
+    assert html_text.page_text(page)[1] == TABLES[page]
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.sampled_from("table tbody tr td th caption colgroup form a div p span ul li select b /table /tr /td /form /div /p x x x".split()), max_size=25))
+def test_no_text_in_and_around_tables_is_lost(names):
+    words = [f"x{k}." for k, name in enumerate(names) if name == "x"]
+    page = "<table>" + "".join(f"x{k}." if name == "x" else f"<{name}>" for k, name in enumerate(names))
+    shown = "".join(html_text.page_text(page)[1].split())
+    assert all(shown.count(word) == 1 for word in words)
+
+
+def test_formulas_maps_and_drawings():
+    page = "a <math><mi>b</mi><annotation>no</annotation></math> <map><a href=u>c</a></map>"
+    page += "<svg><style/><title>no</title><defs><text>no</text></defs><defs/><text>d</text><text>e</text></svg>"
+    assert html_text.page_text(page)[1] == "a b c\nd\ne"

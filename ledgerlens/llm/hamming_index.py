@@ -9,7 +9,9 @@ are ranked by the exact cosine of the original vectors.
 
 Rotation and radius come from at most ``SAMPLE`` vectors (by hash of the id);
 every vector is indexed. The radius is the distance within which ``COVERED`` of
-the sample's true neighbours lie; among more vectors neighbours are nearer.
+the sample's true neighbours lie; among more vectors neighbours are nearer. A
+query that finds too few (an outlier among tight groups) is searched again among
+all codes, so fewer come back only if there are no more.
 
 Nulls: rows whose id or vector is null, or whose vector is zero, empty or has a
 null or non-finite component, take no part. Shorter vectors count as ending in
@@ -20,10 +22,12 @@ smaller ids.
 from __future__ import annotations
 
 from itertools import combinations
+from math import comb
 
 import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from ledgerlens.llm.vector_blocks import best, blocks, classes, matrix, paired, query_blocks, ranked, same_width, search, usable
 from ledgerlens.session import materialize
@@ -37,7 +41,7 @@ def _unit(m: np.ndarray) -> np.ndarray:
 
 
 class Codes:
-    """A fitted hash: ``turn`` maps unit vectors to signed axes, ``radius`` is the search radius."""
+    """A fitted hash: ``turn`` maps unit vectors to signed axes, ``radius`` is the first search radius."""
 
     def __init__(self, turn: np.ndarray, radius: int):
         self.turn, self.radius = turn, radius
@@ -89,6 +93,7 @@ class MultiIndex:
     def __init__(self, codes: np.ndarray, radius: int, parts: int = PARTS):
         self.codes, self.radius, self.bits = codes, radius, BITS // parts
         self.near = radius // parts
+        self.probes = sum(comb(self.bits, r) for r in range(min(self.near, self.bits) + 1))
         self.tables = []
         for part in range(parts):
             values = self._part(codes, part)
@@ -102,6 +107,8 @@ class MultiIndex:
 
     def within(self, code: np.uint64) -> np.ndarray:
         """Places of all codes within the radius."""
+        if self.radius >= BITS:
+            return np.arange(len(self.codes))
         met = np.zeros(len(self.codes), dtype=bool)
         for part, (found, starts, order) in enumerate(self.tables):
             wanted = int(self._part(code, part))
@@ -113,9 +120,9 @@ class MultiIndex:
 
     def _probed(self, found: np.ndarray, wanted: int) -> np.ndarray:
         """Which of the values that occur are near the wanted one: by probing, or by a walk if fewer occur."""
-        if self.masks is None:
-            self.masks = _masks(self.bits, self.near)
-        if len(self.masks) < len(found):
+        if self.probes < len(found):
+            if self.masks is None:
+                self.masks = _masks(self.bits, self.near)
             probes = self.masks ^ wanted
             at = np.minimum(np.searchsorted(found, probes), len(found) - 1)
             hit = np.zeros(len(found), dtype=bool)
@@ -132,10 +139,10 @@ def _runs(starts: np.ndarray, stops: np.ndarray):
     return zip(starts[np.concatenate(([0], new))].tolist(), stops[np.concatenate((new - 1, [len(stops) - 1]))].tolist(), strict=True)
 
 
-def _nearest(asked, items, codes: Codes, count: int):
+def _nearest(asked, items, codes: Codes, radius: int, count: int):
     c = matrix(items.field("v"))
     q = matrix(asked.field("v"))
-    index = MultiIndex(codes.of(_unit(c)), codes.radius)
+    index = MultiIndex(codes.of(_unit(c)), radius)
     q_codes = codes.of(_unit(q))
     q, c = same_width(q, c)
     sizes, lengths = np.sqrt((q * q).sum(axis=1)), np.sqrt((c * c).sum(axis=1))
@@ -162,9 +169,22 @@ def nearest(rows: DataFrame, is_query, count: int, id_col="vec_id", vector_col="
     codes = fit(_unit(np.array([v + [0.0] * (width - len(v)) for v in sample])), count)
     queries = vectors.where(is_query).distinct().join(found.select("v", "rep"), "v").select("id", "rep")
     queries = materialize(queries, "queries")
-    asked = query_blocks(found.join(queries.select("rep").distinct(), "rep").select("rep", "v"), ["rep", "v"])
-
-    def run(asked, items):
-        return _nearest(asked, items, codes, count + 1)
-
-    return ranked(search(paired(asked, blocks(found, F.size("v"))), run, "double"), queries, count)
+    held = blocks(found, F.size("v"))
+    asked = found.join(queries.select("rep").distinct(), "rep").select("rep", "v")
+
+    def within(asked: DataFrame, radius: int) -> DataFrame:
+        def run(asked, items):
+            return _nearest(asked, items, codes, radius, count + 1)
+
+        near = search(paired(query_blocks(asked, ["rep", "v"]), held), run, "double")
+        place = F.row_number().over(Window.partitionBy("rep").orderBy(F.col("score").desc(), "id"))
+        return near.withColumn("place", place).where(F.col("place") <= count + 1).drop("place")
+
+    near = within(asked, codes.radius)
+    if codes.radius < BITS:
+        near = materialize(near, "near")
+        enough = near.groupBy("rep").agg(F.count("*").alias("n")).where(F.col("n") > count).select("rep")
+        short = materialize(asked.join(enough, "rep", "left_anti"), "short")
+        if not short.isEmpty():
+            near = near.join(short.select("rep"), "rep", "left_anti").unionByName(within(short, BITS))
+    return ranked(near, queries, count)

@@ -115,6 +115,40 @@ def test_recall_on_the_given_vectors(spark):
     assert hits / len(got) >= 0.9
 
 
+def _recalled(table, got, every=50, count=5):
+    """(expected neighbours, those of them found) over every query of the table."""
+    pdf = table.select("vec_id", "embedding").toPandas()
+    m = np.array(pdf.embedding.tolist(), dtype=np.float64)
+    m /= np.linalg.norm(m, axis=1)[:, None]
+    ids = pdf.vec_id.to_numpy()
+    found = {q: set(f.vec_id) for q, f in got.groupby("query_id")}
+    expected = hits = 0
+    for at in np.flatnonzero(ids % every == 0):
+        cosine = m @ m[at]
+        cosine[at] = -2
+        expected += count
+        mine = found.get(ids[at], set())
+        assert len(mine) == count
+        hits += len(set(ids[np.argsort(-cosine)[:count]]) & mine)
+    return expected, hits
+
+
+def test_every_query_of_the_given_vectors_has_its_neighbours(spark):
+    table = spark.read.parquet("/root/testdata/sf0.1/embeddings.parquet")
+    expected, hits = _recalled(table, hamming_index.nearest(table, F.col("id") % 50 == 0, 5).toPandas())
+    assert hits / expected >= 0.9
+
+
+def test_outliers_among_tight_groups_have_neighbours(spark):
+    rng = np.random.default_rng(5)
+    centres = rng.standard_normal((60, 32))
+    groups = np.repeat(centres, 50, axis=0) + 0.01 * rng.standard_normal((3_000, 32))
+    groups[::50] = rng.standard_normal((60, 32))  # the queries
+    table = vectors(spark, [(i, v) for i, v in enumerate(groups.astype(np.float32).tolist())])
+    expected, hits = _recalled(table, hamming_index.nearest(table, F.col("id") % 50 == 0, 5).toPandas())
+    assert expected == 300 and hits / expected >= 0.9
+
+
 def _labelled(spark):
     kinds = {"a": "red", "b": "blue", "c": "green"}
     rows = []

@@ -5,8 +5,8 @@ in a language is the sum over every way to cut it into pieces of a fixed public
 vocabulary, computed by the forward algorithm. Piece probabilities per language
 come from expected counts (forward-backward) on labelled documents.
 
-A word of more than ``WORD`` characters is scored in parts of that size. A
-character outside the vocabulary counts as a piece of probability ``UNSEEN``.
+A word of more than ``WORD`` characters is scored, and learned from, in parts of
+that size. A character outside the vocabulary counts as a piece of probability ``UNSEEN``.
 Nulls: a null text, or one without a letter, gives ``und`` with score 0.
 Repeated rows each get a row. Without labelled rows every document is ``und``.
 """
@@ -112,11 +112,15 @@ class Lattice:
         return table[self.piece] * (SCALE ** (self.end - self.start))[:, None]
 
 
+def _parts(word: str) -> list[str]:
+    return [word[i : i + WORD] for i in range(0, len(word), WORD)]
+
+
 def log_probabilities(words: list[str], table: np.ndarray, path: str) -> np.ndarray:
     """(words, languages): log of the summed probability of all segmentations."""
     if not words:
         return np.zeros((0, table.shape[1]))
-    parts = [[w[i : i + WORD] for i in range(0, len(w), WORD)] for w in words]
+    parts = [_parts(w) for w in words]
     lattice = Lattice(list(chain.from_iterable(parts)), path)
     mass = lattice.forward(lattice.scaled(table))[lattice.stop]
     logs = np.log(mass) - (math.log(SCALE) * (lattice.stop - lattice.begin))[:, None]
@@ -126,7 +130,10 @@ def log_probabilities(words: list[str], table: np.ndarray, path: str) -> np.ndar
 
 def expected_counts(words: list[str], amounts: np.ndarray, langs: np.ndarray, table: np.ndarray, path: str) -> np.ndarray:
     """(pieces + 1, languages): expected uses of each piece in ``amounts`` copies of the words."""
-    lattice = Lattice([w[:WORD] for w in words], path)
+    parts = [_parts(w) for w in words]
+    sizes = [len(p) for p in parts]
+    amounts, langs = np.repeat(amounts, sizes), np.repeat(langs, sizes)
+    lattice = Lattice(list(chain.from_iterable(parts)), path)
     langs = langs[lattice.word]
     weights = table[lattice.piece, langs] * SCALE ** (lattice.end - lattice.start)
     ahead, behind = lattice.forward(weights[:, None])[:, 0], lattice.backward(weights[:, None])[:, 0]
@@ -174,11 +181,11 @@ def train(labelled: DataFrame, path: str, docs_per_language: int = 3_000, rounds
     chosen = F.pmod(F.xxhash64(F.col("doc_id").cast("string")), F.lit(1_000_000)) < share * 1_000_000
 
     def count(batches):
-        # Counted per slice first: frequent words leave the task once per slice.
+        # Counted per slice first: frequent words leave the task once per slice. Long words leave it in parts.
         for batch, texts in text_slices(batches, "text", rows=2_000, characters=4_000_000):
             seen: dict[tuple[str, str], int] = {}
             for text, lang in zip(texts, batch.column("lang").to_pylist(), strict=True):
-                for word in _words(text):
+                for word in chain.from_iterable(map(_parts, _words(text))):
                     seen[lang, word] = seen.get((lang, word), 0) + 1
             yield pa.RecordBatch.from_arrays(
                 [pa.array([k[0] for k in seen]), pa.array([k[1] for k in seen]), pa.array(list(seen.values()), pa.int64())],

@@ -107,6 +107,26 @@ def test_forward_sums_all_segmentations():
     assert counts[:, 0].sum() > 5 and counts[:, 1].sum() == 0
 
 
+def test_long_words_count_in_all_their_parts():
+    count = language_id.vocabulary(MODEL)[1]
+    table = np.full((count + 1, 2), 1.0 / count)
+    words = ["a" * 30 + "b" * 30 + "straße" * 20, "日本" * 100, "the"]
+    amounts, langs = np.array([2.0, 3.0, 1.0]), np.array([0, 1, 0])
+    cut = [(w[i : i + language_id.WORD], a, k) for w, a, k in zip(words, amounts, langs, strict=True) for i in range(0, len(w), language_id.WORD)]
+    want = language_id.expected_counts([c[0] for c in cut], np.array([c[1] for c in cut]), np.array([c[2] for c in cut]), table, MODEL)
+    assert np.allclose(language_id.expected_counts(words, amounts, langs, table, MODEL), want)
+
+
+def test_languages_told_by_the_end_of_long_words(spark):
+    # Without spaces; the first 40 characters are the same in both languages.
+    texts = [("x" * 40 + (end * 30), lang) for end, lang in (("その日は", "ja"), ("这是我们", "zh"))]
+    docs = documents(spark, [(i, t) for i, (t, _) in enumerate(texts)])
+    docs = docs.withColumn("lang", F.element_at(F.array(*[F.lit(lang) for _, lang in texts]), (F.col("doc_id") + 1).cast("int")))
+    model = language_id.train(docs, MODEL)
+    told = {r.doc_id: (r.lang_pred, r.score) for r in language_id.identify(docs, model).collect()}
+    assert [told[i][0] for i in (0, 1)] == ["ja", "zh"] and min(told[i][1] for i in (0, 1)) > 0.99
+
+
 def test_language_of_held_out_documents(spark):
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").withColumn("held_out", language_id.held_out())
     model = language_id.train(docs.where("not held_out"), MODEL, rounds=2)

@@ -6,23 +6,25 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 
 
 def text_slices(
     batches: Iterable[pa.RecordBatch], column: str, rows: int = 256, characters: int = 1_000_000
 ) -> Iterator[tuple[pa.RecordBatch, list[str | None]]]:
-    """Parts of each batch with at most ``rows`` rows and about ``characters`` characters, or one longer row."""
+    """Parts of each batch with at most ``rows`` rows and about ``characters`` bytes of text, or one longer row."""
     for batch in batches:
-        texts = batch.column(column).to_pylist()
+        sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_pylist()
         start = size = 0
-        for at, text in enumerate(texts):
-            length = len(text or "")
+        for at, length in enumerate(sizes):
             if at > start and (at - start >= rows or size + length > characters):
-                yield batch.slice(start, at - start), texts[start:at]
+                part = batch.slice(start, at - start)
+                yield part, part.column(column).to_pylist()
                 start, size = at, 0
             size += length
-        if start < len(texts):
-            yield batch.slice(start), texts[start:]
+        if start < len(sizes):
+            part = batch.slice(start)
+            yield part, part.column(column).to_pylist()
 
 
 def list_array(parts: list[np.ndarray], kind: pa.DataType) -> pa.Array:

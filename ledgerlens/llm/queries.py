@@ -13,12 +13,15 @@ from pyspark.sql import functions as F
 from ledgerlens.llm import (
     chat,
     hamming_index,
+    hard_negatives,
     html_text,
     language_id,
     mixing,
     near_dup,
+    phrases,
     pieces,
     repeated_spans,
+    simhash,
     token_files,
     top_products,
 )
@@ -131,6 +134,20 @@ def op10_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.collocations(table(spark, sf_dir, "documents"))
+
+
+def op12_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.simhash_duplicates(table(spark, sf_dir, "documents"))
+
+
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "embeddings")
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.hard_negatives(rows, F.col("id") % 100 == 0, label)
+
+
 QUERIES: dict[str, Query] = {
     "op1_html_text": op1_html_text,
     "op2_mixing": op2_mixing,
@@ -142,6 +159,9 @@ QUERIES: dict[str, Query] = {
     "op8_nearest": op8_nearest,
     "op9_repeated_spans": op9_repeated_spans,
     "op10_chat": op10_chat,
+    "op11_collocations": op11_collocations,
+    "op12_simhash": op12_simhash,
+    "op13_hard_negatives": op13_hard_negatives,
 }
 
 NEAR_DUPLICATES_SQL = r"""
@@ -237,7 +257,67 @@ FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, ve
 WHERE rank <= 10
 """
 
+COLLOCATIONS_SQL = r"""
+WITH pieces AS (
+    SELECT row_number() OVER () AS doc, coalesce(lang, 'und') AS lang,
+        regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]') AS p
+    FROM documents
+),
+words AS (
+    SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM (SELECT lang, unnest(p) AS piece FROM pieces)
+),
+totals AS (SELECT lang, sum(len(w))::BIGINT AS n FROM words GROUP BY lang),
+runs AS (
+    SELECT lang, size, array_to_string(w[i:i + size - 1], ' ') AS phrase
+    FROM (SELECT lang, w, size, unnest(range(1, len(w) - size + 2)) AS i FROM words, (SELECT unnest([1, 2, 3, 4]) AS size) WHERE len(w) >= size)
+),
+counts AS (SELECT lang, size, phrase, count(*) AS f FROM runs GROUP BY lang, size, phrase HAVING count(*) >= 30),
+listed AS (SELECT lang, size, phrase, f, string_split(phrase, ' ') AS w FROM counts WHERE size > 1),
+inside AS (
+    SELECT lang, array_to_string(w[i:i + part - 1], ' ') AS phrase, max(f) AS most
+    FROM (SELECT lang, w, f, part, unnest(range(1, size - part + 2)) AS i FROM listed, (SELECT unnest([2, 3]) AS part) WHERE part < size)
+    GROUP BY ALL
+),
+cuts AS (
+    SELECT c.lang, c.phrase, c.f, k, array_to_string(c.w[1:k], ' ') AS p, array_to_string(c.w[k + 1:], ' ') AS q
+    FROM (SELECT *, unnest(range(1, size)) AS k FROM listed) c LEFT JOIN inside o ON o.lang = c.lang AND o.phrase = c.phrase
+    WHERE coalesce(100 * o.most < 80 * c.f, true)
+),
+scores AS (
+    SELECT c.lang, c.phrase, c.f AS a, c.k, x.f AS l, y.f AS r, (2000000::HUGEINT * c.f // (x.f + y.f))::BIGINT AS score
+    FROM cuts c JOIN counts x ON x.lang = c.lang AND x.phrase = c.p JOIN counts y ON y.lang = c.lang AND y.phrase = c.q
+),
+worst AS (SELECT * FROM scores QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, n, score
+FROM worst JOIN totals USING (lang) QUALIFY rank <= 2000
+"""
+
+HARD_NEGATIVES_SQL = """
+WITH vectors AS (
+    SELECT vec_id, [floor(256 * x::DOUBLE) FOR x IN embedding] AS v,
+        (CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END)::BIGINT AS label
+    FROM embeddings
+    WHERE label IS NOT NULL AND len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+),
+scores AS (
+    SELECT a.vec_id AS anchor_id, c.vec_id, a.label = c.label AS same, list_dot_product(a.v, c.v)::BIGINT AS score
+    FROM vectors a JOIN vectors c ON a.vec_id % 100 = 0 AND c.vec_id <> a.vec_id
+),
+positives AS (
+    SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM scores WHERE same
+    QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5
+)
+SELECT p.anchor_id, positive_id,
+    row_number() OVER (PARTITION BY p.anchor_id, positive_id ORDER BY s.score DESC, s.vec_id)::INTEGER AS rank,
+    s.vec_id AS negative_id, positive_score, s.score AS negative_score
+FROM positives p JOIN scores s ON s.anchor_id = p.anchor_id AND NOT s.same
+    AND 30 * positive_score <= 100 * s.score AND 100 * s.score <= 90 * positive_score
+QUALIFY rank <= 10
+"""
+
 ORACLES: dict[str, str] = {
+    "op11_collocations": COLLOCATIONS_SQL,
+    "op13_hard_negatives": HARD_NEGATIVES_SQL,
     "op7_top_products": TOP_PRODUCTS_SQL,
     "op10_chat": CHAT_SQL,
     "op9_repeated_spans": REPEATED_SPANS_SQL,

@@ -1,8 +1,28 @@
-"""Per-worker memory of what a distinct word encodes to."""
+"""What a Python worker keeps between tasks: loaded models, and what distinct words encode to."""
 
 from __future__ import annotations
 
 from collections.abc import Callable, Iterable
+from typing import Any
+
+_owner: str | None = None
+_held: dict[Any, Any] = {}
+
+
+def held(owner: str, key: Any, make: Callable[[], Any]) -> Any:
+    """The value that ``owner`` keeps under ``key`` in this worker, made on first use.
+
+    A worker serves the stages of a pipeline one after another. When another owner
+    asks, all that the last one kept is dropped first, so a worker never holds the
+    models and memories of two operators.
+    """
+    global _owner
+    if owner != _owner:
+        _held.clear()
+        _owner = owner
+    if key not in _held:
+        _held[key] = make()
+    return _held[key]
 
 
 class WordMemo(dict):

@@ -2,11 +2,8 @@
 
 from __future__ import annotations
 
-import zlib
 from collections.abc import Callable
 
-import numpy as np
-import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -80,20 +77,7 @@ def op4_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op5_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     store = token_files.token_store(docs, vocabulary_path("byte_bpe_50k.json"), end_id=2)
-
-    def digest(batches):
-        for batch in batches:
-            ids = batch.column("ids")
-            flat = ids.flatten().to_numpy().astype("<u4")
-            cuts = np.cumsum(ids.value_lengths().to_numpy())
-            crcs = [zlib.crc32(part.tobytes()) for part in np.split(flat, cuts[:-1])] if batch.num_rows else []
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), batch.column("start"), ids.value_lengths().cast(pa.int64()), pa.array(crcs, pa.int64())],
-                ["doc_id", "start", "n_tokens", "ids_crc32"],
-            )
-
-    read = token_files.read_tokens(spark, store)
-    return read.mapInArrow(digest, "doc_id long, start long, n_tokens long, ids_crc32 long")
+    return token_files.read_checksums(spark, store)
 
 
 def op6_language(spark: SparkSession, sf_dir: str) -> DataFrame:

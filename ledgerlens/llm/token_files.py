@@ -21,18 +21,19 @@ from __future__ import annotations
 import os
 import re
 import struct
+import zlib
 from array import array
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from ledgerlens.llm import simple8b
 from ledgerlens.llm.batches import list_array, text_slices
-from ledgerlens.llm.memo import WordMemo
+from ledgerlens.llm.memo import WordMemo, held
 from ledgerlens.session import scratch_path
 
 NO_ID = -(2**63)
@@ -49,40 +50,111 @@ def _plain(text: str) -> bool:
     return not (ends or doubled or OTHER_SPACE.search(text))
 
 
-def _chunks(text: str) -> list[str]:
-    """Cuts a text at single spaces and line ends, where no pre-token reaches across.
+#: A letter or digit, then a mark other than the apostrophe: a pre-token ends between them.
+BEFORE_MARK = r"([0-9A-Za-zÀ-ÖØ-öø-ÿ])([!-&(-/:-@\[-`{-~])"
+LETTERS = re.compile("[A-Za-zÀ-ÖØ-öø-ÿ]+")
 
-    A plain word stands for itself after a space; the first word has a tab in front,
-    a word at the start of another line keeps its line end.
-    """
-    lines = ("\t" + text).split("\n")
-    if len(lines) == 1:
-        return lines[0].split(" ")
-    out = lines[0].split(" ")
-    for line in lines[1:]:
-        words = line.split(" ")
-        words[0] = "\n" + words[0]
-        out += words
-    return out
-
-
-def _spelled(chunk: str) -> str:
-    return chunk[1:] if chunk[:1] == "\t" else chunk if chunk[:1] == "\n" else " " + chunk
-
-
-@lru_cache(maxsize=2)
-def _tokenizer(path: str):
-    os.environ["TOKENIZERS_PARALLELISM"] = "false"
-    from tokenizers import Tokenizer
-
-    tokenizer = Tokenizer.from_file(path)
-    special = [t.content for t in tokenizer.get_added_tokens_decoder().values()]
 
-    def encode(texts: list[str]):
-        found = tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-        return [array("I", e.ids).tobytes() for e in found]
+def _units(texts: list[str]) -> pa.ListArray:
+    """Cuts plain texts at single spaces and line ends and before marks, where no pre-token reaches across.
 
-    return encode, WordMemo(lambda chunks: encode([*map(_spelled, chunks)]), keep=500_000), special
+    A unit stands for itself after a space; a tab in front says that there is none;
+    a line end is a unit of its own.
+    """
+    lines = pc.replace_substring(pa.array(texts, pa.string()), "\n", " \n \t")
+    cut = pc.replace_substring_regex(lines, BEFORE_MARK, "\\1 \t\\2")
+    return pc.split_pattern(pc.binary_join_element_wise("\t", cut, ""), " ")
+
+
+def _byte_characters() -> dict[int, str]:
+    """Byte-level BPE's character for each byte: itself if printable, else the next one from 256 on."""
+    shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    others = (b for b in range(256) if b not in shown)
+    return {b: chr(b) for b in shown} | {b: chr(256 + i) for i, b in enumerate(others)}
+
+
+class Encoder:
+    """The tokenizer, and this worker's memory of the units it has met."""
+
+    def __init__(self, path: str):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
+        from tokenizers import Tokenizer, models, pre_tokenizers
+
+        self.tokenizer = Tokenizer.from_file(path)
+        self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        cut = self.tokenizer.pre_tokenizer
+        #: Whether pre-tokens end at spaces and line ends, so that units can be encoded on their own.
+        self.by_units = isinstance(cut, pre_tokenizers.ByteLevel) and cut.use_regex and not cut.add_prefix_space
+        self.by_units &= self.tokenizer.normalizer is None
+        self.end = self.whole(["\n"])[0].tolist()
+        self.by_units &= len(self.end) == 1
+        self.by_units &= isinstance(self.tokenizer.model, models.BPE)
+        self.model, self.characters = self.tokenizer.model, _byte_characters()
+        self.memo = WordMemo(self._encode, keep=300_000, recent=100_000)
+
+    def whole(self, texts: list[str]) -> list[np.ndarray]:
+        return [np.array(e.ids, "<u4") for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def _encode(self, units: list[str]) -> list[bytes]:
+        """Ids of each unit. Letters after a space are one pre-token, which the model takes as it is.
+
+        Other units are encoded many in a line, and the ids cut where the line ends stand.
+        """
+        out: list[bytes] = [b""] * len(units)
+        tokenize, characters, others = self.model.tokenize, self.characters, []
+        for i, unit in enumerate(units):
+            if LETTERS.fullmatch(unit):
+                if not unit.isascii():
+                    unit = unit.encode().decode("latin-1").translate(characters)
+                out[i] = array("I", [t.id for t in tokenize("Ġ" + unit)]).tobytes()
+            else:
+                others.append(i)
+        for start in range(0, len(others), 200):
+            places = others[start : start + 200]
+            some = [u[1:] if u[0] == "\t" else u if u == "\n" else " " + u for u in map(units.__getitem__, places)]
+            ids = self.whole(["\n".join(some)])[0]
+            stops = np.flatnonzero(ids == self.end[0])
+            if len(stops) == len(some) - 1:
+                data, edges = ids.tobytes(), [0, *(4 * stops).tolist(), 4 * len(ids)]
+                found = [data[a + 4 * (i > 0) : b] for i, (a, b) in enumerate(zip(edges, edges[1:], strict=False))]
+            else:  # a line end among the units themselves
+                found = [i.tobytes() for i in self.whole(some)]
+            for place, value in zip(places, found, strict=True):
+                out[place] = value
+        return out
+
+    def _fits(self, text: str) -> bool:
+        return self.by_units and bool(text) and _plain(text) and not any(s in text for s in self.special)
+
+    def encode(self, texts: list[str], end_id: int) -> tuple[np.ndarray, np.ndarray]:
+        """(all ids, number of ids of each text), with ``end_id`` after each text."""
+        fits = np.array([self._fits(t) for t in texts], bool)
+        units = _units([t for t, f in zip(texts, fits, strict=True) if f])
+        coded = units.flatten().dictionary_encode()
+        words = coded.dictionary.to_pylist()
+        self.memo.learn(words)
+        odd = self.whole([t for t, f in zip(texts, fits, strict=True) if not f])
+        # Distinct units, then each other text as one, then the end.
+        parts = [*map(self.memo.__getitem__, words), *[o.tobytes() for o in odd], np.array([end_id], "<u4").tobytes()]
+        sizes = np.array([len(p) // 4 for p in parts], np.int64)
+        counts = np.ones(len(texts), np.int64)
+        counts[fits] = units.value_lengths().to_numpy()
+        codes = np.empty(int(counts.sum()) + len(texts), np.int64)
+        ends = np.cumsum(counts + 1) - 1
+        plain = np.repeat(fits, counts + 1)
+        plain[ends] = False
+        codes[plain] = coded.indices.to_numpy()
+        codes[ends - 1] = np.where(fits, codes[ends - 1], len(words) + np.cumsum(~fits) - 1)
+        codes[ends] = len(parts) - 1
+        held = sizes[codes]
+        stops = np.cumsum(held)
+        starts = (np.cumsum(sizes) - sizes)[codes]
+        ids = np.frombuffer(b"".join(parts), "<u4")[np.repeat(starts - (stops - held), held) + np.arange(stops[-1] if len(stops) else 0)]
+        return ids, np.diff(stops[ends], prepend=0)
+
+
+def _encoder(path: str) -> Encoder:
+    return held("tokens", path, lambda: Encoder(path))
 
 
 def encode_ids(docs: DataFrame, tokenizer_path: str, end_id: int, id_col="doc_id", text_col="text") -> DataFrame:
@@ -90,19 +162,13 @@ def encode_ids(docs: DataFrame, tokenizer_path: str, end_id: int, id_col="doc_id
 
     The ids are those the tokenizer gives for the whole text.
     """
-    tail = np.array([end_id], "<u4").tobytes()
 
     def run(batches):
-        encode, memo, special = _tokenizer(tokenizer_path)
-        for batch, texts in text_slices(batches, "text"):
-            texts = [t or "" for t in texts]
-            whole = [not t or not _plain(t) or any(s in t for s in special) for t in texts]
-            data = memo.joined([[] if w else _chunks(t) for t, w in zip(texts, whole, strict=True)])
-            odd = iter(encode([t for t, w in zip(texts, whole, strict=True) if w]))
-            data = [(next(odd) if w else d) + tail for d, w in zip(data, whole, strict=True)]
-            lengths = np.array([len(d) // 4 for d in data])
+        encoder = _encoder(tokenizer_path)
+        for batch, texts in text_slices(batches, "text", rows=1_024, characters=4_000_000):
+            ids, lengths = encoder.encode([t or "" for t in texts], end_id)
             sizes = simple8b.block_sizes(lengths)
-            words, counts = simple8b.encode(np.frombuffer(b"".join(data), "<u4"), sizes)
+            words, counts = simple8b.encode(ids, sizes)
             blocks = np.cumsum(-(-lengths // simple8b.BLOCK))
             ends = np.concatenate(([0], np.cumsum(counts)))[blocks]
             first, start, packed, listed = 0, 0, [], []
@@ -196,31 +262,48 @@ def write_tokens(encoded: DataFrame, path: str, bounds: list[int]) -> None:
     ).write.parquet(path)
 
 
-def read_tokens(spark, path: str) -> DataFrame:
-    """``doc_id, start, ids array<long>`` of a store; ``start`` counts the ids of all documents before."""
+def _segments(spark, path: str) -> DataFrame:
+    """``start, payload`` of each segment of a store; ``start`` counts the ids of all documents before."""
     segments = spark.read.parquet(path)
     ordered = Window.orderBy("file").rowsBetween(Window.unboundedPreceding, -1)
     files = segments.groupBy("file").agg(F.sum("n_ids").alias("n"))
     # One row per file, and there are no more files than write_tokens was given bounds for.
     starts = files.select("file", F.coalesce(F.sum("n").over(ordered), F.lit(0)).alias("base"))
+    return segments.join(F.broadcast(starts), "file").select((F.col("base") + F.col("first")).alias("start"), "payload")
+
+
+def _documents(batches):
+    """(doc_ids, starts, numbers of ids, ids) of each segment."""
+    for batch in batches:
+        for start, payload in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+            doc_ids, sizes, ids = unpack(payload)
+            names = pa.array([None if i == NO_ID else i for i in doc_ids.tolist()], pa.int64())
+            yield names, pa.array(start + np.cumsum(sizes) - sizes, pa.int64()), sizes, ids
+
+
+def read_tokens(spark, path: str) -> DataFrame:
+    """``doc_id, start, ids array<long>`` of a store; ``start`` counts the ids of all documents before."""
 
     def run(batches):
-        for batch in batches:
-            for start, payload in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                doc_ids, sizes, ids = unpack(payload)
-                cuts = np.cumsum(sizes)
-                parts = np.split(ids.astype(np.int64), cuts[:-1])
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array([None if i == NO_ID else i for i in doc_ids.tolist()], pa.int64()),
-                        pa.array(start + cuts - sizes, pa.int64()),
-                        list_array(parts, pa.int64()),
-                    ],
-                    ["doc_id", "start", "ids"],
-                )
-
-    placed = segments.join(F.broadcast(starts), "file").select((F.col("base") + F.col("first")).alias("start"), "payload")
-    return placed.mapInArrow(run, "doc_id long, start long, ids array<long>")
+        for names, starts, sizes, ids in _documents(batches):
+            parts = np.split(ids.astype(np.int64), np.cumsum(sizes)[:-1])
+            yield pa.RecordBatch.from_arrays([names, starts, list_array(parts, pa.int64())], ["doc_id", "start", "ids"])
+
+    return _segments(spark, path).mapInArrow(run, "doc_id long, start long, ids array<long>")
+
+
+def read_checksums(spark, path: str) -> DataFrame:
+    """``doc_id, start, n_tokens, ids_crc32`` of a store; ids count as little-endian unsigned 32-bit integers."""
+
+    def run(batches):
+        for names, starts, sizes, ids in _documents(batches):
+            data, stops = memoryview(ids.astype("<u4").tobytes()), (4 * np.cumsum(sizes)).tolist()
+            crcs = [zlib.crc32(data[a:b]) for a, b in zip([0, *stops], stops, strict=False)]
+            yield pa.RecordBatch.from_arrays(
+                [names, starts, pa.array(sizes, pa.int64()), pa.array(crcs, pa.int64())], ["doc_id", "start", "n_tokens", "ids_crc32"]
+            )
+
+    return _segments(spark, path).mapInArrow(run, "doc_id long, start long, n_tokens long, ids_crc32 long")
 
 
 def token_store(docs: DataFrame, tokenizer_path: str, end_id: int = 2, path: str | None = None) -> str:

@@ -64,8 +64,13 @@ def shared_folder(spark: SparkSession) -> str:
     return configured.rstrip("/")
 
 
+#: Scratch folders named by this process, in order.
+scratch_folders: list[str] = []
+
+
 def scratch_path(spark: SparkSession, label: str) -> str:
-    return f"{shared_folder(spark)}/ledgerlens/{label}-{uuid.uuid4().hex}"
+    scratch_folders.append(f"{shared_folder(spark)}/ledgerlens/{label}-{uuid.uuid4().hex}")
+    return scratch_folders[-1]
 
 
 def materialize(df: DataFrame, label: str = "stage") -> DataFrame:

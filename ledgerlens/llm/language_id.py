@@ -5,9 +5,10 @@ in a language is the sum over every way to cut it into pieces of a fixed public
 vocabulary, computed by the forward algorithm. Piece probabilities per language
 come from expected counts (forward-backward) on labelled documents.
 
-A word of more than ``WORD`` characters is scored, and learned from, in parts of
-that size. A character outside the vocabulary counts as a piece of probability ``UNSEEN``.
-Nulls: a null text, or one without a letter, gives ``und`` with score 0.
+Words of any length are summed whole; beyond ``WORD`` characters the sums are kept as
+logarithms, which changes nothing but their range. A character outside the vocabulary
+counts as a piece of probability ``UNSEEN``.
+Nulls: a null text, or one without a letter (``str.isalpha``), gives ``und`` with score 0.
 Repeated rows each get a row. Without labelled rows every document is ``und``.
 """
 
@@ -16,7 +17,7 @@ from __future__ import annotations
 import math
 import pickle
 import re
-from functools import lru_cache
+from collections.abc import Iterator
 from itertools import chain
 
 import ahocorasick
@@ -26,20 +27,32 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerlens.llm.batches import text_slices
-from ledgerlens.llm.memo import WordMemo
+from ledgerlens.llm.memo import WordMemo, held
 from ledgerlens.session import materialize
 
+#: Words up to this length are summed without logarithms.
 WORD = 40
+#: Characters whose matches are held at a time, or one longer word.
+HELD = 200_000
 UNSEEN = 1e-7
 #: Probabilities are scaled by this per character, so that products stay near one.
 SCALE = 10.0
-LETTER = re.compile(r"[^\W\d_]")
+LETTER = re.compile(r"[^\W\d_]")  # or a number that is no decimal digit
 MARK = "▁"
+#: Bits of a piece's length in a finder's value.
+LENGTH = 16
+
+
+def has_letter(text: str) -> bool:
+    return any(m.group().isalpha() for m in LETTER.finditer(text))
 
 
-@lru_cache(maxsize=2)
 def vocabulary(path: str) -> tuple[ahocorasick.Automaton, int]:
-    """Finder of the lower-case pieces of a SentencePiece model (value: number * 64 + length), and their count."""
+    """Finder of the lower-case pieces of a SentencePiece model (value: number, length), and their count."""
+    return held("language", ("pieces", path), lambda: _vocabulary(path))
+
+
+def _vocabulary(path: str) -> tuple[ahocorasick.Automaton, int]:
     from sentencepiece import SentencePieceProcessor
 
     model = SentencePieceProcessor(model_file=path)
@@ -47,9 +60,9 @@ def vocabulary(path: str) -> tuple[ahocorasick.Automaton, int]:
     for i in range(model.vocab_size()):
         piece = model.id_to_piece(i)
         odd = model.is_control(i) or model.is_unknown(i) or model.is_byte(i) or model.is_unused(i)
-        if odd or piece != piece.lower() or len(piece) > WORD or "\n" in piece:
+        if odd or piece != piece.lower() or "\n" in piece:
             continue
-        finder.add_word(piece, count * 64 + len(piece))
+        finder.add_word(piece, count << LENGTH | len(piece))
         count += 1
     finder.make_automaton()
     return finder, count
@@ -67,7 +80,7 @@ class Lattice:
         self.stop = self.begin + sizes
         self.size, self.n = len(text) + 1, len(words)
         found = np.fromiter(chain.from_iterable(finder.iter(text)), dtype=np.int64).reshape(-1, 2)
-        end, piece, length = found[:, 0] + 1, found[:, 1] // 64, found[:, 1] % 64
+        end, piece, length = found[:, 0] + 1, found[:, 1] >> LENGTH, found[:, 1] & ((1 << LENGTH) - 1)
         alone = np.zeros(self.size, dtype=bool)
         alone[end[length == 1]] = True
         alone[self.stop[:-1] + 1] = True  # separators
@@ -85,61 +98,82 @@ class Lattice:
         edges = [0, *(np.flatnonzero(np.diff(key)) + 1).tolist(), len(key)]
         return [slice(a, b) for a, b in zip(edges, edges[1:], strict=False) if b > a]
 
-    def forward(self, weights: np.ndarray) -> np.ndarray:
-        """Mass of all paths to each position. ``weights``: one row per match."""
-        mass = np.zeros((self.size, weights.shape[1]))
-        mass[self.begin] = 1.0
+    def forward(self, weights: np.ndarray, logs: bool = False) -> np.ndarray:
+        """Mass of all paths to each position. ``weights``: one row per match; with ``logs`` both are logarithms."""
+        mass = np.full((self.size, weights.shape[1]), -np.inf if logs else 0.0)
+        mass[self.begin] = 0.0 if logs else 1.0
         for step in self.steps:
-            self._add(mass, self.end[step], mass[self.start[step]] * weights[step])
+            self._add(mass, self.end[step], self._times(mass[self.start[step]], weights[step], logs), logs)
         return mass
 
-    def backward(self, weights: np.ndarray) -> np.ndarray:
-        mass = np.zeros((self.size, weights.shape[1]))
-        mass[self.stop] = 1.0
-        order = np.lexsort((self.start, self.begin[self.word] - self.start))
-        for step in self._groups((self.begin[self.word] - self.start)[order]):
+    def backward(self, weights: np.ndarray, logs: bool = False) -> np.ndarray:
+        mass = np.full((self.size, weights.shape[1]), -np.inf if logs else 0.0)
+        mass[self.stop] = 0.0 if logs else 1.0
+        # Positions count from the end of the word, so that words of any length start together.
+        left = self.stop[self.word] - self.start
+        order = np.lexsort((self.start, left))
+        for step in self._groups(left[order]):
             mine = order[step]
-            self._add(mass, self.start[mine], mass[self.end[mine]] * weights[mine])
+            self._add(mass, self.start[mine], self._times(mass[self.end[mine]], weights[mine], logs), logs)
         return mass
 
     @staticmethod
-    def _add(mass: np.ndarray, at: np.ndarray, amounts: np.ndarray) -> None:
+    def _times(mass: np.ndarray, weights: np.ndarray, logs: bool) -> np.ndarray:
+        return mass + weights if logs else mass * weights
+
+    @staticmethod
+    def _add(mass: np.ndarray, at: np.ndarray, amounts: np.ndarray, logs: bool) -> None:
         first = np.concatenate(([0], np.flatnonzero(np.diff(at)) + 1))
-        mass[at[first]] += np.add.reduceat(amounts, first, axis=0)
+        if logs:
+            mass[at[first]] = np.logaddexp(mass[at[first]], np.logaddexp.reduceat(amounts, first, axis=0))
+        else:
+            mass[at[first]] += np.add.reduceat(amounts, first, axis=0)
 
     def scaled(self, table: np.ndarray) -> np.ndarray:
         """Rows of ``table`` by piece, scaled by the piece's length."""
         return table[self.piece] * (SCALE ** (self.end - self.start))[:, None]
 
 
-def _parts(word: str) -> list[str]:
-    return [word[i : i + WORD] for i in range(0, len(word), WORD)]
+def _held(words: list[str]) -> Iterator[tuple[np.ndarray, bool]]:
+    """Places of words to be summed together, and whether as logarithms: by kind, within ``HELD`` characters."""
+    sizes = np.array([len(w) for w in words], np.int64)
+    for logs in (False, True):
+        mine = np.flatnonzero((sizes > WORD) == logs)
+        group = (np.cumsum(sizes[mine]) - sizes[mine]) // HELD
+        for part in np.split(mine, np.flatnonzero(np.diff(group)) + 1):
+            if len(part):
+                yield part, logs
 
 
 def log_probabilities(words: list[str], table: np.ndarray, path: str) -> np.ndarray:
     """(words, languages): log of the summed probability of all segmentations."""
-    if not words:
-        return np.zeros((0, table.shape[1]))
-    parts = [_parts(w) for w in words]
-    lattice = Lattice(list(chain.from_iterable(parts)), path)
-    mass = lattice.forward(lattice.scaled(table))[lattice.stop]
-    logs = np.log(mass) - (math.log(SCALE) * (lattice.stop - lattice.begin))[:, None]
-    firsts = np.cumsum([0, *map(len, parts)])[:-1]
-    return np.add.reduceat(logs, firsts, axis=0)
+    out = np.zeros((len(words), table.shape[1]))
+    for part, logs in _held(words):
+        lattice = Lattice([words[i] for i in part], path)
+        if logs:
+            out[part] = lattice.forward(np.log(table[lattice.piece]), True)[lattice.stop]
+        else:
+            mass = lattice.forward(lattice.scaled(table))[lattice.stop]
+            out[part] = np.log(mass) - (math.log(SCALE) * (lattice.stop - lattice.begin))[:, None]
+    return out
 
 
 def expected_counts(words: list[str], amounts: np.ndarray, langs: np.ndarray, table: np.ndarray, path: str) -> np.ndarray:
     """(pieces + 1, languages): expected uses of each piece in ``amounts`` copies of the words."""
-    parts = [_parts(w) for w in words]
-    sizes = [len(p) for p in parts]
-    amounts, langs = np.repeat(amounts, sizes), np.repeat(langs, sizes)
-    lattice = Lattice(list(chain.from_iterable(parts)), path)
-    langs = langs[lattice.word]
-    weights = table[lattice.piece, langs] * SCALE ** (lattice.end - lattice.start)
-    ahead, behind = lattice.forward(weights[:, None])[:, 0], lattice.backward(weights[:, None])[:, 0]
-    total = ahead[lattice.stop][lattice.word]
-    share = ahead[lattice.start] * weights * behind[lattice.end] / total * amounts[lattice.word]
-    return np.bincount(lattice.piece * table.shape[1] + langs, share, table.size).reshape(table.shape)
+    out = np.zeros(table.size)
+    for part, logs in _held(words):
+        lattice = Lattice([words[i] for i in part], path)
+        lang = langs[part][lattice.word]
+        if logs:
+            weights = np.log(table[lattice.piece, lang])
+            ahead, behind = lattice.forward(weights[:, None], True)[:, 0], lattice.backward(weights[:, None], True)[:, 0]
+            share = np.exp(ahead[lattice.start] + weights + behind[lattice.end] - ahead[lattice.stop][lattice.word])
+        else:
+            weights = table[lattice.piece, lang] * SCALE ** (lattice.end - lattice.start)
+            ahead, behind = lattice.forward(weights[:, None])[:, 0], lattice.backward(weights[:, None])[:, 0]
+            share = ahead[lattice.start] * weights * behind[lattice.end] / ahead[lattice.stop][lattice.word]
+        out += np.bincount(lattice.piece * table.shape[1] + lang, share * amounts[part][lattice.word], table.size)
+    return out.reshape(table.shape)
 
 
 class LanguageModel:
@@ -181,11 +215,11 @@ def train(labelled: DataFrame, path: str, docs_per_language: int = 3_000, rounds
     chosen = F.pmod(F.xxhash64(F.col("doc_id").cast("string")), F.lit(1_000_000)) < share * 1_000_000
 
     def count(batches):
-        # Counted per slice first: frequent words leave the task once per slice. Long words leave it in parts.
+        # Counted per slice first: frequent words leave the task once per slice.
         for batch, texts in text_slices(batches, "text", rows=2_000, characters=4_000_000):
             seen: dict[tuple[str, str], int] = {}
             for text, lang in zip(texts, batch.column("lang").to_pylist(), strict=True):
-                for word in chain.from_iterable(map(_parts, _words(text))):
+                for word in _words(text):
                     seen[lang, word] = seen.get((lang, word), 0) + 1
             yield pa.RecordBatch.from_arrays(
                 [pa.array([k[0] for k in seen]), pa.array([k[1] for k in seen]), pa.array(list(seen.values()), pa.int64())],
@@ -222,13 +256,12 @@ def train(labelled: DataFrame, path: str, docs_per_language: int = 3_000, rounds
     return LanguageModel(langs, table, path)
 
 
-_scorers: dict[str, tuple[LanguageModel, WordMemo]] = {}
-
-
 def scorer(key: str, blob: bytes) -> tuple[LanguageModel, WordMemo]:
     """The model of a broadcast and this worker's memory of word scores under it."""
-    if key not in _scorers:
-        _scorers.clear()
+
+    kept = held("language", "scores", dict)
+    if key not in kept:
+        kept.clear()
         model = pickle.loads(blob)
 
         def score(words: list[str]):
@@ -236,8 +269,8 @@ def scorer(key: str, blob: bytes) -> tuple[LanguageModel, WordMemo]:
                 logs = log_probabilities(words[start : start + 20_000], model.table, model.path)
                 yield from (row.tobytes() for row in logs)
 
-        _scorers[key] = model, WordMemo(score)
-    return _scorers[key]
+        kept[key] = model, WordMemo(score, keep=200_000, recent=50_000)
+    return kept[key]
 
 
 def identify(docs: DataFrame, model: LanguageModel, id_col: str = "doc_id", text_col: str = "text", keep=()) -> DataFrame:
@@ -254,7 +287,7 @@ def identify(docs: DataFrame, model: LanguageModel, id_col: str = "doc_id", text
     def run(batches):
         model, memo = scorer(key, shared.value)
         for batch, texts in text_slices(batches, "text"):
-            split = [_words(t) if t and model.langs and LETTER.search(t) else [] for t in texts]
+            split = [_words(t) if t and model.langs and has_letter(t) else [] for t in texts]
             preds, scores = [], []
             for words, data in zip(split, memo.joined(split), strict=True):
                 if not words:

@@ -15,7 +15,6 @@ from __future__ import annotations
 
 import re
 from array import array
-from functools import lru_cache
 from itertools import pairwise
 
 import ahocorasick
@@ -25,11 +24,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerlens.llm.batches import list_array, text_slices
-from ledgerlens.llm.memo import WordMemo
+from ledgerlens.llm.memo import WordMemo, held
 
 SPACE = "▁"
 NORMAL, UNKNOWN, CONTROL, BYTE = 1, 2, 3, 6
 NEVER = float("-inf")
+#: Pairs of neighbours whose compatibility a worker remembers.
+PAIRS = 100_000
 
 
 class PieceModel:
@@ -115,7 +116,7 @@ class PieceModel:
     def compatible(self, left: str, right: str) -> bool:
         known = self.pairs.get((left, right))
         if known is None:
-            if len(self.pairs) > 1_000_000:
+            if len(self.pairs) > PAIRS:
                 self.pairs.clear()
             known = self.pairs[left, right] = self.merge(left + right) == [left, right]
         return known
@@ -222,15 +223,17 @@ def _utf8(data: bytes) -> str:
         return "".join(out)
 
 
-@lru_cache(maxsize=2)
 def load_model(path: str) -> PieceModel:
-    return PieceModel(path)
+    return held("pieces", ("model", path), lambda: PieceModel(path))
 
 
-@lru_cache(maxsize=2)
 def _memo(path: str) -> WordMemo:
     model = load_model(path)
-    return WordMemo(lambda words: (array("i", model.encode_chunk(w)).tobytes() for w in words))
+    return held(
+        "pieces",
+        ("words", path),
+        lambda: WordMemo(lambda words: (array("i", model.encode_chunk(w)).tobytes() for w in words), keep=200_000, recent=50_000),
+    )
 
 
 def encode_pieces(

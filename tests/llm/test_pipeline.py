@@ -7,8 +7,10 @@ from collections import Counter
 import corpus_pipeline
 import pytest
 from helpers import documents, prose, write
+from pyspark.sql import functions as F
 
 from ledgerlens.llm.queries import vocabulary_path
+from ledgerlens.session import materialize
 
 EN = "the and that of with this from which have been were their would there about when said people".split()
 DE = "der die das und nicht mit von sich auch auf eine nach werden haben einen wurde sind über".split()
@@ -75,3 +77,29 @@ def test_stages_without_rows(spark, tmp_path):
     labels = spark.createDataFrame([], "doc_id long, quality int, toxic int")
     folder = write(spark, tmp_path, documents=documents(spark, []), labels=labels)
     assert corpus_pipeline.run(spark, folder).count() == 0
+
+
+def test_stages_keep_other_columns_of_any_name(spark, folder):
+    names = ["score", "copies", "copy", "kept", "lang_pred", "rated_id", "k0", "n_words", "column_5", "Kept words", "equal"]
+    docs = spark.read.parquet(f"{folder}/documents.parquet").drop("n_chars", "source")
+    plain, wide = docs, docs.select("*", *[F.concat(F.lit(n), F.col("doc_id").cast("string")).alias(n) for n in names])
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        plain, wide = (materialize(stage(spark, d, folder), name) for d in (plain, wide))
+        assert wide.columns == ["doc_id", "text", "lang", *names]
+        assert Counter(map(tuple, wide.select(*plain.columns).collect())) == Counter(map(tuple, plain.collect()))
+        assert all(r[n] == f"{n}{r.doc_id}" for r in wide.collect() for n in names)
+
+
+def test_a_stage_frees_what_stored_stages_left(spark, folder):
+    from pathlib import Path
+
+    from ledgerlens import session
+
+    before = len(session.scratch_folders)
+    docs = corpus_pipeline.one_of_each(spark, spark.read.parquet(f"{folder}/documents.parquet"), folder)
+    own = session.scratch_folders[before:]
+    docs = materialize(docs, "kept")
+    lazy = corpus_pipeline.without_repeats(spark, docs, folder)
+    assert len(own) > 3 and not any(Path(f).exists() for f in own) and Path(session.scratch_folders[before + len(own)]).exists()
+    # What a plan that is not stored still reads stays.
+    assert lazy.count() == corpus_pipeline.token_ids(spark, lazy, folder).count()

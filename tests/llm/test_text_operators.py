@@ -13,7 +13,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from ledgerlens.llm import html_text, language_id, pieces, simple8b, token_files
+from ledgerlens.llm import html_text, language_id, memo, pieces, simple8b, token_files
 from ledgerlens.llm.queries import vocabulary_path
 
 MODEL = vocabulary_path("piece_bpe_32k.model")
@@ -82,41 +82,86 @@ def test_token_files_read_back(spark):
     assert empty.count() == 0
 
 
-def test_forward_sums_all_segmentations():
+def test_encoder_equals_the_library(spark):
+    from tokenizers import Tokenizer
+
+    path = vocabulary_path("byte_bpe_50k.json")
+    tokenizer = Tokenizer.from_file(path)
+    rows = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("text").toPandas().text.tolist()
+    odd = ["", "a", "\n", " ", "a\nb", "a\n b", "a \nb", "x\ty", "\tx", "a  b", "don't\n'tis 42nd\n-x", "é\u00a0b", "<|endoftext|> a", "a<|endoftext|>", "ab " * 3_000 + "c\nd"]
+    texts = [t or "" for t in odd + rows + odd]
+    for encoder in (token_files.Encoder(path), token_files.Encoder(path)):
+        for part in (texts[:7], texts, texts[5:30], []):
+            ids, sizes = encoder.encode(part, 2)
+            got = [p.tolist() for p in np.split(ids, np.cumsum(sizes)[:-1])] if part else []
+            assert got == [tokenizer.encode(t, add_special_tokens=False).ids + [2] for t in part]
+        encoder.by_units = False
+
+
+def test_workers_hold_one_operators_memory():
+    memo.held("one", "a", lambda: 1)
+    assert memo.held("one", "a", lambda: 2) == 1
+    assert memo.held("two", "a", lambda: 3) == 3
+    assert memo.held("one", "a", lambda: 4) == 4 and list(memo._held) == ["a"]
+
+
+def summed(word, table):
+    """Log of the probability of a word per language, summed over all its segmentations one position at a time."""
     finder, count = language_id.vocabulary(MODEL)
-    rng = np.random.default_rng(3)
-    table = rng.random((count + 1, 2)) / count
+    number = {}
+    for end, value in finder.iter(word):
+        number[end + 1 - value % (1 << language_id.LENGTH), end + 1] = value >> language_id.LENGTH
+    for i in range(len(word)):
+        number.setdefault((i, i + 1), count)
+    starts = {}
+    for s, e in number:
+        starts.setdefault(e, []).append(s)
+    ways = [np.zeros(table.shape[1])]
+    with np.errstate(divide="ignore"):
+        for end in range(1, len(word) + 1):
+            ways.append(np.logaddexp.reduce([ways[s] + np.log(table[number[s, end]]) for s in starts[end]]))
+    return ways[-1]
+
+
+def random_table(langs):
+    count = language_id.vocabulary(MODEL)[1]
+    table = np.random.default_rng(3).random((count + 1, langs)) / count
     table[-1] = language_id.UNSEEN
+    return table
 
-    def by_hand(word):
-        number = {}
-        for end, value in finder.iter(word):
-            number[end + 1 - value % 64, end + 1] = value // 64
-        for i in range(len(word)):
-            number.setdefault((i, i + 1), count)
-        ways = [np.zeros(2) for _ in range(len(word) + 1)]
-        ways[0] = np.ones(2)
-        for end in range(1, len(word) + 1):
-            ways[end] = sum((ways[s] * table[number[s, end]] for s in range(end) if (s, end) in number), np.zeros(2))
-        return np.log(ways[-1])
 
-    words = ["the", "a", "straße", "日本x", "international"]
+def test_forward_sums_all_segmentations():
+    table = random_table(2)
+    words = ["the", "a", "straße", "日本x", "international", "x" * 41, "その日は" * 700, "w" * 39, "", "ab" * 20, "straße" * 90]
     got = language_id.log_probabilities(words, table, MODEL)
-    assert np.allclose(got, [by_hand("▁" + w) for w in words])
-    counts = language_id.expected_counts(words, np.ones(5), np.zeros(5, dtype=int), table, MODEL)
+    assert np.allclose(got, [summed("▁" + w, table) for w in words], rtol=1e-9)
+    counts = language_id.expected_counts(words, np.ones(len(words)), np.zeros(len(words), dtype=int), table, MODEL)
     assert counts[:, 0].sum() > 5 and counts[:, 1].sum() == 0
 
 
-def test_long_words_count_in_all_their_parts():
-    count = language_id.vocabulary(MODEL)[1]
-    table = np.full((count + 1, 2), 1.0 / count)
-    words = ["a" * 30 + "b" * 30 + "straße" * 20, "日本" * 100, "the"]
-    amounts, langs = np.array([2.0, 3.0, 1.0]), np.array([0, 1, 0])
-    cut = [(w[i : i + language_id.WORD], a, k) for w, a, k in zip(words, amounts, langs, strict=True) for i in range(0, len(w), language_id.WORD)]
-    want = language_id.expected_counts([c[0] for c in cut], np.array([c[1] for c in cut]), np.array([c[2] for c in cut]), table, MODEL)
+def test_expected_counts_of_long_and_short_words_agree(monkeypatch):
+    table = random_table(2)
+    words = ["a" * 20 + "b" * 20, "日本" * 20, "the", "international"]
+    amounts, langs = np.array([2.0, 3.0, 1.0, 5.0]), np.array([0, 1, 0, 1])
+    want = language_id.expected_counts(words, amounts, langs, table, MODEL)
+    monkeypatch.setattr(language_id, "WORD", 2)  # all words by logarithms
     assert np.allclose(language_id.expected_counts(words, amounts, langs, table, MODEL), want)
 
 
+def test_predictions_equal_sums_by_hand(spark):
+    table = random_table(3)
+    model = language_id.LanguageModel(["de", "en", "fr"], table, MODEL)
+    texts = ["The cat sat", "straße " * 9, "日本" * 60 + " x", "½ ²", "Ⅷ ①", "12 _ 3", "", None, "½ a"]
+    told = {r.doc_id: (r.lang_pred, r.score) for r in language_id.identify(documents(spark, list(enumerate(texts))), model).collect()}
+    for i, text in enumerate(texts):
+        if i in (3, 4, 5, 6, 7):
+            assert told[i] == ("und", 0.0)
+            continue
+        total = sum(summed("▁" + w, table) for w in text.lower().split())
+        assert told[i][0] == model.langs[int(total.argmax())]
+        assert np.isclose(told[i][1], np.exp(total.max() - np.logaddexp.reduce(total)))
+
+
 def test_languages_told_by_the_end_of_long_words(spark):
     # Without spaces; the first 40 characters are the same in both languages.
     texts = [("x" * 40 + (end * 30), lang) for end, lang in (("その日は", "ja"), ("这是我们", "zh"))]

@@ -54,3 +54,12 @@ def not_in_future(ts: Column, as_of: Any, days: int = 1) -> Column:
 
 def after_epoch(ts: Column) -> Column:
     return ts.isNotNull() & (F.to_date(ts) > F.lit("1970-01-01").cast("date"))
+
+
+def unlike_stored(rows: DataFrame, stored: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Rows whose key is not stored, or stored with other values. NULLs compare as equal."""
+    values = [c for c in rows.columns if c not in keys]
+    old = stored.select(*[F.col(c).alias(f"_old_{c}") for c in keys], F.struct(*values).alias("_old"))
+    mine = rows.withColumn("_new", F.struct(*values))
+    same = [mine[c].eqNullSafe(old[f"_old_{c}"]) for c in keys] + [mine["_new"].eqNullSafe(old["_old"])]
+    return mine.join(old, reduce(Column.__and__, same), "left_anti").drop("_new")

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerlens import functions as fn
-from ledgerlens.operators.asof import asof_join_left
+from ledgerlens.operators.asof import asof_join_left, asof_join_ranged
 from ledgerlens.operators.merge import dedup_latest
 from ledgerlens.operators.setops import union_at_cutover
 from ledgerlens.plans.dimensions import chain, product
@@ -24,20 +24,35 @@ CUTOVER_DAYS = 11
 TIMELINE_KEY = ["account_id", "datetime", "product_address", "transaction_hash", "log_index"]
 
 
+PRICED = ["chain_id", "token_contract_address"]
+
+
+def _inside(rows: DataFrame, ts: str, low: datetime, end: datetime | None) -> DataFrame:
+    rows = rows.where(F.col(ts) >= F.lit(str(low)).cast("timestamp_ntz"))
+    return rows if end is None else rows.where(F.col(ts) < F.lit(str(end)).cast("timestamp_ntz"))
+
+
+def window_prices(w: Warehouse, start: datetime, end: datetime | None) -> DataFrame:
+    """``chain_id, token_contract_address, date_time, price`` of product prices in ``[start, end)``."""
+    prices = _inside(w.model(int_product_price), "date_time", start, end)
+    return prices.withColumnRenamed("token_address", "token_contract_address").select(*PRICED, "date_time", "price")
+
+
 def priced_changes(
-    w: Warehouse, start: datetime, end: datetime | None, price_lookback_days: int = 0
+    w: Warehouse,
+    start: datetime,
+    end: datetime | None,
+    price_lookback_days: int = 0,
+    opening: DataFrame | None = None,
 ) -> DataFrame:
     """Balance changes in ``[start, end)`` with the latest product price at their time.
 
     Both inputs are cut to the window before the join. Changes before the
     window's first price are valued at zero, unless ``price_lookback_days`` lets
-    older prices in.
+    older prices in or ``opening`` holds the last price of each product before the
+    window (``closing_prices`` of the window before).
     """
 
-    def inside(df: DataFrame, ts: str, low: datetime) -> DataFrame:
-        df = df.where(F.col(ts) >= F.lit(str(low)).cast("timestamp_ntz"))
-        return df if end is None else df.where(F.col(ts) < F.lit(str(end)).cast("timestamp_ntz"))
-
     products = w.model(product).select(
         "chain_id",
         F.col("product_address").alias("token_contract_address"),
@@ -48,21 +63,16 @@ def priced_changes(
     )
     chains = w.model(chain).select("chain_id", "chain_name")
     changes = (
-        inside(staging(w, "idx_token_balance_change"), "block_timestamp", start)
+        _inside(staging(w, "idx_token_balance_change"), "block_timestamp", start, end)
         .join(products, ["chain_id", "token_contract_address"])
         .join(chains, "chain_id")
     )
-    prices = inside(
-        w.model(int_product_price), "date_time", start - timedelta(days=price_lookback_days)
-    ).withColumnRenamed("token_address", "token_contract_address")
-    priced = asof_join_left(
-        changes,
-        prices,
-        ["chain_id", "token_contract_address"],
-        "block_timestamp",
-        "date_time",
-        ["price"],
-    )
+    prices = window_prices(w, start - timedelta(days=price_lookback_days), end)
+    if opening is None:
+        priced = asof_join_left(changes, prices, PRICED, "block_timestamp", "date_time", ["price"])
+    else:
+        prices = prices.unionByName(opening.select(*PRICED, "date_time", "price"))
+        priced = asof_join_ranged(changes, prices, PRICED, "block_timestamp", "date_time", ["price"])
     price = F.coalesce("price", F.lit(0).cast(fn.AMOUNT))
     unknown = F.lit(None).cast(fn.AMOUNT)
     return priced.select(
@@ -106,6 +116,15 @@ def investor_timeline_historical(
     return priced_changes(w, low, high).select(version, "*")
 
 
+def closing_prices(w: Warehouse, start: datetime, end: datetime, opening: DataFrame | None) -> DataFrame:
+    """The last price of each product before ``end``: of the window, or carried over from ``opening``."""
+    prices = window_prices(w, start, end)
+    if opening is not None:
+        prices = prices.unionByName(opening.select(*PRICED, "date_time", "price"))
+    last = prices.groupBy(*PRICED).agg(F.max(F.struct("date_time", "price")).alias("last"))
+    return last.select(*PRICED, "last.date_time", "last.price")
+
+
 def investor_timeline_recent(w: Warehouse, days: int = RECENT_DAYS) -> DataFrame:
     return priced_changes(w, w.as_of - timedelta(days=days), None)
 

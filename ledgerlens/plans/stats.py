@@ -229,6 +229,11 @@ def product_stats(w: Warehouse, start: datetime | None = None) -> DataFrame:
     sparse = w.model(unified_hourly)
     if start is not None:
         sparse = sparse.where(F.col("date_hour") >= F.lit(str(start)).cast("timestamp_ntz"))
+    return folded_stats(w, sparse)
+
+
+def folded_stats(w: Warehouse, sparse: DataFrame) -> DataFrame:
+    """Sparse hourly rows folded to one row per product and hour, with the product's labels."""
     folded = coalesce_merge(sparse, [*ENTITY, "date_hour"], METRICS)
     chains = w.model(chain).select("chain_id", "chain_name")
     products = w.model(product).select(
@@ -265,7 +270,11 @@ CHAIN_SUMS = ["underlying_amount_compounded_usd", *[c for c in HARVEST_COLUMNS i
 
 def chain_stats(w: Warehouse) -> DataFrame:
     """Chain and hour totals, averages and quantiles over the chain's products."""
-    stats = w.model(product_stats)
+    return chain_totals(w, w.model(product_stats))
+
+
+def chain_totals(w: Warehouse, stats: DataFrame) -> DataFrame:
+    """The same from given rows per product and hour; all products of an hour must be among them."""
     tvl = F.col("tvl_usd").cast("decimal(28,8)")
 
     def tvl_of(kind: str) -> Column:

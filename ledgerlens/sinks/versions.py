@@ -30,6 +30,10 @@ class TableBroken(RuntimeError):
     """The folder holds something, but no table of this layout."""
 
 
+class VersionTaken(RuntimeError):
+    """Another writer published the version first."""
+
+
 @dataclass(frozen=True)
 class Version:
     number: int
@@ -109,8 +113,7 @@ def publish(
     """Writes ``df`` and publishes it, with the folders in ``kept``, as the next version.
 
     Two writers that start from one version write different folders, and the
-    second to publish fails. The version before stays readable; older ones and
-    what failed writes left are deleted.
+    second to publish fails.
     """
     spark = df.sparkSession
     number = (based_on.number if based_on else 0) + 1
@@ -126,23 +129,30 @@ def publish(
     folders |= {p: f"{target}/{PART}={p}" for p in written}
     # The row without a part carries the schema of a table that has no rows.
     rows = [(p, f, df.schema.json(), partition_by) for p, f in [(None, None), *sorted(folders.items())]]
-    manifest = spark.createDataFrame(rows, MANIFEST).coalesce(1)
-    manifest.write.mode("errorifexists").json(f"{path}/manifest/v{number}")
-    _expire(spark, path, {f.split("/")[1] for f in folders.values()} | {target.split("/")[1]}, based_on)
+    aside = f"{path}/manifest/.v{number}-{uuid4().hex[:12]}"
+    spark.createDataFrame(rows, MANIFEST).coalesce(1).write.json(aside)
+    final = f"{path}/manifest/v{number}"
+    files, folder = _folder(spark, final)
+    if files.exists(folder):
+        if "_SUCCESS" in _names(spark, final):
+            raise VersionTaken(f"{path}: version {number} was published by another writer")
+        files.delete(folder, True)  # left by a writer that died
+    if not files.rename(_folder(spark, aside)[1], folder):
+        raise VersionTaken(f"{path}: version {number} could not be published")
     return number
 
 
-def _expire(spark: SparkSession, path: str, used: set[str], before: Version | None) -> None:
-    """Deletes data that neither the new version nor the one before it uses."""
-    if before:
-        used = used | {f.removeprefix(f"{path}/").split("/")[1] for f in before.folders.values()}
-    for name in _names(spark, f"{path}/data"):
-        if name not in used:
-            files, folder = _folder(spark, f"{path}/data/{name}")
-            files.delete(folder, True)
-    for number in _numbers(spark, f"{path}/manifest"):
-        if before is None or number < before.number:
-            if before is None:
-                continue
-            files, folder = _folder(spark, f"{path}/manifest/v{number}")
-            files.delete(folder, True)
+def expire_versions(spark: SparkSession, path: str, keep: int = 2) -> None:
+    """Deletes all but the newest ``keep`` versions and the data none of them uses.
+
+    To be called when nothing reads older versions any more and no write is going on.
+    """
+    published = [n for n in _numbers(spark, f"{path}/manifest") if "_SUCCESS" in _names(spark, f"{path}/manifest/v{n}")]
+    newest = {f"v{n}" for n in published[-keep:]}
+    kept = spark.read.schema(MANIFEST).json([f"{path}/manifest/{name}" for name in newest]) if newest else None
+    used = set() if kept is None else {r.folder.split("/")[1] for r in kept.where("folder is not null").collect()}
+    for place, wanted in (("data", used), ("manifest", newest)):
+        for name in _names(spark, f"{path}/{place}"):
+            if name not in wanted:
+                files, folder = _folder(spark, f"{path}/{place}/{name}")
+                files.delete(folder, True)

@@ -88,6 +88,12 @@ def read_optional(spark: SparkSession, table: FileTable | JdbcTable) -> DataFram
         raise
 
 
+def read_if_there(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    """The Parquet rows below ``path``; none if nothing was written there yet."""
+    found = read_optional(spark, FileTable(path))
+    return spark.createDataFrame([], schema) if found is None else found
+
+
 def bytes_to_hex(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Binary columns as ``0x`` text, others untouched."""
     return df.withColumns({c: hex_text(F.col(c)) for c in columns})

@@ -13,6 +13,7 @@ Derivation is by row, so every raw table grows with its driver table:
 
 from __future__ import annotations
 
+from dataclasses import replace
 from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
@@ -401,9 +402,16 @@ def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def raw_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+#: When a row of a driver table has arrived: up to 21 hours after its time.
+ARRIVAL = {"events": "ts + make_interval(0, 0, 0, 0, cast(event_id % 20 as int), 0, 0)", "lineitem": "l_shipdate + make_interval(0, 0, 0, 0, l_linenumber * 3, 0, 0)"}
+
+
+def raw_table(spark: SparkSession, sf_dir: str, name: str, arrived: datetime | None = None) -> DataFrame:
+    """A raw table; with ``arrived`` as it stood at that time, without the rows that were still to come."""
     sql = RAW_SQL[name]
     used = {t: load(spark, sf_dir, t) for t in TABLES if "{" + t + "}" in sql}
+    if arrived is not None:
+        used = {t: rows.where(f"{ARRIVAL[t]} <= timestamp_ntz '{arrived}'") if t in ARRIVAL else rows for t, rows in used.items()}
     return spark.sql(sql, **used)
 
 
@@ -427,4 +435,10 @@ def warehouse(spark: SparkSession, sf_dir: str, as_of: datetime = EVENTS_AS_OF)
     return _WAREHOUSES[key].at(as_of)
 
 
+def warehouse_at(spark: SparkSession, sf_dir: str, arrived: datetime) -> Warehouse:
+    """The warehouse as a run at ``arrived`` finds it: rows that come later are not there yet. Nothing is landed."""
+    raw = {name: (lambda session, name=name: raw_table(session, sf_dir, name, arrived)) for name in RAW_SQL}
+    return replace(warehouse(spark, sf_dir, arrived), raw=raw, land_raw=False)
+
+
 _WAREHOUSES: dict[tuple[str, str], Warehouse] = {}

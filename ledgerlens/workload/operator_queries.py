@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from ledgerlens import functions as fn
 from ledgerlens.operators import aggregates, filters, joins, lookback, merge, positions, rollup, setops
-from ledgerlens.operators.asof import asof_join_left
+from ledgerlens.operators.asof import asof_join_left, asof_join_ranged
 from ledgerlens.session import ensure_utc
 from ledgerlens.workload.driver_tables import EVENTS_AS_OF, load
 from ledgerlens.workload.present import present, select_sql
@@ -429,6 +429,17 @@ def _(spark, t):
     return joins.join_every_match(t("orders"), asia, ["o_orderkey"])
 
 
+def _clicks_and_prices(t):
+    events = t("events")
+    clicks = events.where(F.col("event_type") == "click").select("event_id", "user_id", "ts")
+    prices = events.where(F.col("event_type") == "purchase").select(
+        "user_id",
+        F.col("ts").alias("priced_at"),
+        F.when(F.col("event_id") % 10 != 0, F.col("value")).alias("price"),
+    )
+    return clicks, prices
+
+
 @operator(
     "join_asof_left",
     "event_id:i user_id:i ts:t price:d has_price",
@@ -438,18 +449,20 @@ def _(spark, t):
     ON l.user_id = r.user_id AND l.ts >= r.ts""",
 )
 def _(spark, t):
-    events = t("events")
-    clicks = events.where(F.col("event_type") == "click").select("event_id", "user_id", "ts")
-    prices = events.where(F.col("event_type") == "purchase").select(
-        "user_id",
-        F.col("ts").alias("priced_at"),
-        F.when(F.col("event_id") % 10 != 0, F.col("value")).alias("price"),
-    )
+    clicks, prices = _clicks_and_prices(t)
     return asof_join_left(
         clicks, prices, ["user_id"], "ts", "priced_at", ["price"], match_flag="has_price"
     )
 
 
+@operator("join_asof_ranged", " ".join(OPERATORS["join_asof_left"].columns), OPERATORS["join_asof_left"].sql)
+def _(spark, t):
+    clicks, prices = _clicks_and_prices(t)
+    return asof_join_ranged(
+        clicks, prices, ["user_id"], "ts", "priced_at", ["price"], match_flag="has_price"
+    )
+
+
 @operator(
     "join_point_lookup",
     "user_id:i total_1d_ago:d total_1w_ago:d total_1m_ago:d",

@@ -4,10 +4,12 @@ import random
 from datetime import datetime, timedelta
 
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
+from ledgerlens.operators import asof as asof_module
 from ledgerlens.operators import aggregates, joins, merge, positions, rollup
-from ledgerlens.operators.asof import asof_join_left
+from ledgerlens.operators.asof import asof_join_left, asof_join_ranged
 
 START = datetime(2024, 1, 1)
 
@@ -16,14 +18,15 @@ def at(seconds: float) -> datetime:
     return START + timedelta(seconds=seconds)
 
 
-def asof(spark, left, right, **options):
+def asof(spark, left, right, join=asof_join_left, **options):
     quotes = spark.createDataFrame(right, "k string, rt timestamp_ntz, price double")
     rows = spark.createDataFrame(left, "id int, k string, lt timestamp_ntz")
-    joined = asof_join_left(rows, quotes, ["k"], "lt", "rt", ["price"], match_flag="hit", **options)
+    joined = join(rows, quotes, ["k"], "lt", "rt", ["price"], match_flag="hit", **options)
     return {r.id: (r.price, r.hit) for r in joined.collect()}
 
 
-def test_asof_corners(spark):
+@pytest.mark.parametrize("join", [asof_join_left, asof_join_ranged])
+def test_asof_corners(spark, join):
     right = [("a", at(100), 1.0), ("a", at(200), None), ("a", at(9000), 3.0), ("b", at(0), 9.0)]
     left = [
         (1, "a", at(99)),
@@ -35,7 +38,7 @@ def test_asof_corners(spark):
         (7, None, at(500)),
         (8, "a", None),
     ]
-    assert asof(spark, left, right) == {
+    assert asof(spark, left, right, join) == {
         1: (None, False),
         2: (1.0, True),
         3: (None, True),
@@ -59,6 +62,44 @@ def test_asof_against_brute_force_with_a_hot_key_and_copies(spark):
         expected[i] = (max(seen)[1], True) if seen else (None, False)
     for seconds in (60, 3600, 10**7):
         assert asof(spark, left, right, slice_seconds=seconds) == expected
+    assert asof(spark, left, right, asof_join_ranged) == expected
+
+
+def test_ranged_asof_of_one_key_over_many_partitions(spark, monkeypatch):
+    """One key holds every row and one moment a third of them; parts without right rows take what came before."""
+    right = [("hot", at(10 * i), float(i)) for i in range(40)] + [("hot", at(50), 99.0)]
+    left = [(i, "hot", at(i // 3)) for i in range(1_500)] + [(5_000 + i, "hot", at(395)) for i in range(700)] + [(9_999, "hot", None)]
+    quotes = spark.createDataFrame(right, "k string, rt timestamp_ntz, price double")
+    rows = spark.createDataFrame(left, "id int, k string, lt timestamp_ntz")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    spark.conf.set("spark.sql.shuffle.partitions", "16")
+    try:
+        joined = asof_join_ranged(rows, quotes, ["k"], "lt", "rt", ["price"])
+        got = {r.id: r.price for r in joined.collect()}
+        parts = spark.read.parquet(joined.inputFiles()[0].rsplit("/", 1)[0]).where("not _edge").groupBy("_part").count().collect()
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
+    expected = {}
+    for i, _, t in left:
+        seen = [(rt, p) for _, rt, p in right if t is not None and rt <= t]
+        expected[i] = max(seen)[1] if seen else None
+    assert got == expected
+    assert len(parts) == 16 and max(r["count"] for r in parts) < 400
+
+
+def test_ranged_asof_reads_each_side_once(spark, tmp_path):
+    for name, schema in (("l", "id int, k string, lt timestamp_ntz"), ("r", "k string, rt timestamp_ntz, price double")):
+        spark.createDataFrame([], schema).write.parquet(str(tmp_path / name))
+    rows, quotes = (spark.read.parquet(str(tmp_path / n)) for n in "lr")
+    plans = []
+    real = asof_module.materialize
+    try:
+        asof_module.materialize = lambda df, label: plans.append(df._jdf.queryExecution().executedPlan().toString()) or real(df, label)
+        assert asof_join_ranged(rows, quotes, ["k"], "lt", "rt", ["price"]).count() == 0
+    finally:
+        asof_module.materialize = real
+    assert plans[0].count("FileScan parquet") == 2 and plans[0].count("Exchange rangepartitioning") == 1
 
 
 def test_latest_value_skips_null_and_breaks_ties(spark):

@@ -3,7 +3,6 @@ from __future__ import annotations
 from datetime import datetime, timedelta
 
 import pytest
-from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from ledgerlens.operators import rollup
@@ -62,11 +61,38 @@ def test_two_writers_from_one_version(spark, tmp_path):
     writers.write_table(rows, path)
     seen = versions.current_version(spark, path)
     versions.publish(rows.withColumn("v", F.lit("b")), path, based_on=seen)
-    with pytest.raises(AnalysisException):
+    with pytest.raises(versions.VersionTaken):
         versions.publish(rows.withColumn("v", F.lit("c")), path, based_on=seen)
     assert writers.read_table(spark, path).first().v == "b"
 
 
+def test_a_writer_that_died_does_not_block_the_next(spark, tmp_path):
+    path = str(tmp_path / "t")
+    rows = spark.createDataFrame([(1, "d", "a")], ROWS)
+    writers.write_table(rows, path)
+    (tmp_path / "t/manifest/v2").mkdir()
+    (tmp_path / "t/manifest/v2/part-0.json").write_text("{")
+    (tmp_path / "t/manifest/.v2-abc").mkdir()
+    upsert.upsert(rows.withColumn("v", F.lit("b")), path, ["k"])
+    assert versions.current_version(spark, path).number == 2
+    assert writers.read_table(spark, path).first().v == "b"
+
+
+def test_readers_keep_their_version_until_it_is_expired(spark, tmp_path):
+    path = str(tmp_path / "t")
+    rows = spark.createDataFrame([(1, "d", "a"), (2, "e", "a")], ROWS)
+    writers.write_table(rows, path, partition_by="day")
+    old = writers.read_table(spark, path)
+    for v in "bcd":
+        upsert.upsert(rows.where("k = 1").withColumn("v", F.lit(v)), path, ["k"], partition_by="day")
+    assert {r.v for r in old.collect()} == {"a"}
+    versions.expire_versions(spark, path, keep=1)
+    assert sorted((r.k, r.v) for r in writers.read_table(spark, path).collect()) == [(1, "d"), (2, "a")]
+    assert len(list((tmp_path / "t/manifest").iterdir())) == 1 and len(list((tmp_path / "t/data").iterdir())) == 2
+    upsert.upsert(rows, path, ["k"], partition_by="day")
+    assert {r.v for r in writers.read_table(spark, path).collect()} == {"a"}
+
+
 def test_an_older_row_that_comes_later_changes_nothing(spark, tmp_path):
     path = str(tmp_path / "t")
     for k, at, v in [(1, "2", "new"), (1, "1", "old"), (2, "1", "x"), (2, "3", "y")]:

@@ -9,20 +9,23 @@ from datetime import datetime, timedelta
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ledgerlens.functions import hex_text
 
 
 @dataclass(frozen=True)
 class FileTable:
-    """A table kept as files (parquet by default)."""
+    """A table kept as files (parquet by default), with the schema of the files unless one is given."""
 
     path: str
     format: str = "parquet"
     options: Mapping[str, str] = field(default_factory=dict)
+    schema: T.StructType | str | None = None
 
     def read(self, spark: SparkSession) -> DataFrame:
-        return spark.read.format(self.format).options(**self.options).load(self.path)
+        reader = spark.read.format(self.format).options(**self.options)
+        return (reader if self.schema is None else reader.schema(self.schema)).load(self.path)
 
 
 @dataclass(frozen=True)
@@ -90,7 +93,7 @@ def read_optional(spark: SparkSession, table: FileTable | JdbcTable) -> DataFram
 
 def read_if_there(spark: SparkSession, path: str, schema: str) -> DataFrame:
     """The Parquet rows below ``path``; none if nothing was written there yet."""
-    found = read_optional(spark, FileTable(path))
+    found = read_optional(spark, FileTable(path, schema=schema))
     return spark.createDataFrame([], schema) if found is None else found
 
 

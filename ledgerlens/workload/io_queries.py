@@ -17,7 +17,7 @@ from ledgerlens.operators import merge, rollup, setops
 from ledgerlens.session import scratch_path
 from ledgerlens.sinks import loads, upsert, writers
 from ledgerlens.sources import payloads, schema, tables
-from ledgerlens.streaming import cursors, jobs
+from ledgerlens.streaming import cursors, history, jobs
 from ledgerlens.workload.driver_tables import EVENTS_AS_OF, load
 from ledgerlens.workload.operator_queries import Operator
 from ledgerlens.workload.present import present, select_sql
@@ -514,6 +514,69 @@ def _(spark, events):
     return spark.read.parquet(path)
 
 
+# Delivery in four batches of eight days; every eleventh event comes two batches late, and the last batch
+# delivers every seventh event once more, however old it is.
+CHUNKS = 4
+CHUNK_SQL = "least(3, cast(floor((day(ts) - 1) / 8) as int) + case when event_id % 11 = 0 then 2 else 0 end)"
+
+
+def _deliveries(t, rows_again: bool):
+    """The events as they are delivered: one DataFrame per batch."""
+    events = t("events")
+    for chunk in range(CHUNKS):
+        part = events.where(f"{CHUNK_SQL} = {chunk}")
+        if rows_again and chunk == CHUNKS - 1:
+            part = part.union(events.where("event_id % 7 = 0"))
+        yield part
+
+
+def _delivered(spark, t, run, rows_again: bool = False) -> None:
+    """Lands one delivery after the other and calls ``run(stream)`` after each; a run is one micro-batch."""
+    landing = scratch_path(spark, "landing")
+    for part in _deliveries(t, rows_again):
+        writers.append_table(part, landing)
+        _finish(run(jobs.landed_stream(spark, landing, t("events").schema)))
+
+
+@io("stream_dedup_history", "event_id:i event_type value:d ts:t", "SELECT event_id, event_type, value, ts FROM events")
+def _(spark, t):
+    path, state = scratch_path(spark, "dedup"), scratch_path(spark, "state")
+    _delivered(spark, t, lambda rows: history.run_dedup(rows, path, state, ["event_id"], "ts"), rows_again=True)
+    return history.stored_rows(spark, path)
+
+
+LATE_SQL = f"""SELECT e.*, coalesce(ts < before - INTERVAL '1' DAY, false) AS late
+    FROM (SELECT *, {CHUNK_SQL} AS chunk FROM events) e LEFT JOIN
+    (SELECT a.chunk, max(b.newest) AS before FROM (SELECT unnest([0, 1, 2, 3]) AS chunk) a
+     JOIN (SELECT {CHUNK_SQL} AS chunk, max(ts) AS newest FROM events GROUP BY 1) b ON b.chunk < a.chunk GROUP BY a.chunk) n
+    ON n.chunk = e.chunk"""
+
+
+@io("stream_late_rows", "event_id:i ts:t", f"SELECT event_id, ts FROM ({LATE_SQL}) WHERE late")
+def _(spark, t):
+    path, state = scratch_path(spark, "dedup"), scratch_path(spark, "state")
+    _delivered(spark, t, lambda rows: history.run_dedup(rows, path, state, ["event_id"], "ts"))
+    return history.stored_rows(spark, path).where("late")
+
+
+@io("stream_hourly_late", "user_id:i date_hour:t value:d", HOURLY_SQL)
+def _(spark, t):
+    path, state = scratch_path(spark, "hours"), scratch_path(spark, "state")
+    _delivered(spark, t, lambda rows: history.run_hourly_last(rows, path, state, ["user_id"], "ts", "value"), rows_again=True)
+    return history.hourly_rows(spark, path, ["user_id"], "value")
+
+
+@io(
+    "stream_late_counts",
+    "user_id:i date_hour:t rows:i",
+    f"SELECT user_id, date_trunc('hour', ts) AS date_hour, count(*) AS rows FROM ({LATE_SQL}) WHERE late GROUP BY 1, 2",
+)
+def _(spark, t):
+    path, state = scratch_path(spark, "hours"), scratch_path(spark, "state")
+    _delivered(spark, t, lambda rows: history.run_hourly_last(rows, path, state, ["user_id"], "ts", "value"))
+    return history.late_counts(spark, path, ["user_id"])
+
+
 LATEST_SQL = "SELECT user_id, event_type, arg_max(event_id, ts) AS event_id, max(ts) AS ts FROM events GROUP BY 1, 2"
 
 

@@ -521,9 +521,34 @@ def stage(df: DataFrame, spec: Spec) -> DataFrame:
     )
 
 
+#: Number of the load that brought a raw row; later loads have greater ones.
+LOAD = "_load_seq"
+#: Tables whose rows are loaded again, with the key that a row is loaded again by. A harvest's time is that of its
+#: block, so it belongs to the key and lets bounds on time reach the scan.
+RELOADED = {
+    "db_apys": ["vault_id", "t"],
+    "db_tvls": ["vault_id", "t"],
+    "db_prices": ["oracle_id", "t"],
+    "db_tvl_by_chain": ["chain_id", "t"],
+    "db_harvests": ["chain_id", "block_number", "txn_idx", "event_idx", "txn_timestamp"],
+}
+
+
+def last_loaded(rows: DataFrame, keys: list[str]) -> DataFrame:
+    """One raw row per key: that of the last load, whatever its values.
+
+    Rows of one load that share a key take the greatest columns, as do all rows of a
+    table without load numbers.
+    """
+    if LOAD not in rows.columns:
+        return dedup_latest(rows, keys, [])
+    return dedup_latest(rows, keys, [LOAD]).drop(LOAD)
+
+
 def staged(w: Warehouse, name: str) -> DataFrame:
     """The plain staging model of a raw table."""
-    return stage(w.table(name), SPECS[name])
+    rows = w.table(name)
+    return stage(last_loaded(rows, RELOADED[name]) if name in RELOADED else rows, SPECS[name])
 
 
 def api_apy(w: Warehouse) -> DataFrame:
@@ -653,14 +678,9 @@ def db_harvests(w: Warehouse) -> DataFrame:
     return drop_listed(rows, WRONG_HARVESTS, ["network_id", "txn_hash"])
 
 
-def db_prices(w: Warehouse) -> DataFrame:
-    """One price per oracle and time (appends may repeat rows)."""
-    return dedup_latest(staged(w, "db_prices"), ["oracle_id", "t"], ["val"])
-
-
 def db_tvl_by_chain(w: Warehouse) -> DataFrame:
     """One row per chain and time, without one known spike."""
-    rows = dedup_latest(staged(w, "db_tvl_by_chain"), ["network_id", "date_time"], ["tvl_usd"])
+    rows = staged(w, "db_tvl_by_chain")
     # Network, period and threshold of the spike.
     spike = scoped_exclusion(
         F.col("network_id"),
@@ -716,7 +736,6 @@ LOGIC = {
     "db_token_buyback": db_token_buyback,
     "db_feebatch_harvests": db_feebatch_harvests,
     "db_harvests": db_harvests,
-    "db_prices": db_prices,
     "db_tvl_by_chain": db_tvl_by_chain,
     "bridge_messages": bridge_messages,
     "idx_token_balance_change": idx_token_balance_change,

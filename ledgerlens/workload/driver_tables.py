@@ -149,6 +149,34 @@ def _message(version: int, where: str) -> str:
     )
 
 
+_QUANTITY = (
+    "case when l_orderkey % 97 = 0 then cast(l_quantity * 1000 as decimal(18,2)) "
+    "when l_orderkey % 89 = 0 then null else cast(l_quantity as decimal(18,2)) end"
+)
+
+
+def _harvests(load: int, amount: str, where: str) -> str:
+    return (
+        f"SELECT {chain_of('l_partkey')} AS chain_id, l_orderkey AS block_number, l_linenumber AS txn_idx, "
+        "l_suppkey AS event_idx, l_shipdate AS txn_timestamp, "
+        f"case when l_orderkey % 7 = 3 then '{LISTED_HASH}' else {address('FC', 'l_orderkey', 64)} end AS txn_hash, "
+        f"'vault-' || {text('l_partkey')} AS vault_id, cast(l_discount as decimal(18,2)) AS call_fee, "
+        "cast(l_linenumber as bigint) * 1000000000000001 AS gas_fee, cast(l_tax as decimal(18,2)) AS platform_fee, "
+        "case when l_linenumber = 3 then null else cast(l_discount as decimal(18,2)) end AS strategist_fee, "
+        f"{amount} AS harvest_amount, cast(100 + l_linenumber as decimal(18,2)) AS native_price, "
+        "cast(l_extendedprice as decimal(18,2)) AS want_price, "
+        "case when l_linenumber = 1 then true else null end AS is_keeper_call, "
+        f"{address('D', 'l_partkey')} AS strategist_address, {load} AS _load_seq FROM {{lineitem}} WHERE {where}"
+    )
+
+
+def _loads(columns: str, values: dict[int, tuple[str, str]]) -> str:
+    """One SELECT over events per load: its number, its values, and the events it holds."""
+    return " UNION ALL ".join(
+        f"SELECT {columns}, {value}, {load} AS _load_seq FROM {{events}} WHERE {where}" for load, (value, where) in values.items()
+    )
+
+
 RAW_SQL: dict[str, str] = {
     "files_ui_chains": (
         "SELECT n_nationkey + 1 AS chain_id, n_name AS name, "
@@ -263,14 +291,20 @@ RAW_SQL: dict[str, str] = {
         "s_suppkey % 2 = 0 AS is_contract, case when s_suppkey % 3 = 0 then '' "
         "when s_suppkey % 3 = 1 then 'exchange' else null end AS label FROM {supplier}"
     ),
-    "db_apys": (
-        "SELECT user_id AS vault_id, ts AS t, case when event_id % 40 = 0 then -1.0 else value / 100 end AS val "
-        "FROM {events} WHERE event_type = 'click'"
-    ),
-    "db_tvls": (
-        "SELECT user_id AS vault_id, ts AS t, "
-        "case when event_id % 50 = 0 then value * 100000000 else value * 1000 end AS val "
-        "FROM {events} WHERE event_type = 'view'"
+    # Windows loaded again hold lower values; one price load that comes last in the file is an older one.
+    "db_apys": _loads(
+        "user_id AS vault_id, ts AS t",
+        {
+            1: ("case when event_id % 40 = 0 then -1.0 else value / 100 end AS val", "event_type = 'click'"),
+            2: ("floor(value) / 100 AS val", "event_type = 'click' AND event_id % 6 = 0"),
+        },
+    ),
+    "db_tvls": _loads(
+        "user_id AS vault_id, ts AS t",
+        {
+            1: ("case when event_id % 50 = 0 then value * 100000000 else value * 1000 end AS val", "event_type = 'view'"),
+            2: ("value * 500 AS val", "event_type = 'view' AND event_id % 6 = 0"),
+        },
     ),
     "db_vault_ids": f"SELECT k AS id, 'vault-' || {text('k')} AS vault_id FROM {PARTS}",
     "db_price_oracles": (
@@ -278,34 +312,29 @@ RAW_SQL: dict[str, str] = {
         f"when k % 4 = 0 then 'vault-' || {text('k')} else 'oracle-' || {text('k')} end AS oracle_id, "
         f"case when k % 2 = 0 then null else '[\"a\"]' end AS tokens FROM {PARTS}"
     ),
-    "db_prices": (
-        f"SELECT user_id AS oracle_id, ts AS t, {MONEY} AS val FROM {{events}} WHERE event_type = 'purchase' "
-        f"UNION ALL SELECT user_id AS oracle_id, ts AS t, {MONEY} AS val FROM {{events}} "
-        "WHERE event_type = 'purchase' AND event_id % 5 = 0"
-    ),
-    "db_tvl_by_chain": (
-        f"SELECT user_id % 25 + 1 AS chain_id, ts AS t, {MONEY} AS total, {MONEY} AS vault, "
-        f"cast(0 as decimal(18,2)) AS gov, cast(0 as decimal(18,2)) AS clm FROM {{events}}"
+    "db_prices": _loads(
+        "user_id AS oracle_id, ts AS t",
+        {
+            1: (f"{MONEY} AS val", "event_type = 'purchase'"),
+            2: ("cast(floor(value) as decimal(18,2)) AS val", "event_type = 'purchase' AND event_id % 5 = 0"),
+            0: (f"cast({MONEY} + 100 as decimal(18,2)) AS val", "event_type = 'purchase' AND event_id % 4 = 0"),
+        },
+    ),
+    "db_tvl_by_chain": _loads(
+        "user_id % 25 + 1 AS chain_id, ts AS t",
+        {
+            load: (f"{total} AS total, {total} AS vault, cast(0 as decimal(18,2)) AS gov, cast(0 as decimal(18,2)) AS clm", where)
+            for load, total, where in ((1, MONEY, "event_id >= 0"), (2, "cast(floor(value) as decimal(18,2))", "event_id % 6 = 0"))
+        },
     ),
     "db_vault_strategies": (
         f"SELECT k AS id, c + 1 AS chain_id, k * 10 AS block_number, {address('FE', 'k', 64)} AS txn_hash, "
         f"'vault-' || {text('k')} AS vault_id, {PRODUCT} AS vault_address, {address('D', 'k')} AS strategy_address "
         f"FROM {PARTS}"
     ),
-    "db_harvests": (
-        f"SELECT {chain_of('l_partkey')} AS chain_id, l_orderkey AS block_number, l_linenumber AS txn_idx, "
-        "l_suppkey AS event_idx, l_shipdate AS txn_timestamp, "
-        f"case when l_orderkey % 7 = 3 then '{LISTED_HASH}' else {address('FC', 'l_orderkey', 64)} end AS txn_hash, "
-        f"'vault-' || {text('l_partkey')} AS vault_id, cast(l_discount as decimal(18,2)) AS call_fee, "
-        "cast(l_linenumber as bigint) * 1000000000000001 AS gas_fee, cast(l_tax as decimal(18,2)) AS platform_fee, "
-        "case when l_linenumber = 3 then null else cast(l_discount as decimal(18,2)) end AS strategist_fee, "
-        "case when l_orderkey % 97 = 0 then cast(l_quantity * 1000 as decimal(18,2)) "
-        "when l_orderkey % 89 = 0 then null else cast(l_quantity as decimal(18,2)) end AS harvest_amount, "
-        "cast(100 + l_linenumber as decimal(18,2)) AS native_price, "
-        "cast(l_extendedprice as decimal(18,2)) AS want_price, "
-        "case when l_linenumber = 1 then true else null end AS is_keeper_call, "
-        f"{address('D', 'l_partkey')} AS strategist_address FROM {{lineitem}}"
-    ),
+    "db_harvests": _harvests(1, _QUANTITY, "l_orderkey >= 0")
+    + " UNION ALL "
+    + _harvests(2, "cast(floor(l_quantity / 2) as decimal(18,2))", "l_orderkey % 9 = 0"),
     "db_token_buyback": (
         "SELECT o_orderkey AS id, o_orderkey AS block_number, o_orderdate AS txn_timestamp, 0 AS event_idx, "
         f"{address('FD', 'o_orderkey', 64)} AS txn_hash, cast(o_custkey % 100 as decimal(18,2)) AS token_amount, "

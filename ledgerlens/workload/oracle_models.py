@@ -150,8 +150,28 @@ def _legs(kind: str, name: str) -> str:
 _LEG_KINDS = {"input": "input", "output": "output", "zap_fee": "protocol_fee", "refund": "refund"}
 _LEG_COLUMNS = [f"{n}_{s}" for n in _LEG_KINDS for s in ("token_addresses", "token_symbols", "token_amounts", "usd_values")]
 
+#: Tables that are loaded again, with their keys and their other columns.
+_LOADED_AGAIN = {
+    "db_apys": ("vault_id, t", "val"),
+    "db_tvls": ("vault_id, t", "val"),
+    "db_prices": ("oracle_id, t", "val"),
+    "db_tvl_by_chain": ("chain_id, t", "total, vault, gov, clm"),
+    "db_harvests": (
+        "chain_id, block_number, txn_idx, event_idx, txn_timestamp",
+        "txn_hash, vault_id, call_fee, gas_fee, platform_fee, strategist_fee, harvest_amount, native_price, want_price, "
+        "is_keeper_call, strategist_address",
+    ),
+}
+
+
+def _last_load(name: str) -> str:
+    keys, others = _LOADED_AGAIN[name]
+    order = ", ".join(f"{c} DESC NULLS LAST" for c in ["_load_seq", *others.split(", ")])
+    return f"SELECT * FROM ({duckdb_sql(name)}) QUALIFY row_number() OVER (PARTITION BY {keys} ORDER BY {order}) = 1"
+
+
 CTES: dict[str, str] = {
-    **{f"raw_{name}": duckdb_sql(name) for name in RAW_SQL},
+    **{f"raw_{name}": _last_load(name) if name in _LOADED_AGAIN else duckdb_sql(name) for name in RAW_SQL},
     "stg_ui_chains": f"""SELECT chain_id AS network_id, coalesce(name, 'Unknown') AS name, {network('chain_key')} AS chain_key,
       {str_list('rpc')} AS rpc, explorer_url, lower(multicall3_address) AS multicall3_address,
       lower(app_multicall_contract_address) AS ui_lens_address, native->>'$.symbol' AS native_symbol,

@@ -73,10 +73,6 @@ LOGIC_SQL: dict[str, Logic] = {
     ),
     "db_token_buyback": Logic("buyback_total IS NOT NULL AND token_amount > 0 AND token_price > 0"),
     "db_feebatch_harvests": Logic("treasury_amt > 0"),
-    "db_prices": Logic(source="SELECT DISTINCT oracle_id, t, val FROM raw_db_prices"),
-    "db_tvl_by_chain": Logic(
-        source="""SELECT DISTINCT ON (chain_id, t) * FROM raw_db_tvl_by_chain ORDER BY chain_id, t, total DESC"""
-    ),
     "bridge_messages": Logic(
         source="""SELECT DISTINCT ON (src_network_id, src_tx_hash, src_log_index) * FROM raw_bridge_messages
         ORDER BY src_network_id, src_tx_hash, src_log_index, updated_at DESC"""

@@ -38,8 +38,8 @@ def test_bounds_pass_the_choice_of_the_last_load(spark):
     spark.conf.set("spark.sql.maxMetadataStringLength", 2_000)
     try:
         for rows, bound in (
-            (stats.tvl_hourly(w, datetime(2024, 1, 10)), "GreaterThanOrEqual(ts"),
-            (stats.harvest_hourly(w, datetime(2000, 1, 10)), "GreaterThanOrEqual(l_shipdate"),
+            (stats.tvl_hourly(w, datetime(2024, 1, 10)), "GreaterThanOrEqual(ts,2024-01-10"),
+            (stats.harvest_hourly(w, datetime(2000, 1, 10)), "GreaterThanOrEqual(l_shipdate,2000-01-10"),
         ):
             assert rows._jdf.queryExecution().executedPlan().toString().count(bound) == 2  # one scan per load
     finally:

@@ -6,9 +6,9 @@ least and greatest value of every dimension and the greatest length. Interval
 arithmetic over a zone map bounds the products that an anchor can have with the
 rows of the block, from both sides. A search goes twice over the zone maps alone:
 
-* first each anchor reads, of the blocks that its windows may hold, the one with the
-  highest bound; the scores found there raise the lower ends of windows that are
-  already full;
+* first each anchor reads, of the blocks that its windows may hold, those with the
+  highest bounds until they hold ``FIRST_ROWS`` rows; the scores found there raise
+  the lower ends of windows that are already full;
 * then it reads every block whose bounds meet one of its windows.
 
 Positives are found the same way, with one open window among blocks of the anchor's
@@ -33,9 +33,12 @@ from ledgerlens.llm.vector_blocks import matrix, query_blocks, same_width
 from ledgerlens.session import materialize
 
 BLOCK_ROWS, ASKED_ROWS, ZONES = 1_024, 256, 256
+FIRST_ROWS = 1_024
 CURVE_DIMS, CURVE_BITS = 8, 8
 #: Keys that blocks of anchors and blocks of rows meet on, per shuffle partition.
 LANES = 2
+#: Beyond every id.
+NO_LAST = 2**63 - 1
 
 
 def hilbert(cells: np.ndarray, bits: int) -> np.ndarray:
@@ -152,7 +155,7 @@ def _lanes(spark) -> int:
 
 
 def _meeting(asked: DataFrame, zones: DataFrame, same: bool) -> DataFrame:
-    """``ablock, id, place, block, low, high``: for each anchor the blocks that its label allows, with their bounds.
+    """``ablock, at, block, size, most``: for each anchor (place ``at``) the blocks that its label allows, with the upper bound.
 
     Only pairs whose bounds meet one of the anchor's windows leave a task.
     """
@@ -161,7 +164,7 @@ def _meeting(asked: DataFrame, zones: DataFrame, same: bool) -> DataFrame:
     # Zone maps in groups of ``ZONES``, dealt over lanes; every block of anchors goes to every lane.
     counted = zones.agg(F.count("*")).first()[0]
     groups = max(1, -(-counted // ZONES))
-    zone = F.struct("block", "label", "low", "high", "longest")
+    zone = F.struct("block", "label", "size", "low", "high", "longest")
     grouped = zones.groupBy(F.pmod(F.xxhash64("block"), F.lit(groups)).alias("zgroup")).agg(F.collect_list(zone).alias("zones"))
     grouped = grouped.withColumn("lane", _lane(F.col("zgroup"), lanes))
     everywhere = asked.withColumn("lane", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(lanes - 1).cast("long"))))
@@ -187,11 +190,11 @@ def _meeting(asked: DataFrame, zones: DataFrame, same: bool) -> DataFrame:
                 blocks = where.field("block").to_numpy()
                 name = one.column("ablock")[0].as_py()
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.full(len(a), name)), pa.array(a.astype(np.int32)), pa.array(blocks[z]), pa.array(most[a, z])],
-                    ["ablock", "at", "block", "most"],
+                    [pa.array(np.full(len(a), name)), pa.array(a.astype(np.int32)), pa.array(blocks[z]), pa.array(where.field("size").to_numpy()[z]), pa.array(most[a, z])],
+                    ["ablock", "at", "block", "size", "most"],
                 )
 
-    return met.mapInArrow(run, "ablock long, at int, block long, most double")
+    return met.mapInArrow(run, "ablock long, at int, block long, size long, most double")
 
 
 def _read(asked: DataFrame, held: DataFrame, chosen: DataFrame, count: int) -> DataFrame:
@@ -218,7 +221,9 @@ def _read(asked: DataFrame, held: DataFrame, chosen: DataFrame, count: int) -> D
                 keys, own_ids = who.field("key").to_pylist(), who.field("id").to_pylist()
                 for key, own, row, windows in zip(keys, own_ids, scores, who.field("windows").to_pylist(), strict=True):
                     for window in windows:
-                        place = np.flatnonzero((row >= window["low"]) & (row <= window["high"]) & (ids != own))
+                        least = window["low"]
+                        fits = (row > least) | ((row == least) & (ids <= window["last"]))
+                        place = np.flatnonzero(fits & (row <= window["high"]) & (ids != own))
                         if len(place) > count:
                             edge = np.partition(row[place], len(place) - count)[len(place) - count]
                             place = place[row[place] >= edge]
@@ -242,21 +247,29 @@ def _asked(anchors: DataFrame) -> DataFrame:
 def windowed_best(anchors: DataFrame, held: DataFrame, same: bool, count: int) -> DataFrame:
     """``key, w, rank, score, id``: the ``count`` best rows in each window of each anchor.
 
-    ``anchors``: ``key, id, label, v, windows array<struct<w long, low double, high double>>``;
+    ``anchors``: ``key, id, label, v, windows array<struct<w long, low double, high double, last long>>``, where
+    rows at the low end count up to the id ``last``;
     ``held``: candidate blocks, of which those of the anchor's label are searched if ``same``, else the others.
     """
-    zones = held.select("block", "label", "low", "high", "longest")
+    zones = held.select("block", "label", "size", "low", "high", "longest")
     asked = _asked(anchors)
-    near = _meeting(asked, zones, same).groupBy("ablock", "at").agg(F.max(F.struct("most", "block")).alias("m"))
-    seen = _read(asked, held, near.select("ablock", "at", "m.block"), count)
-    # A full window's lowest score found is one that its last place cannot fall below.
-    full = seen.groupBy("key", "w").agg(F.count("*").alias("n"), F.min("score").alias("least")).where(F.col("n") >= count)
-    raised = full.groupBy("key").agg(F.map_from_entries(F.collect_list(F.struct("w", F.col("least").cast("double")))).alias("raised"))
+    nearest = Window.partitionBy("ablock", "at").orderBy(F.col("most").desc(), "block")
+    before = F.sum("size").over(nearest.rowsBetween(Window.unboundedPreceding, -1))
+    near = _meeting(asked, zones, same).withColumn("before", before).where(F.coalesce("before", F.lit(0)) < FIRST_ROWS)
+    seen = _read(asked, held, near.select("ablock", "at", "block"), count)
+    # The last row of a full window is one that its last place cannot fall behind: neither in score nor, at a tie, in id.
+    place = F.row_number().over(Window.partitionBy("key", "w").orderBy(F.col("score").desc(), "id"))
+    full = seen.withColumn("place", place).where(F.col("place") <= count).where(F.col("place") == count)
+    entry = F.struct("w", F.struct(F.col("score").cast("double").alias("low"), F.col("id").alias("last")))
+    raised = full.groupBy("key").agg(F.map_from_entries(F.collect_list(entry)).alias("raised"))
     known = anchors.join(raised, "key", "left")
-    window = F.transform(
-        "windows",
-        lambda x: F.struct(x["w"].alias("w"), F.coalesce(F.try_element_at("raised", x["w"]), x["low"]).alias("low"), x["high"].alias("high")),
-    )
+
+    def narrowed(x: Column) -> Column:
+        to = F.try_element_at("raised", x["w"])
+        low, end = F.coalesce(to["low"], x["low"]), F.coalesce(to["last"], x["last"])
+        return F.struct(x["w"].alias("w"), low.alias("low"), x["high"].alias("high"), end.alias("last"))
+
+    window = F.transform("windows", narrowed)
     asked = _asked(known.select("key", "id", "label", "v", window.alias("windows")))
     found = _read(asked, held, _meeting(asked, zones, same).select("ablock", "at", "block"), count)
     place = F.row_number().over(Window.partitionBy("key", "w").orderBy(F.col("score").desc(), "id"))
@@ -284,13 +297,13 @@ def hard_negatives(
     vectors = materialize(vectors.withColumn("key", F.monotonically_increasing_id()), "vectors")
     held = candidate_blocks(vectors)
     anchors = vectors.where(is_anchor)
-    everything = F.array(F.struct(F.lit(0).cast("long").alias("w"), F.lit(float("-inf")).alias("low"), F.lit(float("inf")).alias("high")))
+    everything = F.array(F.struct(F.lit(0).cast("long").alias("w"), F.lit(float("-inf")).alias("low"), F.lit(float("inf")).alias("high"), F.lit(NO_LAST).alias("last")))
     best = windowed_best(anchors.withColumn("windows", everything), held, True, positives)
     best = materialize(best.select("key", F.col("rank").cast("long").alias("w"), "score", "id"), "positives")
 
     low, high = window
     # With a score below zero the upper end lies under the lower one and nothing fits.
-    ends = F.struct("w", F.expr(f"cast(({low} * score + 99) div 100 as double)").alias("low"), F.expr(f"cast(({high} * score) div 100 as double)").alias("high"))
+    ends = F.struct("w", F.expr(f"cast(({low} * score + 99) div 100 as double)").alias("low"), F.expr(f"cast(({high} * score) div 100 as double)").alias("high"), F.lit(NO_LAST).alias("last"))
     windows = best.where("score >= 0").groupBy("key").agg(F.collect_list(ends).alias("windows"))
     wanted = anchors.join(windows, "key").select("key", "id", "label", "v", "windows")
     worst = windowed_best(wanted, held, False, negatives).withColumnRenamed("score", "negative_score").withColumnRenamed("id", "negative_id")

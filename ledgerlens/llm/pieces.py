@@ -30,7 +30,7 @@ SPACE = "▁"
 NORMAL, UNKNOWN, CONTROL, BYTE = 1, 2, 3, 6
 NEVER = float("-inf")
 #: Pairs of neighbours whose compatibility a worker remembers.
-PAIRS = 100_000
+PAIRS = 300_000
 
 
 class PieceModel:
@@ -232,7 +232,7 @@ def _memo(path: str) -> WordMemo:
     return held(
         "pieces",
         ("words", path),
-        lambda: WordMemo(lambda words: (array("i", model.encode_chunk(w)).tobytes() for w in words), keep=200_000, recent=50_000),
+        lambda: WordMemo(lambda words: (array("i", model.encode_chunk(w)).tobytes() for w in words)),
     )
 
 

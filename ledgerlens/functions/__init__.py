@@ -44,5 +44,6 @@ from ledgerlens.functions.values import (
     safe_bigint,
     signed_by_action,
 )
+from ledgerlens.functions.wide import overflow_reason, wide_product, wide_usd
 
 __all__ = [name for name in dir() if not name.startswith("_")]

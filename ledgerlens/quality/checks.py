@@ -110,17 +110,24 @@ def hex_matches(df: DataFrame, column: str, pattern: str) -> DataFrame:
     return df.where(~F.concat(F.lit("0x"), F.lower(F.hex(column))).rlike(pattern))
 
 
-def contract(df: DataFrame, declared: Mapping[str, str]) -> DataFrame:
-    """Columns that are missing, undeclared or of another type (a driver-side schema comparison)."""
-    actual = dict(df.dtypes)
+def contract_differences(
+    schema: T.StructType, declared: Mapping[str, str]
+) -> list[tuple[str, str | None, str | None]]:
+    """(column, declared type, actual type) where the two differ; None where one has no such column."""
+    actual = {column.name: column.dataType.simpleString() for column in schema}
     wanted = {name: T.DataType.fromDDL(kind).simpleString() for name, kind in declared.items()}
-    problems = [
+    return [
         (name, wanted.get(name), actual.get(name))
         for name in dict.fromkeys([*wanted, *actual])
         if wanted.get(name) != actual.get(name)
     ]
+
+
+def contract(df: DataFrame, declared: Mapping[str, str]) -> DataFrame:
+    """Columns that are missing, undeclared or of another type (a driver-side schema comparison)."""
     return df.sparkSession.createDataFrame(
-        problems, "column_name string, declared string, actual string"
+        contract_differences(df.schema, declared),
+        "column_name string, declared string, actual string",
     )
 
 

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerlens import functions as fn
-from ledgerlens.operators import aggregates, filters, joins, lookback, merge, positions, rollup, setops
+from ledgerlens.operators import aggregates, filters, joins, lookback, merge, money, positions, rollup, setops
 from ledgerlens.operators.asof import asof_join_left, asof_join_ranged
 from ledgerlens.session import ensure_utc
 from ledgerlens.workload.driver_tables import EVENTS_AS_OF, load
@@ -163,6 +163,55 @@ def _(spark, t):
     return t("lineitem").select("l_orderkey", "l_linenumber", usd.alias("usd"))
 
 
+# Amounts as a source with 256-bit decimals sends them: a seventh beyond 20 whole digits, a seventh whose product is.
+UNITS, PRICE = "(CAST(l_partkey AS BIGINT) + 1)", "(CAST(l_suppkey AS BIGINT) * 1000 + l_linenumber)"
+WIDE_SQL = (
+    "(SELECT l_orderkey, l_linenumber, l_returnflag, l_orderkey % 7 AS m, l_orderkey % 11 = 10 AS bad, "
+    f"CAST({UNITS} AS HUGEINT) * {PRICE} AS x FROM lineitem)"
+)
+
+
+def _wide_lines(t):
+    units, price = F.col("l_partkey").cast("bigint") + 1, F.col("l_suppkey").cast("bigint") * 1000 + F.col("l_linenumber")
+    m = F.col("l_orderkey") % 7
+    amount = (
+        F.when(F.col("l_orderkey") % 11 == 10, F.lit("n/a"))
+        .when(m == 0, F.concat(units.cast("string"), F.lit("0" * 24)))
+        .when(m == 1, F.concat(units.cast("string"), F.lit("0" * 14)))
+        .otherwise(units.cast("string"))
+    )
+    return t("lineitem").select(
+        "l_orderkey",
+        "l_linenumber",
+        "l_returnflag",
+        amount.alias("amount"),
+        F.concat(price.cast("string"), F.when(m == 1, F.lit("0" * 8)).otherwise(F.lit(""))).alias("price"),
+    )
+
+
+@operator(
+    "proj_usd_quarantine",
+    "l_orderkey:i l_linenumber:i reason usd_wide",
+    f"""SELECT l_orderkey, l_linenumber, CASE WHEN bad THEN 'amount_unreadable' WHEN m = 0 THEN 'amount_too_large' ELSE 'product_too_large' END AS reason,
+    CASE WHEN bad THEN NULL ELSE CAST(x AS VARCHAR) || repeat('0', CASE WHEN m = 0 THEN 24 ELSE 22 END) || '.' || repeat('0', 18) END AS usd_wide
+    FROM {WIDE_SQL} WHERE bad OR m IN (0, 1)""",
+)
+def _(spark, t):
+    return money.quarantine(_wide_lines(t), ["l_orderkey", "l_linenumber"], "amount", "price")
+
+
+@operator(
+    "agg_usd_total_wide",
+    "l_returnflag usd_total usd:d n_wide:i n_unreadable:i",
+    f"""SELECT l_returnflag, CAST(coalesce(sum(CASE WHEN m = 0 THEN x * 100 WHEN m = 1 THEN x END) FILTER (WHERE NOT bad), 0) AS VARCHAR)
+    || lpad(CAST(coalesce(sum(x) FILTER (WHERE NOT bad AND m > 1), 0) AS VARCHAR), 22, '0') || '.' || repeat('0', 18) AS usd_total,
+    NULL AS usd, count(*) FILTER (WHERE NOT bad AND m IN (0, 1)) AS n_wide, count(*) FILTER (WHERE bad) AS n_unreadable
+    FROM {WIDE_SQL} GROUP BY l_returnflag""",
+)
+def _(spark, t):
+    return money.usd_totals(_wide_lines(t), ["l_returnflag"], "amount", "price")
+
+
 @operator(
     "proj_priority_flag",
     "n_nationkey:i enabled",

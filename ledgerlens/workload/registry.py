@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from ledgerlens.workload import (
+    declared_queries,
     function_queries,
     io_queries,
     model_queries,
@@ -14,7 +15,7 @@ from ledgerlens.workload import (
     staging_queries,
 )
 
-_MODULES = (io_queries, operator_queries, function_queries, staging_queries, model_queries)
+_MODULES = (io_queries, operator_queries, function_queries, staging_queries, model_queries, declared_queries)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

@@ -36,32 +36,43 @@ def _zeros(count: Column) -> Column:
     return F.repeat(F.lit("0"), F.greatest(count, F.lit(0)))
 
 
-def wide_limbs(number: Column, size: tuple[int, int] = VALUE) -> Column:
-    """Signed limbs of a number's text, in units of its last decimal; NULL if unreadable or too large."""
+def _limb_count(size: tuple[int, int]) -> int:
+    return -(-sum(size) // LIMB_DIGITS)
+
+
+def _padded(number: Column, size: tuple[int, int]) -> Column:
+    """Sign and zero-padded digits of a number's text, a whole number of limbs long; NULL if unreadable or too large."""
     whole_digits, decimals = size
-    limbs = -(-(whole_digits + decimals) // LIMB_DIGITS)
 
     def placed(text: Column) -> Column:
         part = [F.regexp_extract(text, _NUMBER, i) for i in range(1, 5)]
-        digits, shift = F.concat(part[1], part[2]), F.when(part[3] == "", F.lit(0)).otherwise(part[3].try_cast("int"))
+        shift = F.when(part[3] == "", F.lit(0)).otherwise(part[3].try_cast("int"))
         return F.struct(
             F.when(part[0] == "-", F.lit(-1)).otherwise(F.lit(1)).cast("decimal(1,0)").alias("sign"),
-            digits.alias("digits"),
+            F.concat(part[1], part[2]).alias("digits"),
             (F.length(part[1]) + shift).alias("point"),
         )
 
     def cut(number: Column) -> Column:
-        digits, point = number["digits"], number["point"]
-        whole = F.ltrim(F.rpad(F.substring(digits, F.lit(1), F.greatest(point, F.lit(0))), F.greatest(point, F.lit(0)), F.lit("0")), F.lit("0"))
-        rest = F.concat(_zeros(-point), F.substring(digits, F.greatest(point, F.lit(0)) + 1, F.length(digits)))
+        digits, point = number["digits"], F.greatest(number["point"], F.lit(0))
+        whole = F.ltrim(F.rpad(F.substring(digits, F.lit(1), point), point, F.lit("0")), F.lit("0"))
+        rest = F.concat(_zeros(-number["point"]), F.substring(digits, point + 1, F.length(digits)))
         field = F.concat(
-            _zeros(F.lit(limbs * LIMB_DIGITS - decimals) - F.length(whole)),
+            _zeros(F.lit(_limb_count(size) * LIMB_DIGITS - decimals) - F.length(whole)),
             whole,
             F.rpad(rest, F.lit(decimals), F.lit("0")),
         )
         fits = (F.length(digits) > 0) & (F.length(whole) <= whole_digits)
         return F.when(fits, F.struct(number["sign"].alias("sign"), field.alias("field")))
 
+    text = number.cast("string")
+    return F.when(text.rlike(_NUMBER), _let(placed(text), cut))
+
+
+def wide_limbs(number: Column, size: tuple[int, int] = VALUE) -> Column:
+    """Signed limbs of a number's text, in units of its last decimal; NULL if unreadable or too large."""
+    limbs = _limb_count(size)
+
     def limb(number: Column, i: Column) -> Column:
         start = F.lit(limbs * LIMB_DIGITS + 1) - (i + 1) * LIMB_DIGITS
         return (F.substring(number["field"], start, F.lit(LIMB_DIGITS)).cast(_LIMB) * number["sign"]).cast(_LIMB)
@@ -69,8 +80,7 @@ def wide_limbs(number: Column, size: tuple[int, int] = VALUE) -> Column:
     def split(number: Column) -> Column:
         return F.when(number.isNotNull(), F.transform(F.sequence(F.lit(0), F.lit(limbs - 1)), lambda i: limb(number, i)))
 
-    text = number.cast("string")
-    return F.when(text.rlike(_NUMBER), _let(text, lambda t: _let(placed(t), lambda n: _let(cut(n), split))))
+    return _let(_padded(number, size), split)
 
 
 def _carried(limbs: Column, decimals: int, dropped: int = 0) -> Column:
@@ -119,7 +129,7 @@ def wide_text(limbs: Column) -> Column:
 
 def wide_product(left: Column, right: Column) -> Column:
     """``left * right`` of two numbers or their texts as a wide value; NULL if one is unreadable or too large."""
-    count = -(-sum(FACTOR) // LIMB_DIGITS)
+    count = _limb_count(FACTOR)
     unused = 2 * FACTOR[1] - VALUE[1]
 
     def product(pair: Column) -> Column:
@@ -150,7 +160,7 @@ def wide_usd(amount: Column, price: Column) -> Column:
 def overflow_reason(amount: Column, price: Column) -> Column:
     """Why two present numbers (or texts) have no USD value of 38 digits; NULL if they have one or one is NULL."""
     small_amount, small_price = amount.try_cast(AMOUNT), price.try_cast(AMOUNT)
-    readable = [wide_limbs(value, FACTOR).isNotNull() for value in (amount, price)]
+    readable = [_padded(value, FACTOR).isNotNull() for value in (amount, price)]
     return F.when(
         amount.isNotNull() & price.isNotNull() & usd_value(small_amount, small_price).isNull(),
         F.when(small_amount.isNull(), F.when(readable[0], F.lit("amount_too_large")).otherwise(F.lit("amount_unreadable")))

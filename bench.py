@@ -69,7 +69,7 @@ def main() -> None:
         w.table(name)
     setup["landed_raw_tables"] = round(time.perf_counter() - began, 3)
     began = time.perf_counter()
-    for build in (dimensions.product, dimensions.token, stats.product_stats):
+    for build in (dimensions.product, dimensions.token, dimensions.account, stats.product_stats):
         w.model(build)
     setup["stored_tables"] = round(time.perf_counter() - began, 3)
 

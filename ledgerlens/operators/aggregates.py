@@ -69,19 +69,30 @@ def legs_to_arrays(
     and sorted once; each kind then filters that one array, instead of
     collecting the group once per kind.
     """
-    entry = F.struct(
-        *[F.col(c).alias(f"_o{i}") for i, c in enumerate(order)],
-        F.col(kind).alias("_kind"),
-        *[F.col(c).alias(f"_f{i}") for i, c in enumerate(fields.values())],
-    )
     wanted = df.where(F.col(kind).isin(*kinds.values()))
-    grouped = wanted.groupBy(*keys).agg(F.sort_array(F.collect_list(entry)).alias("_legs"))
+    legs = F.collect_list(leg_entry(F.col, kind, order, list(fields.values())))
+    grouped = wanted.groupBy(*keys).agg(legs.alias("_legs"))
+    return grouped.select(*keys, *leg_arrays(F.col("_legs"), kinds, list(fields)))
+
+
+def leg_entry(field: Callable[[str], Column], kind: str, order: Sequence[str], values: Sequence[str]) -> Column:
+    """A child row as ``leg_arrays`` reads it: what it is sorted by, its kind, its values."""
+    return F.struct(
+        *[field(c).alias(f"_o{i}") for i, c in enumerate(order)],
+        field(kind).alias("_kind"),
+        *[field(c).alias(f"_f{i}") for i, c in enumerate(values)],
+    )
+
+
+def leg_arrays(legs: Column, kinds: Mapping[str, str], suffixes: Sequence[str]) -> list[Column]:
+    """Parallel arrays ``<prefix>_<suffix>`` per kind out of one array of ``leg_entry``."""
     columns = []
+    ordered = F.sort_array(legs)
     for prefix, value in kinds.items():
-        mine = F.filter(F.col("_legs"), _is_kind(value))
-        for i, suffix in enumerate(fields):
+        mine = F.filter(ordered, _is_kind(value))
+        for i, suffix in enumerate(suffixes):
             columns.append(field_list(mine, f"_f{i}").alias(f"{prefix}_{suffix}"))
-    return grouped.select(*keys, *columns)
+    return columns
 
 
 def _is_kind(value: str) -> Callable[[Column], Column]:

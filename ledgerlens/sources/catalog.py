@@ -30,6 +30,7 @@ STORED = frozenset(
         "product_reward_pool",
         "product_classic_boost",
         "product",
+        "account",
         "unified_hourly",
         "product_stats",
     }

@@ -345,7 +345,7 @@ RAW_SQL: dict[str, str] = {
         f"SELECT {text('o_orderkey')} AS row_id, o_custkey % 25 + 1 AS chain_id, o_orderkey AS block_number, "
         f"o_orderdate AS txn_timestamp, {address('FE', 'o_orderkey', 64)} AS txn_hash, "
         "cast(o_totalprice as decimal(18,2)) AS harvest_usd, case when o_orderkey % 13 = 0 then null "
-        "else cast(o_totalprice as decimal(18,2)) end AS treasury_amt FROM {orders} WHERE o_orderstatus <> 'P'"
+        "else cast(o_totalprice as decimal(18,2)) end AS treasury_amt FROM {orders}"
     ),
     "db_zap_parent_transactions": (
         f"SELECT {_CALL}, o_orderdate AS txn_timestamp, {_ZAP_HASH} AS txn_hash, "
@@ -400,9 +400,9 @@ RAW_SQL: dict[str, str] = {
         f"{PRODUCT} AS address, 'S' || {text('k')} AS symbol, p_name AS name, 18 AS decimals FROM {PARTS}"
     ),
     "idx_token_balance": (
-        f"SELECT 'tb-' || {text('c_custkey')} AS id, c_nationkey + 1 AS chainId, "
+        f"SELECT 'tb-' || {text('c_custkey')} AS id, c_nationkey % 20 + 1 AS chainId, "
         f"case when c_custkey % 10 = 0 then 'acc-x' else 'acc-' || {text('c_custkey')} end AS account_id, "
-        "'t' AS token_id, '1' AS amount FROM {customer} WHERE c_nationkey < 20"
+        "'t' AS token_id, '1' AS amount FROM {customer}"
     ),
     "idx_token_balance_change": (
         f"SELECT 'tbc-' || {text('event_id')} AS id, {chain_of('user_id')} AS chainId, 'tb' AS tokenBalance_id, "
@@ -411,7 +411,7 @@ RAW_SQL: dict[str, str] = {
         f"{address('FF', 'event_id - event_id % 3', 64)} AS trxHash, event_id % 3 AS logIndex, "
         f"event_id AS blockNumber, ts AS blockTimestamp, {text(MONEY)} AS balanceBefore, "
         f"{text(MONEY + ' + cast(event_id % 100 as decimal(18,2))')} AS balanceAfter "
-        "FROM {events} WHERE event_type IN ('click', 'signup')"
+        "FROM {events}"
     ),
 }
 

@@ -3,14 +3,18 @@
 A tree builder with the implied tags of HTML (list items, paragraphs, table
 parts, options) feeds a renderer: blocks start on lines of their own, paragraphs
 and the like are set apart by a blank line, list items get bullets or numbers and
-are indented by depth, preformatted text keeps its spaces, and the cells of a
-table are aligned in columns. Content that stands in a table but in no cell comes
-before the table, as in browsers. Invisible are comments, scripts, styles,
-templates, heads (but for the title), what stands in for something that is not
-loaded (``noscript``, ``iframe``, ``object``, ``canvas``, ``audio``, ``video`` and
-the like), choices offered while typing, the definitions and descriptions of
-drawings, the annotations of formulas, and elements that are hidden by attribute
-or inline style. All other text is emitted, whether it is an article or navigation.
+are indented by depth, preformatted text keeps its spaces, a line break on an empty
+line leaves a blank line, and the cells of a table are aligned in columns, cells that
+span columns or rows included. A table whose padding would be a multiple of its own
+text (``PADDING``) has its cells two spaces apart instead. Content that stands in a
+table but in no cell comes before the table, as in browsers. Fields show their values.
+Invisible are comments, scripts, styles, templates, heads (but for the title), what
+stands in for something that is not loaded (``noscript``, ``iframe``, ``object``,
+``canvas``, ``audio``, ``video`` and the like), choices offered while typing, hints in
+empty fields, the definitions and descriptions of drawings, the annotations of
+formulas, the brackets around ruby text, and elements that are hidden by attribute or
+inline style; what is only made invisible may hold visible elements. All other text is
+emitted, whether it is an article or navigation.
 
 Nulls: a null page has null text and title; an empty one has empty text. Broken
 markup never fails: unknown end tags are passed over, open elements end with
@@ -22,6 +26,7 @@ from __future__ import annotations
 import html
 import re
 from collections import Counter
+from itertools import accumulate
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -41,14 +46,17 @@ TOKEN = re.compile(
 )
 ATTRIBUTE = re.compile(rf"({NAME})(?:{IS}({VALUE}))?")
 SPACE = re.compile(r"[ \t\n\r\f\v]+")
-HIDDEN_STYLE = re.compile(r"display\s*:\s*none|visibility\s*:\s*(?:hidden|collapse)", re.IGNORECASE)
+HIDDEN_STYLE = re.compile(r"display\s*:\s*none|content-visibility\s*:\s*hidden", re.IGNORECASE)
+VISIBILITY = re.compile(r"(?<![\w-])visibility\s*:\s*(visible|hidden|collapse)", re.IGNORECASE)
+#: Spaces that may align a table: this many for each character of its cells, and this many at least.
+PADDING = (20, 20_000)
 
 # Fixed values of the HTML standard.
 VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "source", "track", "wbr"}
 RAW = {"script", "style", "textarea", "title", "xmp", "iframe", "noembed", "noframes"}
 UNSEEN = {
     "script", "style", "template", "head", "noscript", "iframe", "noembed", "noframes", "object", "canvas",
-    "audio", "video", "datalist", "param",
+    "audio", "video", "datalist", "param", "rp",
     "desc", "metadata", "defs", "symbol", "clippath", "mask", "marker", "pattern",  # in svg
     "annotation", "annotation-xml",  # in math
 }
@@ -83,6 +91,8 @@ CLOSE_P = BLOCKS - {"body", "html", "option", "optgroup", "caption", "tr", "text
 #: Directly in these only parts of tables may stand.
 TABLE_ONLY = {"table", "thead", "tbody", "tfoot", "tr", "colgroup"}
 TABLE_PARTS = {"caption", "colgroup", "col", "thead", "tbody", "tfoot", "tr", "td", "th"}
+#: Fields that show no value as text.
+NO_VALUE = {"hidden", "checkbox", "radio", "password", "file", "image", "range", "color"}
 SCOPE = {"table", "td", "th", "caption", "html", "object", "template"}
 
 
@@ -230,6 +240,13 @@ def hidden(node: Node) -> bool:
     )
 
 
+def visible(node: Node, inherited: bool) -> bool:
+    """Whether the node's own text shows; unlike ``hidden``, elements inside may differ."""
+    style = node.attributes.get("style", "") if node.attributes else ""
+    said = VISIBILITY.findall(style) if style else []
+    return said[-1].lower() == "visible" if said else inherited
+
+
 class Lines:
     """Lines under construction: collapses white space and remembers the spacing due before the next text."""
 
@@ -247,6 +264,10 @@ class Lines:
         if blank:
             self.gap = 1
 
+    def line_break(self) -> None:
+        """Ends the line; on an empty one, a blank line follows."""
+        self.block(blank=not self.parts)
+
     def start(self, indent: str) -> None:
         if self.gap and self.done and self.done[-1]:
             self.done.append("")
@@ -279,40 +300,84 @@ class Lines:
         return self.done
 
 
-def _table_rows(table: Node) -> list[list[Node]]:
-    """Rows of cells, without those of tables inside."""
+def _table_rows(table: Node) -> tuple[list[list[Node]], list[int]]:
+    """Rows of cells, without those of tables inside, and for each row the end of its group of rows."""
     rows: list[list[Node]] = []
-    queue = [c for c in reversed(table.children) if isinstance(c, Node)]
+    ends: list[int] = []
+    queue: list[Node | None] = [c for c in reversed(table.children) if isinstance(c, Node)]
+
+    def end_group() -> None:
+        ends.extend([len(rows)] * (len(rows) - len(ends)))
+
     while queue:
         node = queue.pop()
-        if hidden(node):
+        if node is None:
+            end_group()
+        elif hidden(node):
             continue
-        if node.name == "tr":
+        elif node.name == "tr":
             rows.append([c for c in node.children if isinstance(c, Node) and c.name in ("td", "th") and not hidden(c)])
         elif node.name in ("tbody", "thead", "tfoot"):
-            queue += [c for c in reversed(node.children) if isinstance(c, Node)]
-    return rows
-
-
-def _aligned(rows: list[list[list[str]]], spans: list[list[int]]) -> list[str]:
-    """Cells as lines, columns padded to their widest cell that spans one column."""
-    widths: dict[int, int] = {}
-    for row, over in zip(rows, spans, strict=True):
-        column = 0
-        for cell, span in zip(row, over, strict=True):
-            if span == 1:
-                widths[column] = max(widths.get(column, 0), max(map(len, cell), default=0))
-            column += span
+            end_group()
+            queue += [None, *[c for c in reversed(node.children) if isinstance(c, Node)]]
+    end_group()
+    return rows, ends
+
+
+def _columns(rows: list[list[Node]], ends: list[int]) -> list[list[tuple[int, int]]]:
+    """First column and end column of each cell, with the columns that cells of earlier rows still fill left out."""
+    placed: list[list[tuple[int, int]]] = []
+    filled: list[tuple[int, int, int]] = []  # (first column, end column, end row), in order, apart from each other
+    for number, row in enumerate(rows):
+        filled = [span for span in filled if span[2] > number]
+        now, later, column, k = [], [], 0, 0
+        for cell in row:
+            while k < len(filled) and filled[k][0] <= column:
+                column = max(column, filled[k][1])
+                k += 1
+            end = column + max(1, min(_whole(cell.attributes.get("colspan"), 1), 1000))
+            if k < len(filled):
+                end = min(end, filled[k][0])
+            down = _whole(cell.attributes.get("rowspan"), 1)
+            last = ends[number] if down == 0 else min(number + max(1, down), ends[number])
+            now.append((column, end))
+            if last > number + 1:
+                if later and later[-1][1:] == (column, last):
+                    later[-1] = (later[-1][0], end, last)
+                else:
+                    later.append((column, end, last))
+            column = end
+        placed.append(now)
+        if later:
+            filled = sorted([*filled, *later])
+    return placed
+
+
+def _aligned(rows: list[list[list[str]]], columns: list[list[tuple[int, int]]]) -> list[str]:
+    """Cells as lines, columns padded to their widest cell that spans one column; a column is one that a cell starts in."""
+    starts = sorted({first for row in columns for first, _ in row})
+    number = {first: k for k, first in enumerate(starts)}
+    widths = [0] * len(starts)
+    for row, places in zip(rows, columns, strict=True):
+        for cell, (first, end) in zip(row, places, strict=True):
+            k = number[first]
+            if k + 1 == len(starts) or starts[k + 1] >= end:
+                widths[k] = max(widths[k], max(map(len, cell), default=0))
+    at = [0, *accumulate(width + 2 for width in widths)]
+    text = sum(len(line) for row in rows for cell in row for line in cell)
+    padding = sum(at[number[places[-1][0]]] * max(map(len, row)) for row, places in zip(rows, columns, strict=True) if row)
+    apart = padding > max(PADDING[0] * text, PADDING[1])
     lines = []
-    for row, over in zip(rows, spans, strict=True):
+    for row, places in zip(rows, columns, strict=True):
         for k in range(max((len(c) for c in row), default=0)):
-            out, column, width = [], 0, 0
-            for cell, span in zip(row, over, strict=True):
-                out.append(" " * max(0, width - sum(map(len, out))) + (cell[k] if k < len(cell) else ""))
-                column += span
-                width = sum(widths.get(c, 0) + 2 for c in range(column))
-                if cell is not row[-1] and sum(map(len, out)) >= width:
-                    out.append("  ")
+            out, length = [], 0
+            for cell, (first, _) in zip(row, places, strict=True):
+                gap = 2 if out else 0
+                if not apart:
+                    gap = max(gap if length else 0, at[number[first]] - length)
+                part = " " * gap + (cell[k] if k < len(cell) else "")
+                out.append(part)
+                length += len(part)
             line = "".join(out).rstrip()
             if line or k:
                 lines.append(line)
@@ -346,21 +411,23 @@ def render(root: Node) -> list[str]:
     rendered into lines of its own; the table is laid out after its last cell.
     """
     result = Lines()
-    todo: list[tuple] = [("open", root, result, "", False, "")]
+    todo: list[tuple] = [("open", root, result, "", False, "", True)]
     while todo:
-        what, node, out, indent, pre, mark = todo.pop()
+        what, node, out, indent, pre, mark, seen = todo.pop()
         if what == "close":
             out.block(node.name in SPACED and mark != NESTED)
             out.mark = ""
             continue
         if what == "table":
-            cells, spans = node
-            for line in _aligned([[c.finish() for c in row] for row in cells], spans):
+            cells, columns = node
+            for line in _aligned([[c.finish() for c in row] for row in cells], columns):
                 out.line(line, indent)
             out.block(True)
             continue
         if isinstance(node, str):
-            if pre:
+            if not seen:
+                pass
+            elif pre:
                 _preformatted(out, node, indent)
             else:
                 out.text(node, indent)
@@ -368,32 +435,35 @@ def render(root: Node) -> list[str]:
         name = node.name
         if hidden(node) or name == "title":
             continue
+        seen = visible(node, seen)
         if name == "br":
-            out.block(False)
+            out.line_break()
         elif name == "img":
-            out.text(node.attributes.get("alt", ""), indent)
+            out.text(node.attributes.get("alt", "") if seen else "", indent)
         elif name == "input":
-            if node.attributes.get("type", "text").lower() in ("submit", "button", "reset"):
-                out.text(node.attributes.get("value", ""), indent)
+            kind = node.attributes.get("type", "text").lower()
+            shown = "alt" if kind == "image" else "" if kind in NO_VALUE else "value"
+            out.text(node.attributes.get(shown, "") if seen else "", indent)
         elif name == "table":
             out.block(True)
-            rows = _table_rows(node)
+            rows, ends = _table_rows(node)
             cells = [[Lines() for _ in row] for row in rows]
-            spans = [[max(1, min(_whole(c.attributes.get("colspan"), 1), 1000)) for c in row] for row in rows]
-            todo.append(("table", (cells, spans), out, indent, pre, ""))
+            todo.append(("table", (cells, _columns(rows, ends)), out, indent, pre, "", seen))
+            shows = _shown_rows(node, seen)
             for row, sheets in zip(rows, cells, strict=True):
-                todo += [("open", cell, sheet, "", False, "") for cell, sheet in zip(row, sheets, strict=True)]
+                for cell, sheet in zip(row, sheets, strict=True):
+                    todo.append(("open", cell, sheet, "", False, "", shows.get(id(cell), seen)))
             for child in reversed(node.children):  # captions and stray text stand before the rows
                 if isinstance(child, str) or child.name not in ("tr", "tbody", "thead", "tfoot"):
-                    todo.append(("open", child, out, indent, False, ""))
+                    todo.append(("open", child, out, indent, False, "", seen))
         else:
             if name in BLOCKS:
                 out.block(name in SPACED and mark != NESTED)
-                todo.append(("close", node, out, indent, pre, mark))
+                todo.append(("close", node, out, indent, pre, mark, seen))
             inner = indent
             if name == "li":
                 mark = mark or "- "
-                out.mark, inner = indent + mark, indent + " " * len(mark)
+                out.mark, inner = (indent + mark) * seen, indent + " " * len(mark)
             elif name in ("dd", "blockquote"):
                 inner = indent + "  "
             pre = pre or name in ("pre", "xmp", "textarea")
@@ -406,11 +476,25 @@ def render(root: Node) -> list[str]:
                     mark, number = f"{number}. ", number + 1
                 elif name == "li" and isinstance(child, Node) and child.name in LISTS:
                     mark = NESTED
-                later.append(("open", child, out, inner, pre, mark))
+                later.append(("open", child, out, inner, pre, mark, seen))
             todo += reversed(later)
     return result.finish()
 
 
+def _shown_rows(table: Node, seen: bool) -> dict[int, bool]:
+    """What cells of rows with a visibility of their own inherit, by identity."""
+    found: dict[int, bool] = {}
+    queue = [(c, seen) for c in table.children if isinstance(c, Node)]
+    while queue:
+        node, inherited = queue.pop()
+        if node.name in ("tbody", "thead", "tfoot", "tr"):
+            own = visible(node, inherited)
+            queue += [(c, own) for c in node.children if isinstance(c, Node)]
+        elif node.name in ("td", "th") and inherited != seen:
+            found[id(node)] = inherited
+    return found
+
+
 def title_of(root: Node) -> str:
     todo: list = [root]
     while todo:

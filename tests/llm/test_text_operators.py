@@ -298,3 +298,77 @@ def test_formulas_maps_and_drawings():
     page = "a <math><mi>b</mi><annotation>no</annotation></math> <map><a href=u>c</a></map>"
     page += "<svg><style/><title>no</title><defs><text>no</text></defs><defs/><text>d</text><text>e</text></svg>"
     assert html_text.page_text(page)[1] == "a b c\nd\ne"
+
+
+SPANS = {
+    "<table><tr><td rowspan=2>A<td>b1<tr><td>b2</table>": "A  b1\n   b2",
+    "<table><tr><td>x<td rowspan=0>tall<td>z<tr><td>1<td>3<tr><td>4<td>5</table>": "x  tall  z\n1        3\n4        5",
+    # A span ends with its group of rows, and a wide cell ends where a tall one stands.
+    "<table><tbody><tr><td rowspan=9>A<td>b<tbody><tr><td>c<td>d</table>": "A  b\nc  d",
+    "<table><tr><td>a<td rowspan=2>b<td>c<tr><td colspan=3>wide cell<td>d</table>": "a          b  c\nwide cell     d",
+    "<table><tr><td colspan=2>head<td>z<tr><td>1<td>2<td>3</table>": "head  z\n1  2  3",
+    "<table><tr><td colspan=1000>a<td>b<tr><td>long<td>c</table>": "a        b\nlong  c",
+    "<table><tr><td rowspan=x>a<td rowspan=-3>b<tr><td>c<td>d</table>": "a  b\nc  d",
+    "<table><tr><td rowspan=2 colspan=2>A<td>b<tr><td>c<tr><td>1<td>2<td>3</table>": "A     b\n      c\n1  2  3",
+}
+
+
+@pytest.mark.parametrize("page", SPANS)
+def test_cells_that_span_rows_and_columns(page):
+    assert html_text.page_text(page)[1] == SPANS[page]
+
+
+SHOWN = {
+    "<div style='visibility:hidden'>a<b style='visibility: visible'>b</b>c</div>d": "b\nd",
+    "<div style='visibility:hidden'>a<div style='display:none'><b style='visibility:visible'>b</b></div></div>d": "d",
+    "<p style='visibility:hidden;visibility:visible'>a</p>": "a",
+    "<div style='content-visibility:hidden'>a<b style='visibility:visible'>b</b></div>c": "c",
+    "<ol><li style='visibility:hidden'>a<li>b</ol>": "2. b",
+    "<table><tr style='visibility:collapse'><td>a<td style='visibility:visible'>b<tr><td>c<td>d</table>": "   b\nc  d",
+    "<input value=one> <input type=password value=two> <input type=email value=three> <input type=checkbox value=4> <input placeholder=5>": "one three",
+    "<input type=image alt=go value=no> <input type=submit value=send>": "go send",
+    "a<br>b<br><br>c<br> <br><br>d": "a\nb\n\nc\n\nd",
+    "<div>a</div><div><br></div><div>b</div>": "a\n\nb",
+    "<br><br>a<br>": "a",
+    "<ruby>x<rp>(</rp><rt>y</rt><rp>)</rp></ruby>": "xy",
+}
+
+
+@pytest.mark.parametrize("page", SHOWN)
+def test_what_is_shown(page):
+    assert html_text.page_text(page)[1] == SHOWN[page]
+
+
+def test_wide_and_long_tables_stay_small():
+    import time
+
+    began = time.process_time()
+    wide = "<table><tr>" + "<td colspan=1000>x" * 4_000 + "</table>"
+    assert html_text.page_text(wide)[1].split() == ["x"] * 4_000
+    tall = "<table><tr>" + "<td rowspan=9999>y" * 2_000 + "<tr><td>z" * 2_000 + "</table>"
+    text = html_text.page_text(tall)[1]
+    assert text.split() == ["y"] * 2_000 + ["z"] * 2_000 and len(text) < 100_000
+    long = "<table><tr><td>" + "w" * 50_000 + "<td>v" + "<tr><td>a<td>b" * 5_000 + "</table>"
+    text = html_text.page_text(long)[1]
+    assert len(text) < 200_000 and text.endswith("a  b\na  b")
+    assert time.process_time() - began < 20
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.lists(st.tuples(st.integers(-1, 4), st.integers(-1, 4)), max_size=5), max_size=6))
+def test_spans_equal_a_grid(shape):
+    rows = [[f"<td rowspan={down} colspan={over}>{r}.{c}" for c, (down, over) in enumerate(row)] for r, row in enumerate(shape)]
+    page = "<table>" + "".join("<tr>" + "".join(row) for row in rows) + "</table>"
+    found, ends = html_text._table_rows(html_text.parse(page).children[0]) if shape else ([], [])
+    taken = set()
+    for r, (row, places) in enumerate(zip(shape, html_text._columns(found, ends), strict=True)):
+        column = 0
+        for (down, over), (first, end) in zip(row, places, strict=True):
+            while (r, column) in taken:
+                column += 1
+            wide = 1
+            while wide < max(1, over) and (r, column + wide) not in taken:
+                wide += 1
+            assert (first, end) == (column, column + wide)
+            tall = len(shape) - r if down == 0 else min(max(1, down), len(shape) - r)
+            taken |= {(r + i, column + k) for i in range(tall) for k in range(wide)}

@@ -3,7 +3,7 @@
 A wide value is plain decimal text with 18 decimals. Factors may have 56 whole digits and 20
 decimals, as the source's 256-bit type has; digits after the 20th decimal are cut there too.
 Products are exact, then rounded half away from zero. Inside, a number is an array of limbs of
-ten digits, lowest first, signed alike. Values of 38 digits never take this path: plans compute
+nine digits, lowest first, signed alike; nine products of two limbs fit a BIGINT. Values of 38 digits never take this path: plans compute
 them with ``usd_value`` and call these functions under a condition.
 """
 
@@ -16,14 +16,14 @@ from pyspark.sql import functions as F
 
 from ledgerlens.functions.decimals import AMOUNT, usd_value
 
-LIMB_DIGITS = 10
+LIMB_DIGITS = 9
 #: Whole digits and decimals of a factor, and of a wide value: a product of two factors fits.
 FACTOR = (56, 20)
 VALUE = (112, 18)
-VALUE_LIMBS = sum(VALUE) // LIMB_DIGITS
+VALUE_LIMBS = -(-sum(VALUE) // LIMB_DIGITS)
 
 _NUMBER = r"^\s*([+-]?)(\d*)\.?(\d*)(?:[eE]([+-]?\d{1,4}))?\s*$"
-_LIMB = "decimal(10,0)"
+_LIMB = "bigint"
 _TOTAL = "decimal(38,0)"
 
 
@@ -48,7 +48,7 @@ def _padded(number: Column, size: tuple[int, int]) -> Column:
         part = [F.regexp_extract(text, _NUMBER, i) for i in range(1, 5)]
         shift = F.when(part[3] == "", F.lit(0)).otherwise(part[3].try_cast("int"))
         return F.struct(
-            F.when(part[0] == "-", F.lit(-1)).otherwise(F.lit(1)).cast("decimal(1,0)").alias("sign"),
+            F.when(part[0] == "-", F.lit(-1)).otherwise(F.lit(1)).cast(_LIMB).alias("sign"),
             F.concat(part[1], part[2]).alias("digits"),
             (F.length(part[1]) + shift).alias("point"),
         )
@@ -75,7 +75,7 @@ def wide_limbs(number: Column, size: tuple[int, int] = VALUE) -> Column:
 
     def limb(number: Column, i: Column) -> Column:
         start = F.lit(limbs * LIMB_DIGITS + 1) - (i + 1) * LIMB_DIGITS
-        return (F.substring(number["field"], start, F.lit(LIMB_DIGITS)).cast(_LIMB) * number["sign"]).cast(_LIMB)
+        return F.substring(number["field"], start, F.lit(LIMB_DIGITS)).cast(_LIMB) * number["sign"]
 
     def split(number: Column) -> Column:
         return F.when(number.isNotNull(), F.transform(F.sequence(F.lit(0), F.lit(limbs - 1)), lambda i: limb(number, i)))
@@ -83,19 +83,20 @@ def wide_limbs(number: Column, size: tuple[int, int] = VALUE) -> Column:
     return _let(_padded(number, size), split)
 
 
-def _carried(limbs: Column, decimals: int, dropped: int = 0) -> Column:
-    """Text of non-negative limbs sums, with ``decimals`` decimals after ``dropped`` last digits are left out."""
-    base = F.lit(10**LIMB_DIGITS).cast("decimal(11,0)")
+def _carried(limbs: Column, decimals: int, dropped: int = 0, kind: str = _TOTAL) -> Column:
+    """Text of non-negative limb sums of type ``kind``, with ``decimals`` decimals after ``dropped`` last digits are left out."""
+    base = F.lit(10**LIMB_DIGITS)
 
     def step(state: Column, limb: Column) -> Column:
         def put(value: Column) -> Column:
-            low = F.pmod(value, base).cast(_LIMB)
+            low = F.pmod(value, base.cast(kind))
+            whole = F.call_function("div", value, base.cast(_LIMB))
+            over = whole if kind == _LIMB else ((value - low).cast(kind) / base.cast("decimal(10,0)")).cast(kind)
             return F.struct(
-                ((value - low).cast(_TOTAL) / base).cast(_TOTAL).alias("carry"),
-                F.concat(F.lpad(low.cast("string"), LIMB_DIGITS, "0"), state["text"]).alias("text"),
+                over.alias("carry"), F.concat(F.lpad(low.cast("string"), LIMB_DIGITS, "0"), state["text"]).alias("text")
             )
 
-        return _let((limb + state["carry"]).cast(_TOTAL), put)
+        return _let((limb + state["carry"]).cast(kind), put)
 
     def shown(state: Column) -> Column:
         digits = F.concat(state["carry"].cast("string"), state["text"])
@@ -103,13 +104,13 @@ def _carried(limbs: Column, decimals: int, dropped: int = 0) -> Column:
         whole = F.ltrim(F.substring(kept, F.lit(1), F.length(kept) - decimals), F.lit("0"))
         return F.concat(F.when(whole == "", F.lit("0")).otherwise(whole), F.lit("."), F.right(kept, F.lit(decimals)))
 
-    start = F.struct(F.lit(0).cast(_TOTAL).alias("carry"), F.lit("").alias("text"))
+    start = F.struct(F.lit(0).cast(kind).alias("carry"), F.lit("").alias("text"))
     return F.aggregate(limbs, start, step, shown)
 
 
 def _negative(limbs: Column) -> Column:
     """Whether the number is below zero: its carry out of the highest limb is."""
-    base = F.lit(10**LIMB_DIGITS).cast("decimal(11,0)")
+    base = F.lit(10**LIMB_DIGITS).cast("decimal(10,0)")
 
     def step(carry: Column, limb: Column) -> Column:
         return _let((limb + carry).cast(_TOTAL), lambda v: ((v - F.pmod(v, base)).cast(_TOTAL) / base).cast(_TOTAL))
@@ -140,12 +141,12 @@ def wide_product(left: Column, right: Column) -> Column:
             # Half a unit of the last decimal kept, so that cutting rounds.
             half = F.when(k == (unused - 1) // LIMB_DIGITS, F.lit(5 * 10 ** ((unused - 1) % LIMB_DIGITS))).otherwise(F.lit(0))
             pairs = F.sequence(first, last)
-            return F.aggregate(pairs, half.cast(_TOTAL), lambda total, i: (total + F.abs(a[i] * b[k - i])).cast(_TOTAL))
+            return F.aggregate(pairs, half.cast(_LIMB), lambda total, i: total + F.abs(a[i] * b[k - i]))
 
         sums = F.transform(F.sequence(F.lit(0), F.lit(2 * count - 2)), at)
         minus = F.exists(a, lambda x: x < 0) != F.exists(b, lambda x: x < 0)
         signed = lambda text: F.when(minus & text.rlike("[1-9]"), F.concat(F.lit("-"), text)).otherwise(text)
-        return _let(_carried(sums, VALUE[1], unused), signed)
+        return _let(_carried(sums, VALUE[1], unused, _LIMB), signed)
 
     pair = F.struct(wide_limbs(left, FACTOR).alias("a"), wide_limbs(right, FACTOR).alias("b"))
     return _let(pair, lambda p: F.when(p["a"].isNotNull() & p["b"].isNotNull(), product(p)))

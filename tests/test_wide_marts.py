@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ledgerlens.operators import merge, rollup
+from ledgerlens.workload import driver_tables
 
+SMALL = "/root/testdata/sf0.001"
 VALUES = ["a", "b", "tags", "c", "alone"]
 
 
@@ -48,3 +50,8 @@ def test_rows_are_sorted_after_they_moved(spark):
         # Upper lines of a plan come first: a sort is above the only shuffle, none below it.
         above, _, below = _plan(moved.select("*")).split("== Initial Plan ==")[-1].partition("Exchange")
         assert "Sort" in above and "Sort" not in below and "Exchange" not in below
+
+
+def test_large_raw_tables_are_read_where_they_are(spark):
+    w = driver_tables.warehouse(spark, SMALL)
+    assert all(SMALL in path for path in w.table("db_harvests").inputFiles())

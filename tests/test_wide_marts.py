@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ledgerlens.operators import merge, rollup
+from ledgerlens.session import WIDE, ensure_wide
 from ledgerlens.workload import driver_tables
 
 SMALL = "/root/testdata/sf0.001"
@@ -55,3 +56,15 @@ def test_rows_are_sorted_after_they_moved(spark):
 def test_large_raw_tables_are_read_where_they_are(spark):
     w = driver_tables.warehouse(spark, SMALL)
     assert all(SMALL in path for path in w.table("db_harvests").inputFiles())
+
+
+def test_settings_of_the_session_are_kept(spark):
+    key = "spark.sql.sources.fileCompressionFactor"
+    before = spark.conf.get(key)
+    try:
+        spark.conf.set(key, "3.0")
+        assert ensure_wide(spark).conf.get(key) == "3.0"
+        spark.conf.set(key, "1.0")
+        assert ensure_wide(spark).conf.get(key) == WIDE[key]
+    finally:
+        spark.conf.set(key, before)

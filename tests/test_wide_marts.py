@@ -1,4 +1,4 @@
-"""Wide marts move narrow rows once, sort them after that, and read raw tables where they are."""
+"""Wide marts move narrow rows once, sort them after that, and read raw harvests where they are."""
 
 from __future__ import annotations
 
@@ -53,7 +53,7 @@ def test_rows_are_sorted_after_they_moved(spark):
         assert "Sort" in above and "Sort" not in below and "Exchange" not in below
 
 
-def test_large_raw_tables_are_read_where_they_are(spark):
+def test_raw_harvests_are_read_where_they_are(spark):
     w = driver_tables.warehouse(spark, SMALL)
     assert all(SMALL in path for path in w.table("db_harvests").inputFiles())
 

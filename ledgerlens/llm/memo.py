@@ -58,6 +58,15 @@ class WordMemo(dict):
         for word, value in zip(new, self.compute(new), strict=True):
             (self if len(self) < self.keep and len(word) <= self.longest else self.recent)[word] = value
 
+    def values_of(self, words: list[str]) -> list[bytes]:
+        """The value of each of ``words``; those that stay are looked up once."""
+        found = list(map(self.get, words))
+        places = [i for i, value in enumerate(found) if value is None]
+        self.learn([words[i] for i in places])
+        for i in places:
+            found[i] = self[words[i]]
+        return found
+
     def joined(self, split_texts: list[list[str]]) -> list[bytes]:
         """For each list of words the values of its words, one after another."""
         self.learn(set().union(*split_texts))

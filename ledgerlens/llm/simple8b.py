@@ -46,10 +46,11 @@ def _selectors(values: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     window, reach = bits.copy(), 1
     for selector in range(len(PACKINGS), 0, -1):  # ever more and narrower values; the last that fits stays
         count, width = PACKINGS[selector - 1]
-        while reach < count:
-            np.maximum(window[:-reach], bits[reach:], out=window[:-reach])
-            reach += 1
-        chosen[window <= width] = selector
+        more = count - reach  # no more than ``reach``, so two windows cover the larger one
+        if more:
+            np.maximum(window[:-more], window[more:], out=window[:-more])
+            reach = count
+        np.putmask(chosen, window <= width, selector)
     return chosen[place]
 
 
@@ -75,18 +76,26 @@ def encode(values: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarra
     place = np.arange(len(starts)) + np.cumsum(escapes) - escapes
     words = np.zeros(len(starts) + int(escapes.sum()), dtype=np.uint64)
     ends = np.repeat(stops, per_block)
+    whole = starts + COUNTS[kinds] <= ends
     for kind in np.unique(kinds):
-        mine = kinds == kind
-        first, last = starts[mine], ends[mine]
+        mine = np.flatnonzero(kinds == kind)
+        first = starts[mine]
         if kind == ESCAPE:
             words[place[mine]] = np.uint64(ESCAPE << 60)
             words[place[mine] + 1] = values[first]
             continue
         word = np.full(len(first), int(kind) << 60, dtype=np.uint64)
+        # Only the last word of a block may reach past its end.
+        inner, short = whole[mine], mine[~whole[mine]]
+        full = first[inner]
+        filled = word[inner]
+        rest, edge, last = word[~inner], starts[short], ends[short]
         for k in range(COUNTS[kind]):
-            there = first + k < last
-            value = np.where(there, values[np.minimum(first + k, len(values) - 1)], np.uint64(0))
-            word |= value << np.uint64(k * int(WIDTHS[kind]))
+            shift = np.uint64(k * int(WIDTHS[kind]))
+            filled |= values[full + k] << shift
+            there = edge + k < last
+            rest[there] |= values[edge[there] + k] << shift
+        word[inner], word[~inner] = filled, rest
         words[place[mine]] = word
     block = np.repeat(np.arange(len(sizes)), per_block)
     return words, np.array(per_block) + np.bincount(block, escapes, len(sizes)).astype(np.int64)

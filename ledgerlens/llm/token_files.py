@@ -128,15 +128,15 @@ class Encoder:
 
     def encode(self, texts: list[str], end_id: int) -> tuple[np.ndarray, np.ndarray]:
         """(all ids, number of ids of each text), with ``end_id`` after each text."""
+        if not texts:
+            return np.zeros(0, "<u4"), np.zeros(0, np.int64)
         fits = np.array([self._fits(t) for t in texts], bool)
         units = _units([t for t, f in zip(texts, fits, strict=True) if f])
         coded = units.flatten().dictionary_encode()
-        words = coded.dictionary.to_pylist()
-        self.memo.learn(words)
+        words = coded.dictionary.to_numpy(zero_copy_only=False).tolist()
         odd = self.whole([t for t, f in zip(texts, fits, strict=True) if not f])
         # Distinct units, then each other text as one, then the end.
-        parts = [*map(self.memo.__getitem__, words), *[o.tobytes() for o in odd], np.array([end_id], "<u4").tobytes()]
-        sizes = np.array([len(p) // 4 for p in parts], np.int64)
+        parts = [*self.memo.values_of(words), *[o.tobytes() for o in odd], np.array([end_id], "<u4").tobytes()]
         counts = np.ones(len(texts), np.int64)
         counts[fits] = units.value_lengths().to_numpy()
         codes = np.empty(int(counts.sum()) + len(texts), np.int64)
@@ -146,11 +146,9 @@ class Encoder:
         codes[plain] = coded.indices.to_numpy()
         codes[ends - 1] = np.where(fits, codes[ends - 1], len(words) + np.cumsum(~fits) - 1)
         codes[ends] = len(parts) - 1
-        held = sizes[codes]
-        stops = np.cumsum(held)
-        starts = (np.cumsum(sizes) - sizes)[codes]
-        ids = np.frombuffer(b"".join(parts), "<u4")[np.repeat(starts - (stops - held), held) + np.arange(stops[-1] if len(stops) else 0)]
-        return ids, np.diff(stops[ends], prepend=0)
+        _, offsets, data = pa.array(parts, pa.large_binary()).take(pa.array(codes)).buffers()
+        stops = np.frombuffer(offsets, np.int64)[1 + ends] // 4
+        return np.frombuffer(data, "<u4", int(stops[-1])), np.diff(stops, prepend=0)
 
 
 def _encoder(path: str) -> Encoder:

@@ -98,6 +98,31 @@ def test_encoder_equals_the_library(spark):
         encoder.by_units = False
 
 
+def test_words_that_stay_are_looked_up_once():
+    class Counted(memo.WordMemo):
+        looked = 0
+
+        def get(self, word):
+            self.looked += 1
+            return super().get(word)
+
+        def __contains__(self, word):
+            self.looked += 1
+            return super().__contains__(word)
+
+        def __getitem__(self, word):
+            self.looked += 1
+            return super().__getitem__(word)
+
+    known = Counted(lambda words: [w.encode() for w in words], keep=3, recent=1, longest=3)
+    assert known.values_of(["a", "b", "long word"]) == [b"a", b"b", b"long word"]
+    known.looked = 0
+    assert known.values_of(["b", "a"]) == [b"b", b"a"] and known.looked == 2
+    words = [f"w{i}" for i in range(9)]
+    for _ in range(3):
+        assert known.values_of(words) == [w.encode() for w in words] and known.values_of([]) == []
+
+
 def test_workers_hold_one_operators_memory():
     memo.held("one", "a", lambda: 1)
     assert memo.held("one", "a", lambda: 2) == 1

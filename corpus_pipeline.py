@@ -12,7 +12,7 @@ from ledgerlens.llm import language_id, mixing, near_dup, pieces, repeated_spans
 from ledgerlens.llm.queries import FLOORS, TARGETS, domains_of, vocabulary_path
 from ledgerlens.llm.scratch import release
 from ledgerlens.llm.share import share_package
-from ledgerlens.session import materialize, scratch_folders
+from ledgerlens.session import ensure_batches, materialize, scratch_folders
 
 #: A document stays if its predicted language is at least this probable.
 LANGUAGE_SCORE = 0.5
@@ -33,6 +33,7 @@ def stage(build: Stage) -> Stage:
     def run(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
         release(_stored, docs)
         share_package(spark)
+        ensure_batches(spark)
         before = len(scratch_folders)
         own = {c: c if c in OWN else f"column_{i}" for i, c in enumerate(docs.columns)}
         built = build(spark, docs.select(*[F.col(f"`{c}`").alias(name) for c, name in own.items()]), sf_dir)

@@ -9,17 +9,25 @@ _owner: str | None = None
 _held: dict[Any, Any] = {}
 
 
-def held(owner: str, key: Any, make: Callable[[], Any]) -> Any:
-    """The value that ``owner`` keeps under ``key`` in this worker, made on first use.
+def enter(owner: str) -> None:
+    """Called by an operator's tasks before their first row: drops all that another operator kept in this worker.
 
-    A worker serves the stages of a pipeline one after another. When another owner
-    asks, all that the last one kept is dropped first, so a worker never holds the
-    models and memories of two operators.
+    A worker serves the stages of a pipeline one after another. An operator that keeps
+    nothing calls this too, so that its rows need not share the room with old models.
     """
     global _owner
     if owner != _owner:
         _held.clear()
         _owner = owner
+
+
+def held(owner: str, key: Any, make: Callable[[], Any]) -> Any:
+    """The value that ``owner`` keeps under ``key`` in this worker, made on first use.
+
+    When another owner asks, all that the last one kept is dropped first, so a worker
+    never holds the models and memories of two operators.
+    """
+    enter(owner)
     if key not in _held:
         _held[key] = make()
     return _held[key]

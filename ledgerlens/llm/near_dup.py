@@ -33,6 +33,7 @@ from pyspark.sql import functions as F
 
 from ledgerlens.llm.batches import list_array, text_slices
 from ledgerlens.llm.components import connected
+from ledgerlens.llm.memo import enter
 from ledgerlens.llm.shingles import band_keys, shingle_set, sketch
 from ledgerlens.session import materialize
 
@@ -46,6 +47,7 @@ def _sketches(docs: DataFrame) -> DataFrame:
     """``doc, n, print, keys`` of ``doc, text``."""
 
     def run(batches):
+        enter("near_dup")
         for batch, texts in text_slices(batches, "text", rows=512):
             sizes, prints, keys = [], [], []
             for text in texts:
@@ -74,6 +76,7 @@ def _sets(docs: DataFrame) -> DataFrame:
     """``doc, print, members, bits``: sorted hashes of 8 bytes, and one bit for each of ``COMPARED`` coordinates."""
 
     def run(batches):
+        enter("near_dup")
         for batch, texts in text_slices(batches, "text", rows=512):
             sets = [shingle_set(t, SHINGLE) for t in texts]
             prints = pa.array([xxhash.xxh3_128_digest(s.tobytes()) for s in sets], pa.binary())
@@ -113,6 +116,7 @@ def _likely(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     least = _least_agreement()
 
     def run(batches):
+        enter("near_dup")
         for batch in batches:
             if batch.num_rows:
                 x, y = (np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint64).reshape(-1, COMPARED // 64) for c in ("va", "vb"))
@@ -127,6 +131,7 @@ def _linked(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     num, den = THRESHOLD
 
     def run(batches):
+        enter("near_dup")
         for batch in batches:
             keep = []
             for va, vb in zip(batch.column("va").to_pylist(), batch.column("vb").to_pylist(), strict=True):
@@ -177,6 +182,7 @@ def _apart(open_: DataFrame, payload: DataFrame) -> DataFrame:
     both = many.join(other, "key").where(F.col("part") < F.col("part2")).select("band", "items", "items2")
 
     def run(batches):
+        enter("near_dup")
         for batch in batches:
             for i in range(batch.num_rows):
                 part = batch.slice(i, 1)

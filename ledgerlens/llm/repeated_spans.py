@@ -29,6 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerlens.llm.batches import list_array, text_slices
+from ledgerlens.llm.memo import enter
 from ledgerlens.llm.scratch import discard
 from ledgerlens.llm.shingles import windows, word_hashes
 from ledgerlens.session import materialize
@@ -53,6 +54,7 @@ def _outline(rows: DataFrame, window: int, anchor: int) -> DataFrame:
     """``doc, whole, anchors`` of ``doc, text``: hash of all words, and distinct selected runs."""
 
     def run(batches):
+        enter("repeated_spans")
         for batch, texts in text_slices(batches, "text", rows=512):
             whole, anchors = [], []
             for text in texts:
@@ -73,6 +75,7 @@ def _packed(rows: DataFrame) -> DataFrame:
     """Texts as compressed bytes, for the way through a shuffle."""
 
     def run(batches):
+        enter("repeated_spans")
         pack = zstandard.ZstdCompressor(level=1).compress
         for batch, texts in text_slices(batches, "text", rows=512):
             data = [None if t is None else pack(t.encode("utf-8", "surrogatepass")) for t in texts]
@@ -91,6 +94,7 @@ def _candidates(rows: DataFrame, window: int, anchor: int) -> DataFrame:
     """``doc, at, hash`` of the windows whose anchor is listed in ``found``."""
 
     def run(batches):
+        enter("repeated_spans")
         for batch in batches:
             for i in range(batch.num_rows):
                 part = batch.slice(i, 1)
@@ -173,6 +177,7 @@ def remove_repeats(docs: DataFrame, id_col="doc_id", text_col="text", window=WIN
     schema = "".join(f", k{i} {docs.schema[c].dataType.simpleString()}" for i, c in enumerate(keep))
 
     def pack(batches):
+        enter("repeated_spans")
         squeeze = zstandard.ZstdCompressor(level=1).compress
         for batch, texts in text_slices(batches, "text", rows=512):
             data = [None if t is None else squeeze(t.encode("utf-8", "surrogatepass")) for t in texts]
@@ -180,6 +185,7 @@ def remove_repeats(docs: DataFrame, id_col="doc_id", text_col="text", window=WIN
             yield pa.RecordBatch.from_arrays([batch.column("doc"), pa.array(data, pa.binary()), *rest], ["doc", "packed", *names])
 
     def run(batches):
+        enter("repeated_spans")
         for batch in batches:
             for start in range(0, batch.num_rows, 256):
                 part = batch.slice(start, 256)

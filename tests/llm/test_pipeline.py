@@ -90,6 +90,36 @@ def test_stages_keep_other_columns_of_any_name(spark, folder):
         assert all(r[n] == f"{n}{r.doc_id}" for r in wide.collect() for n in names)
 
 
+def test_batches_of_long_texts_are_bounded_by_their_bytes(spark, folder):
+    import pyarrow as pa
+
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(key)
+    docs = spark.range(2_000, numPartitions=1).select(F.col("id").alias("doc_id"), F.repeat(F.lit("word "), 4_000).alias("text"))
+
+    def sizes(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([batch.nbytes])], ["n"])
+
+    try:
+        corpus_pipeline.known_language(spark, spark.read.parquet(f"{folder}/documents.parquet"), folder)
+        assert docs.mapInArrow(sizes, "n long").agg(F.max("n")).first()[0] < 6_000_000
+        spark.conf.set(key, "1m")
+        corpus_pipeline.known_language(spark, spark.read.parquet(f"{folder}/documents.parquet"), folder)
+        assert spark.conf.get(key) == "1m"
+    finally:
+        spark.conf.set(key, before)
+
+
+def test_shuffle_files_go_with_a_scratch_table(spark, monkeypatch):
+    from ledgerlens.llm import scratch
+
+    asked = []
+    monkeypatch.setattr(scratch.gc, "collect", lambda: asked.append(1))
+    scratch.discard(materialize(spark.range(9), "garbage"))
+    assert asked
+
+
 def test_a_stage_frees_what_stored_stages_left(spark, folder):
     from pathlib import Path
 

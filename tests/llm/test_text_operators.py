@@ -128,6 +128,10 @@ def test_workers_hold_one_operators_memory():
     assert memo.held("one", "a", lambda: 2) == 1
     assert memo.held("two", "a", lambda: 3) == 3
     assert memo.held("one", "a", lambda: 4) == 4 and list(memo._held) == ["a"]
+    memo.enter("one")
+    assert list(memo._held) == ["a"]
+    memo.enter("two")
+    assert not memo._held
 
 
 def summed(word, table):

@@ -128,10 +128,13 @@ def wide_text(limbs: Column) -> Column:
     return F.when(limbs.isNotNull(), _let(F.transform(limbs, lambda limb: limb.cast(_TOTAL)), signed))
 
 
-def wide_product(left: Column, right: Column) -> Column:
-    """``left * right`` of two numbers or their texts as a wide value; NULL if one is unreadable or too large."""
+#: Last digits of a product that a value has no room for.
+_UNUSED = 2 * FACTOR[1] - VALUE[1]
+
+
+def _product(left: Column, right: Column, use: Callable[[Column, Column], Column]) -> Column:
+    """``use(sums, minus)`` of a product's limb sums, half a unit of the last decimal kept added, and its sign."""
     count = _limb_count(FACTOR)
-    unused = 2 * FACTOR[1] - VALUE[1]
 
     def product(pair: Column) -> Column:
         a, b = pair["a"], pair["b"]
@@ -139,23 +142,71 @@ def wide_product(left: Column, right: Column) -> Column:
         def at(k: Column) -> Column:
             first, last = F.greatest(F.lit(0), k - (count - 1)), F.least(k, F.lit(count - 1))
             # Half a unit of the last decimal kept, so that cutting rounds.
-            half = F.when(k == (unused - 1) // LIMB_DIGITS, F.lit(5 * 10 ** ((unused - 1) % LIMB_DIGITS))).otherwise(F.lit(0))
+            half = F.when(k == (_UNUSED - 1) // LIMB_DIGITS, F.lit(5 * 10 ** ((_UNUSED - 1) % LIMB_DIGITS))).otherwise(F.lit(0))
             pairs = F.sequence(first, last)
             return F.aggregate(pairs, half.cast(_LIMB), lambda total, i: total + F.abs(a[i] * b[k - i]))
 
         sums = F.transform(F.sequence(F.lit(0), F.lit(2 * count - 2)), at)
-        minus = F.exists(a, lambda x: x < 0) != F.exists(b, lambda x: x < 0)
-        signed = lambda text: F.when(minus & text.rlike("[1-9]"), F.concat(F.lit("-"), text)).otherwise(text)
-        return _let(_carried(sums, VALUE[1], unused, _LIMB), signed)
+        return use(sums, F.exists(a, lambda x: x < 0) != F.exists(b, lambda x: x < 0))
 
     pair = F.struct(wide_limbs(left, FACTOR).alias("a"), wide_limbs(right, FACTOR).alias("b"))
     return _let(pair, lambda p: F.when(p["a"].isNotNull() & p["b"].isNotNull(), product(p)))
 
 
+def wide_product(left: Column, right: Column) -> Column:
+    """``left * right`` of two numbers or their texts as a wide value; NULL if one is unreadable or too large."""
+
+    def shown(sums: Column, minus: Column) -> Column:
+        signed = lambda text: F.when(minus & text.rlike("[1-9]"), F.concat(F.lit("-"), text)).otherwise(text)
+        return _let(_carried(sums, VALUE[1], _UNUSED, _LIMB), signed)
+
+    return _product(left, right, shown)
+
+
+def wide_product_limbs(left: Column, right: Column) -> Column:
+    """``wide_limbs(wide_product(left, right))`` without the text between."""
+    skipped, cut = divmod(_UNUSED, LIMB_DIGITS)
+    base, low, high = F.lit(10**LIMB_DIGITS), F.lit(10**cut), F.lit(10 ** (LIMB_DIGITS - cut))
+    start = F.struct(F.lit(0).cast(_LIMB).alias("carry"), F.array().cast(f"array<{_LIMB}>").alias("limbs"))
+
+    def step(state: Column, limb: Column) -> Column:
+        def put(value: Column) -> Column:
+            carry = F.call_function("div", value, base.cast(_LIMB))
+            return F.struct(carry.alias("carry"), F.array_append(state["limbs"], value % base.cast(_LIMB)).alias("limbs"))
+
+        return _let(limb + state["carry"], put)
+
+    def whole(sums: Column) -> Column:
+        return F.aggregate(sums, start, step, lambda state: F.array_append(state["limbs"], state["carry"]))
+
+    def cut_off(limbs: Column, sign: Column) -> Column:
+        def limb(i: Column) -> Column:
+            upper = (limbs[i + skipped + 1] % low.cast(_LIMB)) * high.cast(_LIMB)
+            return (F.call_function("div", limbs[i + skipped], low.cast(_LIMB)) + upper) * sign
+
+        return F.transform(F.sequence(F.lit(0), F.lit(VALUE_LIMBS - 1)), limb)
+
+    def value(sums: Column, minus: Column) -> Column:
+        sign = F.when(minus, F.lit(-1)).otherwise(F.lit(1)).cast(_LIMB)
+        return _let(whole(sums), lambda limbs: cut_off(limbs, sign))
+
+    return _product(left, right, value)
+
+
+def _beyond(amount: Column, price: Column) -> Column:
+    """Whether both numbers (or texts) are there and ``usd_value`` of them is not."""
+    fits = usd_value(amount.try_cast(AMOUNT), price.try_cast(AMOUNT)).isNotNull()
+    return amount.isNotNull() & price.isNotNull() & ~fits
+
+
 def wide_usd(amount: Column, price: Column) -> Column:
     """The USD value as a wide value where ``usd_value`` of the two numbers (or texts) has none."""
-    fits = usd_value(amount.try_cast(AMOUNT), price.try_cast(AMOUNT)).isNotNull()
-    return F.when(amount.isNotNull() & price.isNotNull() & ~fits, wide_product(amount, price))
+    return F.when(_beyond(amount, price), wide_product(amount, price))
+
+
+def wide_usd_limbs(amount: Column, price: Column) -> Column:
+    """``wide_limbs(wide_usd(amount, price))`` without the text between."""
+    return F.when(_beyond(amount, price), wide_product_limbs(amount, price))
 
 
 def overflow_reason(amount: Column, price: Column) -> Column:

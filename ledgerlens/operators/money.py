@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerlens.functions.decimals import AMOUNT, usd_value
-from ledgerlens.functions.wide import VALUE_LIMBS, overflow_reason, wide_limbs, wide_text, wide_usd
+from ledgerlens.functions.wide import VALUE_LIMBS, overflow_reason, wide_limbs, wide_text, wide_usd, wide_usd_limbs
 
 
 def quarantine(df: DataFrame, keys: Sequence[str], amount: str, price: str) -> DataFrame:
@@ -38,8 +38,8 @@ def usd_totals(df: DataFrame, keys: Sequence[str], amount: str, price: str) -> D
     a, p = F.col(amount), F.col(price)
     small = usd_value(a.try_cast(AMOUNT), p.try_cast(AMOUNT))
     rows = df.select(
-        *keys, small.alias("_small"), wide_usd(a, p).alias("_wide"), (a.isNotNull() & p.isNotNull()).alias("_present")
-    ).withColumn("_limbs", wide_limbs(F.col("_wide")))
+        *keys, small.alias("_small"), wide_usd_limbs(a, p).alias("_limbs"), (a.isNotNull() & p.isNotNull()).alias("_present")
+    )
     value = F.col("_small")
     fraction = value % F.lit(1).cast(AMOUNT)
     sums = rows.groupBy(*keys).agg(
@@ -56,6 +56,15 @@ def usd_totals(df: DataFrame, keys: Sequence[str], amount: str, price: str) -> D
     )
 
 
+def spread(rows: DataFrame) -> DataFrame:
+    """Rows dealt over all cores where the source has few pieces; for narrow rows, before they are valued.
+
+    A row takes far longer to value than to move, and a file is read by no more tasks than it has row groups.
+    """
+    wanted = 4 * rows.sparkSession.sparkContext.defaultParallelism
+    return rows.repartition(wanted) if rows.rdd.getNumPartitions() < wanted // 2 else rows
+
+
 def _added(parts: Sequence[str]) -> Column:
     """Limb sums plus the limbs of decimal columns; absent parts are zero."""
     zero = F.lit(0).cast("decimal(38,0)")

@@ -180,13 +180,13 @@ def _wide_lines(t):
         .when(m == 1, F.concat(units.cast("string"), F.lit("0" * 14)))
         .otherwise(units.cast("string"))
     )
-    return t("lineitem").select(
+    return money.spread(t("lineitem").select(
         "l_orderkey",
         "l_linenumber",
         "l_returnflag",
         amount.alias("amount"),
         F.concat(price.cast("string"), F.when(m == 1, F.lit("0" * 8)).otherwise(F.lit(""))).alias("price"),
-    )
+    ))
 
 
 @operator(

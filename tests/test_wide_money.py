@@ -7,8 +7,9 @@ from decimal import ROUND_HALF_UP, Decimal, localcontext
 
 from pyspark.sql import functions as F
 
-from ledgerlens.functions.wide import wide_limbs, wide_product, wide_text
+from ledgerlens.functions.wide import wide_limbs, wide_product, wide_product_limbs, wide_text
 from ledgerlens.operators import money
+from ledgerlens.workload.operator_queries import OPERATORS
 
 UNIT = Decimal(1).scaleb(-18)
 
@@ -37,6 +38,25 @@ def test_products_equal_exact_ones(spark):
             assert row.x == _plain(Decimal(row.a) * Decimal(row.b)), row
 
 
+def test_limbs_of_products_equal_those_of_their_text(spark):
+    rng = random.Random(9)
+    pairs = [(_number(rng), _number(rng)) for _ in range(200)]
+    pairs += [("-0.0000000000000000005", "1"), ("-0.4e-18", "1"), ("-0", "7"), ("n/a", "1"), (None, "1"), ("9" * 57, "1")]
+    pairs += [("9" * 56 + "." + "9" * 20, "-" + "9" * 56 + "." + "9" * 20)]
+    df = spark.createDataFrame(pairs, "a string, b string")
+    a, b = F.col("a"), F.col("b")
+    for row in df.select("a", "b", wide_product_limbs(a, b).alias("x"), wide_limbs(wide_product(a, b)).alias("y")).collect():
+        assert row.x == row.y, row
+
+
+def test_one_piece_is_valued_by_many_tasks(spark):
+    rows = spark.range(40, numPartitions=1).select((F.col("id") % 2).alias("k"), F.lit("2").alias("a"), F.lit("3").alias("p"))
+    assert {r.k: r.usd_total for r in money.usd_totals(money.spread(rows), ["k"], "a", "p").collect()} == {0: "120." + "0" * 18, 1: "120." + "0" * 18}
+    for name in ("agg_usd_total_wide", "proj_usd_quarantine"):
+        found = OPERATORS[name].run(spark, "/root/testdata/sf0.001")
+        assert "RoundRobinPartitioning" in found._jdf.queryExecution().executedPlan().toString()
+
+
 def test_unreadable_and_too_large_numbers_have_no_limbs(spark):
     bad = ["", " ", ".", "-", "n/a", "1,5", "1e", "NaN", "1e57", "9" * 57, None]
     df = spark.createDataFrame([(x,) for x in bad], "a string")

@@ -7,11 +7,12 @@ from collections import Counter
 from datetime import datetime, timedelta
 
 import pytest
+from pyspark.sql import functions as F
 
 from ledgerlens.operators.filters import unlike_stored
 from ledgerlens.plans import incremental, investor, stats
 from ledgerlens.plans.incremental import DERIVED, INCREMENTAL, run_chain, run_incremental, run_timeline, run_until, stored_rows
-from ledgerlens.sinks.versions import current_version
+from ledgerlens.sinks.versions import current_version, read_version
 from ledgerlens.workload.driver_tables import EVENTS_AS_OF, warehouse, warehouse_at
 
 SMALL = "/root/testdata/sf0.001"
@@ -114,3 +115,25 @@ def test_timeline_windows_equal_one_run_with_carried_prices(spark, tmp_path):
     parts = investor.priced_changes(w, datetime(2023, 10, 12), cut).union(investor.priced_changes(w, cut, EVENTS_AS_OF - timedelta(days=7)))
     assert rows_of(stored_rows(w, path), whole.columns) == rows_of(parts)
     assert rows_of(parts) != rows_of(whole)
+
+
+def test_rows_of_new_periods_are_neither_compared_nor_stored_twice(spark, tmp_path):
+    from ledgerlens import session
+
+    def publish(*rows):
+        before = len(session.scratch_folders)
+        df = spark.createDataFrame(rows, "k int, at string, v int").withColumn("at", F.col("at").cast("timestamp_ntz"))
+        count = incremental._publish_changes(df, path, ("k", "at"), "at", "month")
+        labels = [f.rsplit("/", 1)[1].rsplit("-", 1)[0] for f in session.scratch_folders[before:]]
+        return count, labels
+
+    path = str(tmp_path / "table")
+    assert publish((1, "2024-01-05", 1), (2, "2024-01-06", 2)) == (2, ["batch"])
+    assert publish((1, "2024-02-05", 1), (2, None, 2)) == (2, ["batch"])
+    # A period that is there, one of whose rows differs, and a new one.
+    assert publish((1, "2024-01-05", 1), (2, "2024-01-06", None), (2, None, 2), (3, "2024-03-01", 3)) == (2, ["batch", "changed"])
+    assert publish((2, "2024-01-06", None), (3, "2024-03-01", 3)) == (0, ["batch", "changed"])
+    stored = read_version(spark, path).select("k", F.col("at").cast("string"), "v").collect()
+    assert sorted(map(tuple, stored), key=str) == sorted(
+        [(1, "2024-01-05 00:00:00", 1), (2, "2024-01-06 00:00:00", None), (1, "2024-02-05 00:00:00", 1), (2, None, 2), (3, "2024-03-01 00:00:00", 3)], key=str
+    )

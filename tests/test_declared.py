@@ -143,3 +143,25 @@ def test_hot_key_is_combined_before_the_shuffle(spark):
     found = orphan_keys({"c": child, "p": parent}, {"c": Suite([foreign_key("p", {"k": "k"})])})
     rows = {int(row.key[0]): row.n_rows for row in found.collect()}
     assert rows[-1] == 20000 and len(rows) == 1 + 5000
+
+
+def test_foreign_keys_store_only_what_they_read(spark):
+    from ledgerlens import session
+    from ledgerlens.workload import declared_queries, driver_tables
+    from ledgerlens.workload.model_queries import MODELS
+
+    small, before = "/root/testdata/sf0.001", len(session.scratch_folders)
+    declared_queries.foreign_keys(spark, small)
+    written = {path.rsplit("/", 1)[1].rsplit("-", 1)[0]: path for path in session.scratch_folders[before:]}
+    for name, columns in declared_queries.KEY_COLUMNS.items():
+        assert set(spark.read.parquet(written[name]).columns) == set(columns)
+    assert not {"db_zap_records", "db_zap_token_transfers"} & set(written)
+    # Other columns keep their place and fail when read; stored rows are those of the whole model.
+    model = MODELS["product_stats"]
+    narrow = driver_tables.narrow_warehouse(spark, small, model.as_of, declared_queries.KEY_COLUMNS).model(model.build)
+    whole = driver_tables.warehouse(spark, small, model.as_of).model(model.build)
+    assert narrow.dtypes == whole.dtypes
+    kept = list(declared_queries.KEY_COLUMNS["product_stats"])
+    assert narrow.select(kept).exceptAll(whole.select(kept)).count() == 0 == whole.select(kept).exceptAll(narrow.select(kept)).count()
+    with pytest.raises(Exception, match="apy is not stored"):
+        narrow.select("apy").collect()

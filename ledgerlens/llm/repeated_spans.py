@@ -111,6 +111,26 @@ def _candidates(rows: DataFrame, window: int, anchor: int) -> DataFrame:
     return rows.mapInArrow(run, "doc long, at int, hash long")
 
 
+def _moved(rows: DataFrame, key: str) -> DataFrame:
+    """``rows`` dealt by ``key`` once, for a grouping and the join with its result.
+
+    Both read the same shuffle as long as they use the same columns and no filter of one goes below it:
+    each has to use all columns, and NULLs, of which there are none, are left out before.
+    """
+    for name in rows.columns:
+        rows = rows.where(F.col(name).isNotNull())
+    return rows.repartition(key)
+
+
+def _repeated_runs(outline: DataFrame) -> DataFrame:
+    """``doc, found``: the runs of each document that another one shares. Runs that only copies of one share lead nowhere."""
+    runs = outline.select("doc", F.xxhash64("whole").alias("content"), F.explode("anchors").alias("run"))
+    runs = _moved(runs, "run")
+    many = runs.groupBy("run").agg(F.min("content").alias("x"), F.max("content").alias("y"), F.min("doc").alias("low"))
+    many = many.where("x <> y and low is not null").select(F.col("run").alias("many"), "x")
+    return runs.join(many, F.expr("run = many and content >= x")).groupBy("doc").agg(F.collect_set("run").alias("found"))
+
+
 def repeated_windows(docs: DataFrame, id_col="doc_id", text_col="text", window=WINDOW, anchor=ANCHOR):
     """(windows, copies) of the documents.
 
@@ -126,16 +146,16 @@ def repeated_windows(docs: DataFrame, id_col="doc_id", text_col="text", window=W
     copied = F.coalesce(F.col("low") < F.col("doc"), F.lit(False))
     copies = seen.groupBy("doc").agg(F.every(copied).alias("copied")).where("copied").select("doc")
     copies = materialize(copies, "copies")
-    # Runs that only copies of one document share lead nowhere.
-    runs = outline.select("doc", F.xxhash64("whole").alias("content"), F.explode("anchors").alias("run"))
-    many = runs.groupBy("run").agg(F.min("content").alias("x"), F.max("content").alias("y")).where("x <> y").select("run")
-    found = runs.select("doc", "run").join(many, "run").groupBy("doc").agg(F.collect_set("run").alias("found"))
-    found = found.join(copies, "doc", "left_anti")
-    placed = _candidates(_packed(rows).join(found, "doc").select("doc", "packed", "found"), window, anchor)
+    found = _repeated_runs(outline)
+    # Copies leave here and not before, where Spark would take them out of one of the two uses of the runs only.
+    wanted = _packed(rows).join(found, "doc").join(copies, "doc", "left_anti")
+    placed = _candidates(wanted.select("doc", "packed", "found"), window, anchor)
     placed = materialize(placed, "windows")
     discard(outline)  # the stored windows and copies have all that is still needed of it
-    lows = placed.groupBy("hash").agg(F.min("doc").alias("low"), F.count("*").alias("n")).where("n > 1")
-    return placed.join(lows.drop("n"), "hash").select("doc", "at", "hash", "low"), copies
+    placed = _moved(placed, "hash")
+    lows = placed.groupBy("hash").agg(F.min("doc").alias("low"), F.count("*").alias("n"), F.min("at").alias("first"))
+    lows = lows.where("n > 1 and first is not null").select("hash", "low")
+    return placed.join(lows, "hash").select("doc", "at", "hash", "low"), copies
 
 
 def longest_repeats(found: DataFrame, window: int = WINDOW) -> DataFrame:

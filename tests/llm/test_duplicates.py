@@ -8,9 +8,11 @@ from itertools import combinations
 
 import numpy as np
 from helpers import documents, prose
+from pyspark.sql import functions as F
 
 from ledgerlens.llm import near_dup, repeated_spans, shingles
 from ledgerlens.llm.components import connected
+from ledgerlens.session import materialize
 
 WORDS = re.compile(r"[^\x20\x09-\x0D]+")
 
@@ -154,3 +156,15 @@ def test_repeats_double_until_none_are_left(spark):
     longest = {(r.doc, r.at): r.length for r in repeated_spans.longest_repeats(found).collect()}
     assert longest[2, 0] == 104 and longest[1, 30] == 104 and longest[3, 20] == 26
     assert max(longest.values()) == 104 and longest[2, 100] == 13
+
+
+def test_runs_and_windows_are_shuffled_once(spark):
+    rows = documents(spark, corpus()).selectExpr("doc_id AS doc", "text")
+    outline = materialize(repeated_spans._outline(rows, repeated_spans.WINDOW, repeated_spans.ANCHOR))
+    runs = repeated_spans._repeated_runs(outline)
+    found, _ = repeated_spans.repeated_windows(documents(spark, corpus()))
+    for used, key in ((runs, "run"), (found.where("low < doc").groupBy("doc").agg(F.collect_set("at")), "hash")):
+        assert used.collect()
+        plan = used._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+        moved = [line for line in plan.splitlines() if f"hashpartitioning({key}#" in line]
+        assert len([line for line in moved if "ReusedExchange" not in line]) == 1 and "ReusedExchange" in plan

@@ -59,21 +59,29 @@ class WordMemo(dict):
 
     def learn(self, words: Iterable[str]) -> None:
         """After this every one of ``words`` can be looked up, until the next call."""
-        unknown = [w for w in words if w not in self]
+        self._learn([w for w in words if w not in self])
+
+    def _learn(self, unknown: list[str]) -> list[bytes]:
+        """The values of words that do not stay so far, each named once."""
         if len(self.recent) > self.limit:
             self.recent.clear()
-        new = [w for w in unknown if w not in self.recent]
-        for word, value in zip(new, self.compute(new), strict=True):
-            (self if len(self) < self.keep and len(word) <= self.longest else self.recent)[word] = value
+        found = list(map(self.recent.get, unknown))
+        new = [w for w, value in zip(unknown, found, strict=True) if value is None]
+        values = list(self.compute(new))
+        room = max(self.keep - len(self), 0)
+        if room:
+            stay = [len(w) <= self.longest for w in new[:room]]
+            self.update(pair for pair, short in zip(zip(new, values, strict=True), stay, strict=False) if short)
+            self.recent.update(pair for pair, short in zip(zip(new, values, strict=True), stay, strict=False) if not short)
+        self.recent.update(zip(new[room:], values[room:], strict=True))
+        fresh = iter(values)
+        return [next(fresh) if value is None else value for value in found]
 
     def values_of(self, words: list[str]) -> list[bytes]:
-        """The value of each of ``words``; those that stay are looked up once."""
+        """The value of each of ``words``, which are distinct; those that stay are looked up once."""
         found = list(map(self.get, words))
-        places = [i for i, value in enumerate(found) if value is None]
-        self.learn([words[i] for i in places])
-        for i in places:
-            found[i] = self[words[i]]
-        return found
+        unknown = iter(self._learn([w for w, value in zip(words, found, strict=True) if value is None]))
+        return [next(unknown) if value is None else value for value in found]
 
     def joined(self, split_texts: list[list[str]]) -> list[bytes]:
         """For each list of words the values of its words, one after another."""

@@ -60,17 +60,19 @@ def encode(values: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarra
     if not len(values):
         return np.zeros(0, dtype=np.uint64), np.zeros(len(sizes), dtype=np.int64)
     chosen = _selectors(values, sizes)
-    step = COUNTS[chosen].tolist()
+    step = COUNTS[chosen]
     stops = np.cumsum(sizes)
-    starts, per_block, at = [], [], 0
-    for stop in stops.tolist():
-        before = len(starts)
-        while at < stop:
-            starts.append(at)
-            at += step[at]
-        at = stop
-        per_block.append(len(starts) - before)
-    starts = np.array(starts, dtype=np.int64)
+    # All blocks at once, a word of each at a time.
+    first = np.zeros(len(values), dtype=bool)
+    at, until = (stops - sizes)[sizes > 0], stops[sizes > 0]
+    while len(at):
+        first[at] = True
+        at = at + step[at]
+        inside = at < until
+        if not inside.all():
+            at, until = at[inside], until[inside]
+    starts = np.flatnonzero(first)
+    per_block = np.diff(np.searchsorted(starts, stops), prepend=0)
     kinds = chosen[starts]
     escapes = (kinds == ESCAPE).astype(np.int64)
     place = np.arange(len(starts)) + np.cumsum(escapes) - escapes
@@ -98,7 +100,7 @@ def encode(values: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarra
         word[inner], word[~inner] = filled, rest
         words[place[mine]] = word
     block = np.repeat(np.arange(len(sizes)), per_block)
-    return words, np.array(per_block) + np.bincount(block, escapes, len(sizes)).astype(np.int64)
+    return words, per_block + np.bincount(block, escapes, len(sizes)).astype(np.int64)
 
 
 def decode(words: np.ndarray, counts: np.ndarray, sizes: np.ndarray) -> np.ndarray:

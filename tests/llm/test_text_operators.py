@@ -401,3 +401,34 @@ def test_spans_equal_a_grid(shape):
             assert (first, end) == (column, column + wide)
             tall = len(shape) - r if down == 0 else min(max(1, down), len(shape) - r)
             taken |= {(r + i, column + k) for i in range(tall) for k in range(wide)}
+
+
+class Hashed(str):
+    """A word that counts how often a map looks it up."""
+
+    times = 0
+
+    def __hash__(self):
+        Hashed.times += 1
+        return super().__hash__()
+
+
+def test_new_words_are_looked_up_and_kept_once():
+    calls = []
+    words_seen = memo.WordMemo(lambda words: calls.append(words) or [w.encode() for w in words], keep=30, recent=50)
+    for start in (0, 10, 200):
+        words = [Hashed(f"w{start + i}") for i in range(40)] + [Hashed("x" * 60)]
+        Hashed.times = 0
+        assert words_seen.values_of(words) == [w.encode() for w in words]
+        assert Hashed.times <= 3 * len(words)
+    assert [len(c) for c in calls] == [41, 10, 40] and len(words_seen) == 30 and "x" * 60 not in words_seen
+
+
+def test_words_start_where_the_last_one_ended():
+    rng = np.random.default_rng(5)
+    values = rng.integers(0, 2 ** rng.integers(1, 62, 30_000), dtype=np.int64).astype(np.uint64)
+    sizes = np.array([4096, 1, 0, 4096, 59, 4096, 3, 4096, 4096, 4096, 5361])
+    words, counts = simple8b.encode(values, sizes)
+    assert np.array_equal(simple8b.decode(words, counts, sizes), values) and counts[2] == 0
+    one_by_one = [simple8b.encode(part, np.array([len(part)]))[0] for part in np.split(values, np.cumsum(sizes)[:-1])]
+    assert np.array_equal(np.concatenate(one_by_one), words)

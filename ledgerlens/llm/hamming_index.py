@@ -4,8 +4,9 @@ Unit vectors are turned by a learned rotation (principal axes, then iterative
 quantisation) and keep one bit per axis. A code is split into substrings, and
 each block of codes is indexed by each substring. Two codes within ``radius``
 bits agree in some substring up to ``radius // substrings`` bits, so probing all
-values that near, in every substring, finds every code within the radius. Those
-are ranked by the exact cosine of the original vectors.
+values that near, in every substring, finds every code within the radius; where
+that is more values than a block has codes, its codes are compared instead. Those
+found are ranked by the exact cosine of the original vectors.
 
 Rotation and radius come from at most ``SAMPLE`` vectors (by hash of the id);
 every vector is indexed. The radius is the distance within which ``COVERED`` of
@@ -29,11 +30,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from ledgerlens.llm.vector_blocks import best, blocks, classes, matrix, paired, query_blocks, ranked, same_width, search, usable
+from ledgerlens.llm.vector_blocks import Ids, asked_of, blocks, classes, edges, matrix, ranked, same_width, top_found, usable
 from ledgerlens.session import materialize
 
 SAMPLE, COVERED = 10_000, 0.97
 BITS, PARTS = 64, 4
+#: Queries that are compared with a block at a time.
+COMPARED = 256
 
 
 def _unit(m: np.ndarray) -> np.ndarray:
@@ -79,6 +82,11 @@ def fit(sample: np.ndarray, neighbours: int, rounds: int = 20, covered: float =
     return codes
 
 
+def _probes(bits: int, near: int) -> int:
+    """How many values of ``bits`` bits differ from a given one in at most ``near``."""
+    return sum(comb(bits, r) for r in range(min(near, bits) + 1))
+
+
 def _masks(bits: int, radius: int) -> np.ndarray:
     """All values of ``bits`` bits with at most ``radius`` ones."""
     return np.array(
@@ -93,7 +101,7 @@ class MultiIndex:
     def __init__(self, codes: np.ndarray, radius: int, parts: int = PARTS):
         self.codes, self.radius, self.bits = codes, radius, BITS // parts
         self.near = radius // parts
-        self.probes = sum(comb(self.bits, r) for r in range(min(self.near, self.bits) + 1))
+        self.probes = _probes(self.bits, self.near)
         self.tables = []
         for part in range(parts):
             values = self._part(codes, part)
@@ -139,23 +147,50 @@ def _runs(starts: np.ndarray, stops: np.ndarray):
     return zip(starts[np.concatenate(([0], new))].tolist(), stops[np.concatenate((new - 1, [len(stops) - 1]))].tolist(), strict=True)
 
 
-def _nearest(asked, items, codes: Codes, radius: int, count: int):
+def _indexed(items, codes: Codes, radius: int):
+    """A block's vectors with lengths, directions and codes, and the index of these if probing it takes less than comparing all."""
     c = matrix(items.field("v"))
+    unit = _unit(c)
+    found = codes.of(unit)
+    probed = radius < BITS and _probes(BITS // PARTS, radius // PARTS) < len(found)
+    lengths = np.sqrt((c * c).sum(axis=1))
+    return c, lengths, unit.astype(np.float32), found, MultiIndex(found, radius) if probed else None, Ids(items)
+
+
+def _nearest(asked, block, bounds: np.ndarray, codes: Codes, radius: int, count: int):
+    """Yields the queries' best of one block among the codes within the radius, none below its known bound."""
+    c, lengths, directions, found, index, ids = block
     q = matrix(asked.field("v"))
-    index = MultiIndex(codes.of(_unit(c)), radius)
-    q_codes = codes.of(_unit(q))
+    unit = _unit(q)
+    q_codes = codes.of(unit)
     q, c = same_width(q, c)
-    sizes, lengths = np.sqrt((q * q).sum(axis=1)), np.sqrt((c * c).sum(axis=1))
-    for i, rep in enumerate(asked.field("rep").to_pylist()):
-        place = index.within(q_codes[i])
-        if not len(place):
-            continue
-        rough = (c[place] @ q[i]) / lengths[place]
-        if len(place) > count:  # the exact measure only for what can be among the best
-            edge = np.partition(rough, len(rough) - count)[len(rough) - count]
-            place = place[rough >= edge - 1e-9 * sizes[i]]
-        scores = (c[place] * q[i]).sum(axis=1) / (lengths[place] * sizes[i])
-        yield rep, *best(scores, place, items, count)
+    towards, directions = same_width(unit.astype(np.float32), directions)
+    sizes = np.sqrt((q * q).sum(axis=1))
+    # Twice what single precision may be off by.
+    slack = 2.4e-7 * (c.shape[1] + 8)
+    for start in range(0, len(q), COMPARED):
+        some = np.arange(start, min(start + COMPARED, len(q)))
+        least = bounds[some] - slack
+        known = ~np.isnan(least)
+        if index is not None:
+            met = [index.within(code) for code in q_codes[some]]
+            rows, place = np.repeat(np.arange(len(some)), [len(m) for m in met]), np.concatenate(met)
+        else:
+            rough = (towards[some] @ directions.T).astype(np.float32, copy=False)
+            if not known.all():
+                far = np.bitwise_count(q_codes[some[~known], None] ^ found[None, :]) > radius
+                some_rough = np.where(far, np.float32(-np.inf), rough[~known])
+                least[~known] = np.maximum(edges(some_rough, count) - slack, -2)
+            rows, place = np.nonzero(rough >= least[:, None].astype(np.float32))
+            within = np.bitwise_count(q_codes[some[rows]] ^ found[place]) <= radius
+            rows, place = rows[within], place[within]
+        # The exact measure only for what can be among the best.
+        scores = (c[place] * q[some[rows]]).sum(axis=1) / (lengths[place] * sizes[some[rows]])
+        keep = ~(scores < bounds[some[rows]])
+        rows, place, scores = rows[keep], place[keep], scores[keep]
+        if len(rows):
+            owner, named = ids.of(place)
+            yield some[rows][owner], scores[owner], named
 
 
 def nearest(rows: DataFrame, is_query, count: int, id_col="vec_id", vector_col="embedding") -> DataFrame:
@@ -167,16 +202,17 @@ def nearest(rows: DataFrame, is_query, count: int, id_col="vec_id", vector_col="
     sample = [r.v for r in chosen.select("v").limit(2 * SAMPLE).collect()] or [[1.0]]
     width = max(map(len, sample))
     codes = fit(_unit(np.array([v + [0.0] * (width - len(v)) for v in sample])), count)
-    queries = vectors.where(is_query).distinct().join(found.select("v", "rep"), "v").select("id", "rep")
-    queries = materialize(queries, "queries")
+    queries, asked = asked_of(vectors.where(is_query), found)
     held = blocks(found, F.size("v"))
-    asked = found.join(queries.select("rep").distinct(), "rep").select("rep", "v")
 
     def within(asked: DataFrame, radius: int) -> DataFrame:
-        def run(asked, items):
-            return _nearest(asked, items, codes, radius, count + 1)
+        def prepare(items):
+            return _indexed(items, codes, radius)
+
+        def run(asked, block, bounds):
+            return _nearest(asked, block, bounds, codes, radius, count + 1)
 
-        near = search(paired(query_blocks(asked, ["rep", "v"]), held), run, "double")
+        near = top_found(asked, held, prepare, run, count + 1)
         place = F.row_number().over(Window.partitionBy("rep").orderBy(F.col("score").desc(), "id"))
         return near.withColumn("place", place).where(F.col("place") <= count + 1).drop("place")
 

@@ -1,8 +1,8 @@
 """Exact top-k by integer inner product, with vectors grouped by length.
 
 Vectors of about one length (within a tenth) form a bucket, dealt into blocks.
-A first pass over one block of the longest vectors gives each query a score that
-its k-th best cannot be below. In a block that score, over the lengths of query
+Passes over the longest vectors, then over more, give each query a score that its
+k-th best cannot be below, and the blocks a task has seen raise it. In a block that score, over the lengths of query
 and longest vector, is a threshold for the cosine. Above one nothing in the block
 can reach it. A high threshold prunes by coordinates: a vector at that cosine
 must have each of the query's largest coordinates in a narrow range. A low one
@@ -23,8 +23,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerlens.llm.vector_blocks import best, blocks, classes, matrix, paired, query_blocks, ranked, same_width, search, usable
-from ledgerlens.session import materialize
+from ledgerlens.llm.vector_blocks import SCORED, Ids, asked_of, blocks, classes, edges, matrix, ranked, same_width, top_found, usable
 
 RATIO = 0.9
 #: From this cosine on, coordinate ranges are narrow enough to be worth looking at.
@@ -53,18 +52,23 @@ def _candidates(q: np.ndarray, cosine: float, unit: np.ndarray, lengths: np.ndar
     return np.flatnonzero(keep)
 
 
-def _products(asked, items, count: int):
-    """Yields each query's best of one block of vectors, none below its known bound."""
-    q, c = same_width(matrix(asked.field("v")), matrix(items.field("v")))
-    bounds = asked.field("bound").to_numpy(zero_copy_only=False).astype(np.float64)  # NaN: not known
+def _by_length(items):
+    """A block's vectors by falling length, with lengths, directions and places in the block."""
+    c = matrix(items.field("v"))
     lengths = np.sqrt((c * c).sum(axis=1))
     order = np.argsort(-lengths, kind="stable")
     c, lengths = c[order], lengths[order]
-    unit = c / np.where(lengths > 0, lengths, 1)[:, None]
+    return c, lengths, c / np.where(lengths > 0, lengths, 1)[:, None], order, Ids(items)
+
+
+def _products(asked, block, bounds: np.ndarray, count: int):
+    """Yields the queries' best of one block of vectors, none below its known bound."""
+    c, lengths, unit, order, ids = block
+    q, c = same_width(matrix(asked.field("v")), c)
+    unit = np.pad(unit, ((0, 0), (0, c.shape[1] - unit.shape[1])))
     sizes = np.sqrt((q * q).sum(axis=1))
     whole = []
-    for i, rep in enumerate(asked.field("rep").to_pylist()):
-        bound = bounds[i]
+    for i, bound in enumerate(bounds.tolist()):
         if not bound > 0 or sizes[i] == 0:
             whole.append(i)
             continue
@@ -79,13 +83,19 @@ def _products(asked, items, count: int):
         scores = c[place] @ q[i]
         place, scores = place[scores >= bound], scores[scores >= bound]
         if len(place):
-            yield rep, *best(scores, order[place], items, count)
+            owner, named = ids.of(order[place])
+            yield np.full(len(owner), i), scores[owner], named
     # Queries that no vector of the block is too short for: verified together.
-    reps = asked.field("rep").to_numpy()
-    for i, scores in zip(whole, (q[whole] @ c.T) if whole else (), strict=True):
-        place = np.flatnonzero(scores >= bounds[i]) if bounds[i] == bounds[i] else np.arange(len(scores))
-        if len(place):
-            yield int(reps[i]), *best(scores[place], order[place], items, count)
+    for at in range(0, len(whole), SCORED):
+        some = np.array(whole[at : at + SCORED])
+        scores = q[some] @ c.T
+        known = ~np.isnan(bounds[some])
+        least = bounds[some]
+        least[~known] = edges(scores[~known], count)
+        rows, place = np.nonzero(scores >= least[:, None])
+        if len(rows):
+            owner, named = ids.of(order[place])
+            yield some[rows][owner], scores[rows, place][owner], named
 
 
 def top_products(rows: DataFrame, is_query, count: int, scale: int = 1024, id_col="vec_id", vector_col="embedding") -> DataFrame:
@@ -96,22 +106,12 @@ def top_products(rows: DataFrame, is_query, count: int, scale: int = 1024, id_co
     vectors = usable(rows, id_col, vector_col)
     vectors = vectors.withColumn("v", F.transform("v", lambda x: F.floor(x * scale).cast("double")))
     found = classes(vectors, count + 1)
-    queries = vectors.where(is_query).distinct().join(found.select("v", "rep"), "v").select("id", "rep")
-    queries = materialize(queries, "queries")
+    queries, asked = asked_of(vectors.where(is_query), found)
     length = _length(F.col("v"))
     bucket = F.when(length > 0, F.floor(F.log(length) / -math.log(RATIO))).otherwise(F.lit(-(2**31))).cast("int")
-    held = materialize(blocks(found, bucket), "blocks")
-    asked = found.join(queries.select("rep").distinct(), "rep").select("rep", "v")
-
-    def run(asked, items):
-        return _products(asked, items, count + 1)
-
-    # One block, of the longest vectors: at most a few thousand rows.
-    top = held.agg(F.max(F.struct("bucket", "part")).alias("m")).select(F.col("m.bucket"), F.col("m.part"))
-    first = held.join(F.broadcast(top), ["bucket", "part"], "left_semi")
-    unbound = query_blocks(asked.withColumn("bound", F.lit(None).cast("double")), ["rep", "v", "bound"])
-    seen = search(paired(unbound, first), run, "double")
-    bounds = seen.groupBy("rep").agg(F.when(F.count("*") >= count + 1, F.min("score")).alias("bound"))
-    bound = query_blocks(asked.join(bounds, "rep", "left"), ["rep", "v", "bound"])
-    scores = search(paired(bound, held), run, "double").withColumn("score", F.col("score").cast("long"))
-    return ranked(scores, queries, count)
+
+    def run(asked, block, bounds):
+        return _products(asked, block, bounds, count + 1)
+
+    scores = top_found(asked, blocks(found, bucket), _by_length, run, count + 1)
+    return ranked(scores.withColumn("score", F.col("score").cast("long")), queries, count)

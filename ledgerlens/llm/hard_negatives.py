@@ -4,13 +4,18 @@ Candidates of one label are put in the order of a Hilbert curve and stored as
 Parquet in blocks of about ``BLOCK_ROWS``; each block row carries its zone map, the
 least and greatest value of every dimension and the greatest length. Interval
 arithmetic over a zone map bounds the products that an anchor can have with the
-rows of the block, from both sides. A search goes twice over the zone maps alone:
+rows of the block, from both sides. A search goes over the blocks in passes:
 
 * first each anchor reads, of the blocks that its windows may hold, those with the
-  highest bounds until they hold ``FIRST_ROWS`` rows; the scores found there raise
-  the lower ends of windows that are already full;
+  highest bounds until they hold ``FIRST_ROWS`` rows, chosen by the zone maps alone;
+  the scores found there raise the lower ends of windows that are already full;
+* among many blocks a part of them, and then a greater one, raises them further;
 * then it reads every block whose bounds meet one of its windows.
 
+A task of the later passes holds some blocks of anchors and reads its blocks of rows
+one by one. What it finds raises the windows too, and only the best of each window
+leave it; no pairs of anchors and blocks are stored.
+
 Positives are found the same way, with one open window among blocks of the anchor's
 label. The curve runs over the ``CURVE_DIMS`` dimensions of greatest variance.
 
@@ -29,14 +34,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from ledgerlens.llm.vector_blocks import matrix, query_blocks, same_width
+from ledgerlens.llm.vector_blocks import FEW, Tops, edges, matrix, paired, parts_of, query_blocks, same_width
 from ledgerlens.session import materialize
 
-BLOCK_ROWS, ASKED_ROWS, ZONES = 1_024, 256, 256
-FIRST_ROWS = 1_024
+BLOCK_ROWS, ASKED_ROWS, ZONES = 1_024, 1_024, 1_024
+FIRST_ROWS, PART_ROWS = 1_024, 65_536
 CURVE_DIMS, CURVE_BITS = 8, 8
-#: Keys that blocks of anchors and blocks of rows meet on, per shuffle partition.
-LANES = 2
 #: Beyond every id.
 NO_LAST = 2**63 - 1
 
@@ -134,7 +137,7 @@ def candidate_blocks(vectors: DataFrame) -> DataFrame:
 
     schema = "label long, size long, low array<double>, high array<double>, longest double, items array<struct<id: long, v: array<double>>>"
     blocks = ordered.mapInArrow(run, schema).withColumn("block", F.monotonically_increasing_id())
-    return materialize(blocks, "hilbert-blocks")
+    return materialize(blocks, "hilbert-blocks", **FEW)
 
 
 def bounds(asked: np.ndarray, low: np.ndarray, high: np.ndarray, longest: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -146,132 +149,175 @@ def bounds(asked: np.ndarray, low: np.ndarray, high: np.ndarray, longest: np.nda
     return np.maximum(least, -reach), np.minimum(most, reach)
 
 
-def _lane(key: Column, lanes: int) -> Column:
-    return F.pmod(F.xxhash64(key), F.lit(lanes))
+class Asked:
+    """A block of anchors with the ends of their windows, a column each, and the best rows found for each window."""
+
+    def __init__(self, who: pa.StructArray, count: int):
+        self.key, self.id, self.label = (who.field(c).to_numpy().copy() for c in ("key", "id", "label"))
+        self.v, self.count = matrix(who.field("v")), count
+        windows = who.field("windows")
+        sizes = windows.value_lengths().to_numpy()
+        flat = windows.flatten()
+        there = np.arange(int(sizes.max(initial=0)))[None, :] < sizes[:, None]
+
+        def column(name: str, absent) -> np.ndarray:
+            out = np.full(there.shape, absent)
+            out[there] = flat.field(name).to_numpy()
+            return out
+
+        # A window that is not there holds nothing.
+        self.w, self.low, self.high, self.last = column("w", 0), column("low", np.inf), column("high", -np.inf), column("last", 0)
+        self.best = Tops(there.size, count)
+
+    def read(self, at: np.ndarray, values: np.ndarray, ids: np.ndarray) -> None:
+        """Looks up the rows of a block for the anchors at ``at``; a full window begins at its last row from then on."""
+        mine, values = same_width(self.v[at], values)
+        scores = mine @ values.T
+        width = self.low.shape[1]
+        for w in range(width):
+            fits = (scores >= self.low[at, w, None]) & (scores <= self.high[at, w, None])
+            if np.count_nonzero(fits) > 4 * self.count * len(at):
+                # Rows of the anchor's own id are none of the best.
+                fits &= ids[None, :] != self.id[at, None]
+                fits &= scores >= edges(np.where(fits, scores, -np.inf), self.count)[:, None]
+            k, place = np.nonzero(fits)
+            i, row, who = at[k], scores[k, place], ids[place]
+            keep = ((row > self.low[i, w]) | (who <= self.last[i, w])) & (who != self.id[i])
+            if keep.any():
+                full = self.best.add(i[keep] * width + w, row[keep], who[keep])
+                self.low.flat[full], self.last.flat[full] = self.best.scores[full, -1], self.best.ids[full, -1]
+
+    def rows(self) -> pa.RecordBatch:
+        search, place = np.nonzero(self.best.scores > -np.inf)
+        i = search // max(1, self.low.shape[1])
+        flat = [self.key[i], self.w.flat[search], self.best.scores[search, place].astype(np.int64), self.best.ids[search, place]]
+        return pa.RecordBatch.from_arrays([pa.array(f, pa.int64()) for f in flat], ["key", "w", "score", "id"])
+
+
+FOUND = "key long, w long, score long, id long"
+ZONE = ["block", "label", "size", "low", "high", "longest"]
+
+
+def _reached(asked: Asked, zones: pa.StructArray, same: bool) -> tuple[np.ndarray, np.ndarray]:
+    """(anchors, blocks): whether a block may have rows in one of the anchor's windows, and its upper bound."""
+    low, high = same_width(matrix(zones.field("low")), matrix(zones.field("high")))
+    values, low = same_width(asked.v, low)
+    values, high = same_width(values, high)
+    least, most = bounds(values, low, high, zones.field("longest").to_numpy())
+    fits = (asked.label[:, None] == zones.field("label").to_numpy()[None, :]) == same
+    met = np.zeros(fits.shape, bool)
+    for w in range(asked.low.shape[1]):
+        met |= (most >= asked.low[:, w, None]) & (least <= asked.high[:, w, None])
+    return fits & met, most
+
+
+def _nearest(asked: DataFrame, held: DataFrame, same: bool, count: int) -> DataFrame:
+    """``key, block``: of each anchor the blocks of highest bounds until they hold ``FIRST_ROWS`` rows."""
+    zones = held.select(*ZONE)
+    groups = max(1, -(-zones.count() // ZONES))
+    grouped = zones.groupBy(F.pmod(F.xxhash64("block"), F.lit(groups)).alias("zgroup")).agg(F.collect_list(F.struct(*ZONE)).alias("zones"))
+    grouped = materialize(grouped, "zones")
 
+    def run(batches):
+        for batch in batches:
+            for i in range(batch.num_rows):
+                one = batch.slice(i, 1)
+                who, where = Asked(one.column("asked").flatten(), count), one.column("zones").flatten()
+                met, most = _reached(who, where, same)
+                blocks, sizes = where.field("block").to_numpy(), where.field("size").to_numpy()
+                most = np.where(met, most, -np.inf)
+                order = np.lexsort((np.broadcast_to(blocks, most.shape), -most), axis=1)
+                met = np.take_along_axis(met, order, axis=1)
+                held = np.where(met, sizes[order], 0)
+                a, z = np.nonzero(met & (np.cumsum(held, axis=1) - held < FIRST_ROWS))
+                z = order[a, z]
+                columns = [who.key[a], blocks[z], sizes[z], most[a, z]]
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["key", "block", "size", "most"])
+
+    found = paired(asked, grouped).select("asked", "zones").mapInArrow(run, "key long, block long, size long, most double")
+    order = Window.partitionBy("key").orderBy(F.col("most").desc(), "block")
+    before = F.sum("size").over(order.rowsBetween(Window.unboundedPreceding, -1))
+    return found.withColumn("before", before).where(F.coalesce("before", F.lit(0)) < FIRST_ROWS).select("key", "block")
+
+
+def _first(anchors: DataFrame, held: DataFrame, near: DataFrame, count: int) -> DataFrame:
+    """``key, w, score, id``: the best rows of the blocks that each anchor is ``near``; anchors are sent to their blocks."""
+    near = materialize(near, "near")
+    parts = near.groupBy("block").agg(F.ceil(F.count("*") / ASKED_ROWS).cast("int").alias("parts"))
+    anchor = F.struct("key", "id", "label", "v", "windows")
+    sent = near.join(parts, "block").join(anchors.select("key", anchor.alias("a")), "key")
+    sent = sent.groupBy("block", F.pmod(F.xxhash64("key"), F.col("parts")).alias("part")).agg(F.collect_list("a").alias("asked"))
 
-def _lanes(spark) -> int:
-    return LANES * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    def run(batches):
+        for batch in batches:
+            for i in range(batch.num_rows):
+                one = batch.slice(i, 1)
+                who, items = Asked(one.column("asked").flatten(), count), one.column("items").flatten()
+                who.read(np.arange(len(who.key)), matrix(items.field("v")), items.field("id").to_numpy())
+                yield who.rows()
 
+    # The blocks move once; their partners are the small side, and too many for a broadcast.
+    return held.select("block", "items").join(sent.hint("shuffle_hash"), "block").select("items", "asked").mapInArrow(run, FOUND)
 
-def _meeting(asked: DataFrame, zones: DataFrame, same: bool) -> DataFrame:
-    """``ablock, at, block, size, most``: for each anchor (place ``at``) the blocks that its label allows, with the upper bound.
 
-    Only pairs whose bounds meet one of the anchor's windows leave a task.
-    """
-    spark = asked.sparkSession
-    lanes = _lanes(spark)
-    # Zone maps in groups of ``ZONES``, dealt over lanes; every block of anchors goes to every lane.
-    counted = zones.agg(F.count("*")).first()[0]
-    groups = max(1, -(-counted // ZONES))
-    zone = F.struct("block", "label", "size", "low", "high", "longest")
-    grouped = zones.groupBy(F.pmod(F.xxhash64("block"), F.lit(groups)).alias("zgroup")).agg(F.collect_list(zone).alias("zones"))
-    grouped = grouped.withColumn("lane", _lane(F.col("zgroup"), lanes))
-    everywhere = asked.withColumn("lane", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(lanes - 1).cast("long"))))
-    met = grouped.join(everywhere, "lane").select("ablock", "asked", "zones")
+def _met(asked: DataFrame, held: DataFrame, same: bool, count: int) -> DataFrame:
+    """``key, w, score, id``: per anchor and window the ``count`` best rows of the blocks of one task."""
 
     def run(batches):
+        at_hand: dict[int, Asked] = {}
         for batch in batches:
             for i in range(batch.num_rows):
                 one = batch.slice(i, 1)
-                who, where = one.column("asked").flatten(), one.column("zones").flatten()
-                low, high = same_width(matrix(where.field("low")), matrix(where.field("high")))
-                values, low = same_width(matrix(who.field("v")), low)
-                values, high = same_width(values, high)
-                least, most = bounds(values, low, high, where.field("longest").to_numpy())
-                fits = (who.field("label").to_numpy()[:, None] == where.field("label").to_numpy()[None, :]) == same
-                windows = who.field("windows")
-                owner = np.repeat(np.arange(len(who)), windows.value_lengths().to_numpy())
-                flat = windows.flatten()
-                reached = np.zeros(fits.shape, bool)
-                for o, lo, hi in zip(owner, flat.field("low").to_numpy(), flat.field("high").to_numpy(), strict=True):
-                    reached[o] |= (most[o] >= lo) & (least[o] <= hi)
-                a, z = np.nonzero(fits & reached)
-                blocks = where.field("block").to_numpy()
                 name = one.column("ablock")[0].as_py()
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.full(len(a), name)), pa.array(a.astype(np.int32)), pa.array(blocks[z]), pa.array(where.field("size").to_numpy()[z]), pa.array(most[a, z])],
-                    ["ablock", "at", "block", "size", "most"],
-                )
-
-    return met.mapInArrow(run, "ablock long, at int, block long, size long, most double")
-
-
-def _read(asked: DataFrame, held: DataFrame, chosen: DataFrame, count: int) -> DataFrame:
-    """``key, w, score, id``: per anchor and window the ``count`` best rows of each of the ``chosen`` blocks."""
-    lanes = _lanes(asked.sparkSession)
-    # Per block of rows and of anchors the places of the anchors that read it: at most ``ASKED_ROWS``.
-    who = chosen.groupBy("ablock", "block").agg(F.collect_list("at").alias("at"))
-    # A block of anchors goes once to a lane, with all that it reads there.
-    orders = who.withColumn("lane", _lane(F.col("block"), lanes)).groupBy("ablock", "lane")
-    orders = orders.agg(F.map_from_entries(F.collect_list(F.struct("block", "at"))).alias("wanted"))
-    sent = orders.join(asked, "ablock").select("lane", "asked", "wanted")
-    rows = held.select("block", "items", _lane(F.col("block"), lanes).alias("lane"))
-    met = rows.join(sent, "lane").select("items", "asked", F.try_element_at("wanted", F.col("block")).alias("at")).where("at is not null")
+                if name not in at_hand:
+                    at_hand[name] = Asked(one.column("asked").flatten(), count)
+                who, where = at_hand[name], pa.StructArray.from_arrays([one.column(c) for c in ZONE], ZONE)
+                at = np.flatnonzero(_reached(who, where, same)[0][:, 0])
+                if len(at):
+                    items = one.column("items").flatten()
+                    who.read(at, matrix(items.field("v")), items.field("id").to_numpy())
+        for who in at_hand.values():
+            yield who.rows()
 
-    def run(batches):
-        for batch in batches:
-            for i in range(batch.num_rows):
-                one = batch.slice(i, 1)
-                who = one.column("asked").flatten().take(one.column("at").flatten())
-                items = one.column("items").flatten()
-                values, others = same_width(matrix(who.field("v")), matrix(items.field("v")))
-                scores, ids = values @ others.T, items.field("id").to_numpy()
-                out = [[], [], [], []]
-                keys, own_ids = who.field("key").to_pylist(), who.field("id").to_pylist()
-                for key, own, row, windows in zip(keys, own_ids, scores, who.field("windows").to_pylist(), strict=True):
-                    for window in windows:
-                        least = window["low"]
-                        fits = (row > least) | ((row == least) & (ids <= window["last"]))
-                        place = np.flatnonzero(fits & (row <= window["high"]) & (ids != own))
-                        if len(place) > count:
-                            edge = np.partition(row[place], len(place) - count)[len(place) - count]
-                            place = place[row[place] >= edge]
-                        place = place[np.lexsort((ids[place], -row[place]))][:count]
-                        out[0].append(np.full(len(place), key))
-                        out[1].append(np.full(len(place), window["w"]))
-                        out[2].append(row[place].astype(np.int64))
-                        out[3].append(ids[place])
-                flat = [np.concatenate(o) if o else np.zeros(0, np.int64) for o in out]
-                yield pa.RecordBatch.from_arrays([pa.array(f, pa.int64()) for f in flat], ["key", "w", "score", "id"])
-
-    return met.mapInArrow(run, "key long, w long, score long, id long")
+    met = paired(asked.withColumnRenamed("block", "ablock"), held)
+    return met.select(*ZONE, "items", "ablock", "asked").mapInArrow(run, FOUND)
 
 
 def _asked(anchors: DataFrame) -> DataFrame:
-    """``ablock, asked``: anchors in blocks."""
-    dealt = query_blocks(anchors.withColumn("rep", F.col("key")), ["key", "id", "label", "v", "windows"], ASKED_ROWS)
-    return materialize(dealt.select(F.monotonically_increasing_id().alias("ablock"), "asked"), "asked")
+    """``block, asked``: anchors in blocks."""
+    return query_blocks(anchors, ["key", "id", "label", "v", "windows"], ASKED_ROWS, "key")
 
 
-def windowed_best(anchors: DataFrame, held: DataFrame, same: bool, count: int) -> DataFrame:
-    """``key, w, rank, score, id``: the ``count`` best rows in each window of each anchor.
-
-    ``anchors``: ``key, id, label, v, windows array<struct<w long, low double, high double, last long>>``, where
-    rows at the low end count up to the id ``last``;
-    ``held``: candidate blocks, of which those of the anchor's label are searched if ``same``, else the others.
-    """
-    zones = held.select("block", "label", "size", "low", "high", "longest")
-    asked = _asked(anchors)
-    nearest = Window.partitionBy("ablock", "at").orderBy(F.col("most").desc(), "block")
-    before = F.sum("size").over(nearest.rowsBetween(Window.unboundedPreceding, -1))
-    near = _meeting(asked, zones, same).withColumn("before", before).where(F.coalesce("before", F.lit(0)) < FIRST_ROWS)
-    seen = _read(asked, held, near.select("ablock", "at", "block"), count)
+def _raised(anchors: DataFrame, seen: DataFrame, count: int) -> DataFrame:
+    """``anchors`` with windows that begin at their last place, where ``seen`` fills them."""
     # The last row of a full window is one that its last place cannot fall behind: neither in score nor, at a tie, in id.
     place = F.row_number().over(Window.partitionBy("key", "w").orderBy(F.col("score").desc(), "id"))
     full = seen.withColumn("place", place).where(F.col("place") <= count).where(F.col("place") == count)
     entry = F.struct("w", F.struct(F.col("score").cast("double").alias("low"), F.col("id").alias("last")))
-    raised = full.groupBy("key").agg(F.map_from_entries(F.collect_list(entry)).alias("raised"))
-    known = anchors.join(raised, "key", "left")
+    raised = materialize(full.groupBy("key").agg(F.map_from_entries(F.collect_list(entry)).alias("raised")), "raised")
 
     def narrowed(x: Column) -> Column:
         to = F.try_element_at("raised", x["w"])
         low, end = F.coalesce(to["low"], x["low"]), F.coalesce(to["last"], x["last"])
         return F.struct(x["w"].alias("w"), low.alias("low"), x["high"].alias("high"), end.alias("last"))
 
-    window = F.transform("windows", narrowed)
-    asked = _asked(known.select("key", "id", "label", "v", window.alias("windows")))
-    found = _read(asked, held, _meeting(asked, zones, same).select("ablock", "at", "block"), count)
+    known = anchors.join(raised, "key", "left")
+    return known.select("key", "id", "label", "v", F.transform("windows", narrowed).alias("windows"))
+
+
+def windowed_best(anchors: DataFrame, held: DataFrame, same: bool, count: int) -> DataFrame:
+    """``key, w, rank, score, id``: the ``count`` best rows in each window of each anchor.
+
+    ``anchors``: ``key, id, label, v, windows array<struct<w long, low double, high double, last long>>``, where
+    rows at the low end count up to the id ``last``;
+    ``held``: candidate blocks, of which those of the anchor's label are searched if ``same``, else the others.
+    """
+    total = held.agg(F.sum("size")).first()[0] or 0
+    known = _raised(anchors, _first(anchors, held, _nearest(_asked(anchors), held, same, count), count), count)
+    for wanted in parts_of(total, PART_ROWS):
+        part = materialize(held.where(F.pmod(F.xxhash64("block"), F.lit(1 << 20)) < F.lit((wanted << 20) // total)), "part", **FEW)
+        known = _raised(known, _met(_asked(known), part, same, count), count)
+    found = _met(_asked(known), held, same, count)
     place = F.row_number().over(Window.partitionBy("key", "w").orderBy(F.col("score").desc(), "id"))
     return found.withColumn("rank", place).where(F.col("rank") <= count).select("key", "w", "rank", "score", "id")
 
@@ -306,7 +352,7 @@ def hard_negatives(
     ends = F.struct("w", F.expr(f"cast(({low} * score + 99) div 100 as double)").alias("low"), F.expr(f"cast(({high} * score) div 100 as double)").alias("high"), F.lit(NO_LAST).alias("last"))
     windows = best.where("score >= 0").groupBy("key").agg(F.collect_list(ends).alias("windows"))
     wanted = anchors.join(windows, "key").select("key", "id", "label", "v", "windows")
-    worst = windowed_best(wanted, held, False, negatives).withColumnRenamed("score", "negative_score").withColumnRenamed("id", "negative_id")
+    worst = windowed_best(materialize(wanted, "wanted"), held, False, negatives).withColumnRenamed("score", "negative_score").withColumnRenamed("id", "negative_id")
     named = best.select("key", "w", F.col("score").alias("positive_score"), F.col("id").alias("positive_id"))
     found = worst.join(named, ["key", "w"]).join(anchors.select("key", F.col("id").alias("anchor_id")), "key")
     return found.select("anchor_id", "positive_id", F.col("rank").cast("int").alias("rank"), "negative_id", "positive_score", "negative_score")

@@ -186,7 +186,8 @@ def _compared(members: DataFrame, keys: list[str], order: int) -> DataFrame:
 def _open(members: DataFrame, keys: list[str], least: int = 2) -> DataFrame:
     """Members of the lists of ``least`` and more that hold several components, with the size of the list."""
     several = members.groupBy(*keys).agg(F.min("component").alias("low"), F.max("component").alias("high"), F.count("*").alias("size"))
-    return members.join(several.where((F.col("low") < F.col("high")) & (F.col("size") >= least)).select(*keys, "size"), keys)
+    several = several.where((F.col("low") < F.col("high")) & (F.col("size") >= least)).select(*keys, "size")
+    return members.hint("merge").join(several, keys)
 
 
 def _named(nodes: DataFrame, links: DataFrame) -> DataFrame:
@@ -205,9 +206,10 @@ def simhash_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     nodes = materialize(nodes, "nodes")
 
     keys = ["lst", "bits"]
+    # Spark reckons the lists by the size of the nodes, which they are 35 times as many as: no side is to be broadcast.
     members = nodes.select("node", "print", _listed(F.col("print"), 0).alias("e")).select("node", "print", "e.*")
     pivots = members.groupBy(*keys).agg(F.min(F.struct("node", "print")).alias("p"), F.count("*").alias("size"))
-    met = materialize(members.join(pivots.where("size > 1"), keys).select(*keys, "node", "print", "p"), "lists")
+    met = materialize(members.hint("merge").join(pivots.where("size > 1"), keys).select(*keys, "node", "print", "p"), "lists")
     near = met.where((F.col("node") != F.col("p.node")) & _viable(F.col("print"), F.col("p.print"), F.col("lst")))
     links = near.select(F.col("p.node").alias("a"), F.col("node").alias("b"))
     # Documents whose rows have several fingerprints tie the classes of these together.
@@ -217,7 +219,7 @@ def simhash_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     links = materialize(links, "links")
 
     placed = _named(nodes, links)
-    open_ = met.select(*keys, "node", "print").join(placed.select("node", "component").distinct(), "node")
+    open_ = met.select(*keys, "node", "print").hint("merge").join(placed.select("node", "component").distinct(), "node")
     open_ = materialize(_open(open_, keys, least=3), "open")  # of two members one is the pivot
     finer = ["first", "bits", "lst", "bits2"]
     large = open_.where(F.col("size") > BLOCK).drop("size").withColumnRenamed("lst", "first")
